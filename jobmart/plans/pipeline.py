@@ -203,7 +203,7 @@ STEPS: dict[str, dict[str, list[Step]]] = {
         "load": [],  # gold tables are complete once promoted
         "all": [dimensions_to_staging, promote_dimensions, fact_to_staging, promote_fact],
     },
-    "staging": {"clean": [clean_staging], "all": [clean_staging]},
+    "staging": {"clean": [clean_staging]},
 }
 
 
