@@ -234,6 +234,12 @@ def _members(column: str, name: str, unknown: str = "Unknown") -> str:
     )
 
 
+def _unescaped(markup: str) -> str:
+    for entity, char in (("&quot;?", '"'), ("&#x27;", "'"), ("&lt;?", "<"), ("&gt;?", ">"), ("&amp;?", "&")):
+        markup = f"regexp_replace({markup}, {_lit(entity)}, {_lit(char)}, 'g')"
+    return markup
+
+
 _ITEM = r"""regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>')"""
 _LINKS = f"""
 item AS (
@@ -241,8 +247,8 @@ item AS (
 ),
 link AS (
   SELECT page_id, url, item_no, item_html,
-    replace(regexp_extract(item_html, 'href="([^"]*)"', 1), '&amp;', '&') AS href,
-    trim(replace(regexp_extract(item_html, '>([^<]*)</a>', 1), '&amp;', '&')) AS words
+    {_unescaped("""regexp_extract(item_html, 'href="([^"]*)"', 1)""")} AS href,
+    trim({_unescaped("regexp_extract(item_html, '>([^<]*)</a>', 1)")}) AS words
   FROM item
 )"""
 
@@ -347,9 +353,12 @@ def oracle_sql() -> dict[str, str]:
             )
             SELECT page_id, item_no, form, resolved, link AS unresolved FROM form""",
         "join_details": f"""
-            WITH {_LINKS} SELECT page_id, item_no, CASE WHEN contains(item_html, ',') THEN '(null)'
-              ELSE trim(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&')) END AS description
-            FROM item JOIN pages USING (page_id)""",
+            WITH {_LINKS},
+            heading AS (
+              SELECT page_id, trim({_unescaped("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")}) AS words FROM pages
+            )
+            SELECT page_id, item_no, CASE WHEN contains(item_html, ',') THEN '(null)' ELSE words END AS description
+            FROM item JOIN heading USING (page_id)""",
         "sources_missing_config": f"""
             WITH {_CONFIG} SELECT s_name AS source_name FROM supplier WHERE s_name NOT IN (
               SELECT source_name FROM config WHERE title <> '' AND job_url <> '' AND prefix_job_url <> '')""",
