@@ -134,8 +134,9 @@ def _experience_arms() -> tuple[tuple[str, str], ...]:
         return f"{low}{between}{high}{GAP}{context}"
 
     def amount(number: str) -> str:
-        # "+" is a separator as well, hence only "plus" has to be named.
-        return f"(?:{number}){GAP}(?:plus{GAP})?{context}|{context}{GAP}(?:{number})(?:{GAP}plus)?"
+        # "+" is a separator as well, hence only "plus" has to be named.  Separators may
+        # follow the number; only the underscore among them is a word character.
+        return f"(?:{number}){GAP}(?:plus{GAP})?{context}|{context}{GAP}(?:{number})(?:_*+|{GAP}plus)"
 
     return (
         ("Entry", years(0, 1)),
