@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
-from jobmart.functions import dates
+from jobmart.functions import dates, vocab
 from jobmart.functions import text as tx
-from jobmart.functions.matching import tech_keywords
+from jobmart.functions.matching import compact_text, tech_keywords
 from jobmart.operators import dedup, marts, merge, quality, silver, star
 from jobmart.plans import pipeline
 from jobmart.session import spread, work_path
@@ -34,7 +34,9 @@ def flat_jobs(jobs: DataFrame) -> DataFrame:
 
 
 def _with_description(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.raw_jobs(spark, sf_dir).withColumn("text", tx.normalised(F.col("description")))
+    """Postings with the normalised description and its compact form as columns."""
+    raw = fx.raw_jobs(spark, sf_dir).withColumn("text", tx.normalised(F.col("description")))
+    return raw.withColumn("compact", compact_text(F.col("text")))
 
 
 # -- tables and files -----------------------------------------------------------
@@ -278,13 +280,13 @@ def load_source_config(spark, sf_dir):
 
 @query
 def keyword_match_all(spark, sf_dir):
-    found = tech_keywords().match_all(F.col("text"))
+    found = tech_keywords().match_all(F.col("text"), F.col("compact"))
     return _with_description(spark, sf_dir).select("doc_id", F.array_join(found, ",").alias("keywords"))
 
 
 @query
 def keyword_match_first(spark, sf_dir):
-    found = tech_keywords().match_first(F.col("text"))
+    found = tech_keywords().match_first(F.col("text"), compact=F.col("compact"))
     return _with_description(spark, sf_dir).select("doc_id", found.alias("keyword"))
 
 
@@ -334,7 +336,7 @@ def posted_date(spark, sf_dir):
 @query
 def fallback_unknown_like(spark, sf_dir):
     salary, level, other = F.col("salary"), F.col("level"), F.lit("fallback")
-    label = tx.first_label(tx.normalised(level), tx._phrase_arms("SENIORITY_PHRASES"), "", long_text=False)
+    label = tx.first_label(tx.normalised(level), vocab.SENIORITY_PHRASES, long_text=False)
     return fx.raw_jobs(spark, sf_dir).select(
         "doc_id",
         tx.known_text_or(salary, other).alias("text_or"),

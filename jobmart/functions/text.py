@@ -27,7 +27,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobmart.functions import vocab
-from jobmart.functions.matching import BOUNDARY_AFTER, BOUNDARY_BEFORE, KeywordSet, let
+from jobmart.functions.matching import BOUNDARY_AFTER, BOUNDARY_BEFORE, KeywordSet, let, starting_with
 
 SEPARATOR = r"[ \t\n\f\r._/+:\-]"
 GAP = SEPARATOR + "*+"
@@ -41,6 +41,19 @@ def phrase_pattern(phrases: Sequence[str]) -> str:
     return "|".join(p.replace(" ", GAP) for p in phrases)
 
 
+def _search_pattern(phrases: Sequence[str]) -> str:
+    """The same alternation made for searching: look-ahead for a first letter, grouped by it.
+
+    Only phrases of one first letter can compete at a position, so grouping
+    leaves their priority as it is.
+    """
+    groups: dict[str, list[str]] = {}
+    for phrase in phrases:
+        groups.setdefault(phrase[0], []).append(phrase[1:])
+    grouped = "|".join(f"{first}(?:{phrase_pattern(rest)})" for first, rest in groups.items())
+    return f"{starting_with(''.join(groups))}{BOUNDARY_BEFORE}(?=({grouped}){BOUNDARY_AFTER})"
+
+
 def bounded(pattern: str) -> str:
     return f"{BOUNDARY_BEFORE}(?:{pattern}){BOUNDARY_AFTER}"
 
@@ -73,51 +86,45 @@ def known_label_or(raw: Column, raw_label: Column, fallback: Column) -> Column:
 
 # -- first label in priority order -------------------------------------------
 
-Arms = Mapping[str, str]  # label -> pattern, in priority order
+Phrases = Mapping[str, Sequence[str]]  # label -> phrases, in priority order
 
 
-@cache
-def _phrase_arms(name: str) -> dict[str, str]:
-    return {label: phrase_pattern(phrases) for label, phrases in getattr(vocab, name).items()}
+def _first_arm(text: Column, arms: Sequence[tuple[str, str]]) -> Column:
+    return F.coalesce(*[F.when(text.rlike(bounded(pattern)), F.lit(label)) for label, pattern in arms])
 
 
-def _first_arm(text: Column, arms: Arms) -> Column:
-    return F.coalesce(*[F.when(text.rlike(bounded(p)), F.lit(label)) for label, p in arms.items()])
+def _candidates(text: Column, search_pattern: str) -> Column:
+    """Everything the pattern's group finds in the text, joined; at one start the alternative that comes first."""
+    return F.array_join(F.regexp_extract_all(text, F.lit(search_pattern), F.lit(1)), _CANDIDATE_JOINER)
 
 
-def _candidates(text: Column, arms: Arms) -> Column:
-    """Every phrase of any arm in the text; at one start the arm of highest priority."""
-    pattern = f"{BOUNDARY_BEFORE}(?=({'|'.join(arms.values())}){BOUNDARY_AFTER})"
-    return F.array_join(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), _CANDIDATE_JOINER)
+def first_label(text: Column, phrases: Phrases, long_text: bool = True) -> Column:
+    """First label, in priority order, with a phrase that occurs in the normalised text; else null."""
+    arms = [(label, phrase_pattern(group)) for label, group in phrases.items()]
+    if not long_text:
+        return _first_arm(text, arms)
+    search = _search_pattern([phrase for group in phrases.values() for phrase in group])
+    return let(_candidates(text, search), lambda found: _first_arm(found, arms))
 
 
-def first_label(text: Column, arms: Arms, default: str | None, long_text: bool = True) -> Column:
-    """Label of the first arm, in priority order, that occurs in the normalised text."""
-    found = let(_candidates(text, arms), lambda c: _first_arm(c, arms)) if long_text else _first_arm(text, arms)
-    return found if default is None else F.coalesce(found, F.lit(default))
-
-
-def _label_field(raw: Column | None, description: Column, arms: Arms, fallback: Column) -> Column:
-    from_description = F.coalesce(first_label(description, arms, None), fallback)
-    if raw is None:
-        return from_description
-    return known_label_or(raw, first_label(normalised(raw), arms, None, long_text=False), from_description)
+def _label_field(raw: Column, description: Column, phrases: Phrases, fallback: Column) -> Column:
+    own = first_label(normalised(raw), phrases, long_text=False)
+    return known_label_or(raw, own, F.coalesce(first_label(description, phrases), fallback))
 
 
 def employment_type(raw: Column, description: Column, default: str = "FULL_TIME") -> Column:
     """Employment type of the raw field, else of the (normalised) description, else the default."""
-    return _label_field(raw, description, _phrase_arms("EMPLOYMENT_PHRASES"), F.lit(default))
+    return _label_field(raw, description, vocab.EMPLOYMENT_PHRASES, F.lit(default))
 
 
 def location_type(raw: Column, description: Column, default: str = "ON_SITE") -> Column:
     """Work location of the raw field, else of the (normalised) description, else the default."""
-    return _label_field(raw, description, _phrase_arms("LOCATION_PHRASES"), F.lit(default))
+    return _label_field(raw, description, vocab.LOCATION_PHRASES, F.lit(default))
 
 
 def seniority_level(raw: Column, description: Column, default: str = "Unknown") -> Column:
     """Level of the raw field, else keywords of the description, else its years of experience."""
-    arms = _phrase_arms("SENIORITY_PHRASES")
-    return _label_field(raw, description, arms, experience_level(description, default))
+    return _label_field(raw, description, vocab.SENIORITY_PHRASES, experience_level(description, default))
 
 
 # -- years of experience ------------------------------------------------------
@@ -156,15 +163,10 @@ def experience_level(description: Column, default: str = "Unknown") -> Column:
     is some fifty times cheaper than the pattern search it saves.
     """
     arms = _experience_arms()
-    patterns = {str(i): p for i, (_, p) in enumerate(arms)}
-
-    def label(candidates: Column) -> Column:
-        return F.coalesce(
-            *[F.when(candidates.rlike(bounded(p)), F.lit(name)) for name, p in arms], F.lit(default)
-        )
-
+    search = f"{BOUNDARY_BEFORE}(?=({'|'.join(pattern for _, pattern in arms)}){BOUNDARY_AFTER})"
     mentioned = description.contains("exp") | description.contains("kinh")
-    return F.when(mentioned, let(_candidates(description, patterns), label)).otherwise(F.lit(default))
+    found = F.when(mentioned, let(_candidates(description, search), lambda c: _first_arm(c, arms)))
+    return F.coalesce(found, F.lit(default))
 
 
 # -- salary -----------------------------------------------------------------
@@ -181,13 +183,16 @@ def salary_pattern() -> str:
     unit_opt = f"(?:{GAP}{unit})?"
     # A number that could start one digit earlier would have matched there.
     first_number = f"(?<![0-9]){number}"
-    return "|".join([
+    phrases = "|".join([
         f"{prefix}{GAP}{money}(?:{to_money})?{unit_opt}",
         f"[{vocab.SALARY_CURRENCIES}]{GAP}{number}(?:{to_money})?{unit_opt}",
         f"{first_number}{GAP}{unit}(?:{to_money}{GAP}{unit}?)?",
         f"{first_number}{to_money}{unit_opt}",
         phrase_pattern(vocab.SALARY_WORDS),
     ])
+    words = [*vocab.SALARY_PREFIXES, *vocab.SALARY_WORDS]
+    first_letters = "".join(w[0] for w in words) + vocab.SALARY_CURRENCIES + "0123456789"
+    return f"{starting_with(first_letters)}(?:{phrases})"
 
 
 def salary_phrase(raw: Column, description: Column, default: str = "Unknown") -> Column:

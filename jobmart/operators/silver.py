@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jobmart.functions import text as tx
 from jobmart.functions.dates import posted_date
-from jobmart.functions.matching import tech_keywords
+from jobmart.functions.matching import compact_text, tech_keywords
 from jobmart.operators.dedup import dedup_first
 
 JOB_COLUMNS = [
@@ -41,7 +41,7 @@ def clean_jobs(
             "_title": tx.normalised(F.col("title")),
             "_processed_at": processed,
         }
-    )
+    ).withColumn("_compact", compact_text(F.col("_description")))
     description, moment = F.col("_description"), F.col("_processed_at")
 
     def or_unknown(name: str) -> Column:
@@ -54,7 +54,7 @@ def clean_jobs(
         "location_type": tx.location_type(F.col("location_working_type"), description),
         "employment_type": tx.employment_type(F.col("working_type"), description),
         "date_posted": posted_date(F.col("date_posted"), moment),
-        "techstacks": tech_keywords(fix_cpp).match_all(description),
+        "techstacks": tech_keywords(fix_cpp).match_all(description, F.col("_compact")),
         "job_url": F.col("job_url") if keep_null_urls else or_unknown("job_url"),
         "salary": tx.salary_phrase(F.col("salary"), description),
         "level": tx.seniority_level(F.col("level"), description),
