@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobmart.functions.matching import constant
 from jobmart.operators import silver, star
 from jobmart.session import spread
 
@@ -47,8 +48,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pick(values: list[str | None], index: Column) -> Column:
-    texts = F.array(*[F.lit(v).cast("string") for v in values])
-    return F.get(texts, (index % len(values)).cast("int"))
+    return F.get(constant(values, "array<string>"), (index % len(values)).cast("int"))
 
 
 def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

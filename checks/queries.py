@@ -268,7 +268,7 @@ def sources_missing_config(spark, sf_dir):
 def load_source_config(spark, sf_dir):
     path = work_path(spark, "source-config")
     crawl.write_source_configs(_source_configs(spark, sf_dir), path)
-    loaded = crawl.load_source_configs(spark, path)
+    loaded = crawl.load_source_configs(spark, path, one_per_line=True)
     return loaded.select(
         "source_name", *[F.coalesce(f, F.lit("(null)")).alias(f) for f in
                          ("title", "job_url", "prefix_job_url", "company", "salary")]

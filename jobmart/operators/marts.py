@@ -58,12 +58,20 @@ def top_companies(fact: DataFrame, dim_company: DataFrame, top: int = 10) -> Dat
 def tech_demand(fact: DataFrame, bridge: DataFrame, dim_techstack: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Jobs per technology and day, and the technology's share of all mentions of that day.
 
-    Both sides are made distinct first: the bridge repeats words, and facts are
-    appended on every run, so a job could otherwise multiply in the join.
+    The bridge repeats words and facts are appended on every run, so both sides
+    are first reduced to one row per job: its set of technologies, at most the
+    vocabulary, and its set of days, at most the calendar.  Both sets are built
+    up inside the map tasks, and the join reuses their partitioning.
     """
-    jobs = fact.select(F.col("id").alias("fact_id"), "date_id").distinct()
-    mentions = bridge.select("fact_id", "techstack_id").distinct()
-    per_day = mentions.join(jobs, "fact_id").groupBy("date_id", "techstack_id").agg(_count("job_count"))
+    mentions = bridge.groupBy("fact_id").agg(F.collect_set("techstack_id").alias("techs"))
+    days = fact.groupBy(F.col("id").alias("fact_id")).agg(F.collect_set("date_id").alias("days"))
+    per_day = (
+        mentions.join(days, "fact_id")
+        .select(F.explode("days").alias("date_id"), "techs")
+        .select("date_id", F.explode("techs").alias("techstack_id"))
+        .groupBy("date_id", "techstack_id")
+        .agg(_count("job_count"))
+    )
     named = per_day.join(
         dim_techstack.select(F.col("id").alias("techstack_id"), F.col("tech_name").alias("technology")),
         "techstack_id",

@@ -50,16 +50,16 @@ def sources_missing_config(sources: DataFrame, configs: DataFrame) -> DataFrame:
     return sources.join(complete.select("source_name").distinct(), "source_name", "left_anti")
 
 
-def load_source_configs(spark: SparkSession, path: str) -> DataFrame:
-    """Selector configurations from JSON: a list, or ``source_configs`` holding a list or an object.
+def load_source_configs(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
+    """Selector configurations from JSON documents: a list, or ``source_configs`` holding a list or an object.
 
-    The shape is settled by which reading of the document yields something, so
-    the three forms need no inspection on the driver.
+    A file is one document, or every line is one (as ``write_source_configs``
+    leaves them).  The shape is settled per document inside the plan.
     """
-    document = spark.read.text(path, wholetext=True)
+    document = spark.read.text(path, wholetext=not one_per_line)
     one = CONFIG_SCHEMA.simpleString()
     wrapped = F.get_json_object("value", "$.source_configs")
-    body = F.when(F.ltrim("value").rlike(r"^\s*\["), F.col("value")).otherwise(wrapped)
+    body = F.when(F.col("value").rlike(r"^\s*\["), F.col("value")).otherwise(wrapped)
     as_list = F.from_json(body, f"array<{one}>")
     as_map = F.map_values(F.from_json(body, f"map<string,{one}>"))
     configs = F.when(F.ltrim(body).startswith("["), as_list).otherwise(as_map)
@@ -67,14 +67,14 @@ def load_source_configs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_source_configs(configs: DataFrame, path: str) -> None:
-    """Write ``{"source_configs": [...]}``, ordered by source name.
+    """Write configurations ordered by source name, one ``{"source_configs": [...]}`` document per line.
 
-    One document by definition; its size is the number of configured sites.
+    The order is a range-partitioned sort, so nothing is gathered in one place.
     """
-    rows = F.array_sort(F.collect_list(F.struct(*CONFIG_FIELDS)))
-    document = configs.select(*CONFIG_FIELDS).agg(F.struct(rows.alias("source_configs")).alias("d"))
-    text = F.to_json("d", {"ignoreNullFields": "false"})
-    document.select(text.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    fields = F.struct(*CONFIG_FIELDS)
+    text = F.to_json(F.struct(F.array(fields).alias("source_configs")), {"ignoreNullFields": "false"})
+    ordered = configs.select(*CONFIG_FIELDS).orderBy("source_name")
+    ordered.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
 def normalise_config(configs: DataFrame) -> DataFrame:

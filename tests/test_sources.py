@@ -285,7 +285,10 @@ def test_config_files(spark, tmp_path):
         loaded = crawl.load_source_configs(spark, str(path))
         assert sorted((r.source_name, r.title or "") for r in loaded.collect()) == [("a", ""), ("b", "t")]
     crawl.write_source_configs(loaded, str(tmp_path / "out"))
-    written = json.loads(spark.read.text(str(tmp_path / "out"), wholetext=True).first()[0])
-    assert [c["source_name"] for c in written["source_configs"]] == ["a", "b"]
-    assert set(written["source_configs"][0]) == set(pages.CONFIG_FIELDS)
+    lines = [line for file in sorted((tmp_path / "out").glob("part-*")) for line in file.read_text().splitlines()]
+    written = [json.loads(line)["source_configs"][0] for line in lines]
+    assert [c["source_name"] for c in written] == ["a", "b"]
+    assert set(written[0]) == set(pages.CONFIG_FIELDS)
+    again = crawl.load_source_configs(spark, str(tmp_path / "out"), one_per_line=True)
+    assert sorted(again.collect()) == sorted(loaded.collect())
     assert crawl.normalise_config(loaded.select("source_name")).first().prefix_job_url == ""
