@@ -57,14 +57,16 @@ def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     # About seven postings per company at every scale.
     companies = max(150, customers.count() // 10)
     documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
-    places = customers.join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    ).select("c_custkey", "c_name", "n_name")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     i = F.col("doc_id")
     rest = (i % 17).cast("int")
     company = F.when(rest < len(COMPANY_TEXTS), _pick(COMPANY_TEXTS, rest)).otherwise(F.col("c_name"))
     url_id = F.when(i % 10 == 3, i - 1).otherwise(i)
-    return documents.join(places, i % companies == F.col("c_custkey"), "left").select(
+    # One table after the other: Spark knows the size of each and need not move the texts for a small one.
+    placed = documents.join(
+        customers.select("c_custkey", "c_name", "c_nationkey"), i % companies == F.col("c_custkey"), "left"
+    ).join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return placed.select(
         "doc_id",
         _pick(TITLES, i).alias("title"),
         company.alias("company"),
