@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that results depend on (time zone) or that keep big joins healthy.
 SETTINGS = {
@@ -59,3 +60,14 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A configuration-like table marked for broadcast, once it is known to have few rows.
+
+    Joining a big table to a per-source configuration must not shuffle it by a
+    handful of source names, and the planner's estimate for a derived table can
+    be far off.  The rows are therefore counted, up to the limit; beyond it the
+    table is returned unmarked and Spark joins as it sees fit.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

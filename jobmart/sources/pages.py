@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobmart.session import broadcast_if_small
 from jobmart.sources import html
 
 # The parser travels with the task, so executors need no installation of this package.
@@ -36,9 +37,8 @@ def explode_listing_items(pages: DataFrame, sources: DataFrame) -> DataFrame:
     parsed, give no rows; an unsupported selector is an error of the
     configuration and fails the job.
     """
-    joined = pages.join(sources.select("source_name", "entry_point"), "source_name").where(
-        (F.length("html") > 0) & (F.length("entry_point") > 0)
-    )
+    entries = broadcast_if_small(sources.select("source_name", "entry_point").where(F.length("entry_point") > 0))
+    joined = pages.where(F.length("html") > 0).join(entries, "source_name")
 
     def items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         selectors: dict[str, html.Selector] = {}
@@ -68,7 +68,8 @@ def extract_fields(items: DataFrame, configs: DataFrame) -> DataFrame:
     Adds ``LISTING_FIELDS`` to page_id, source_name, url and item_no.
     """
     selectors = F.struct(*[F.col(f).cast("string").alias(f) for f in LISTING_FIELDS]).alias("selectors")
-    joined = items.join(configs.select("source_name", F.to_json(selectors).alias("selectors")), "source_name")
+    selector_table = broadcast_if_small(configs.select("source_name", F.to_json(selectors).alias("selectors")))
+    joined = items.join(selector_table, "source_name")
     fields = list(LISTING_FIELDS)
 
     def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -134,9 +135,8 @@ def detail_texts(details: DataFrame, sources: DataFrame) -> DataFrame:
     page when there is none, or the markup itself when the source has no
     selector.
     """
-    joined = details.join(sources.select("source_name", "detail_entry_point"), "source_name").where(
-        F.length("html") > 0
-    )
+    selectors = broadcast_if_small(sources.select("source_name", "detail_entry_point"))
+    joined = details.where(F.length("html") > 0).join(selectors, "source_name")
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def text(markup: str, selector: str | None) -> str:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobmart.operators import silver
+from jobmart.session import broadcast_if_small
 from jobmart.sources import crawl, html, pages, raw_jobs, tables
 
 
@@ -204,6 +205,26 @@ def test_items_and_fields(spark):
     assert [(r.title, r.job_url, r.salary) for r in fields] == [("A", "/1", None), (None, None, None)]
 
 
+def test_pages_are_not_shuffled_by_source(spark):
+    """Also not when the planner cannot know how small the derived source table is."""
+    page_table = spark.range(1000).select(
+        F.col("id").alias("page_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("source_name"),
+        F.lit("http://h/").alias("url"), F.lit("<p>x</p>").alias("html"),
+    )
+    sources = page_table.select("source_name").distinct().withColumn("entry_point", F.lit("p"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = pages.explode_listing_items(page_table, sources)
+        plan = items._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert items.count() == 1000
+        many = broadcast_if_small(page_table.select("page_id"), max_rows=10)
+        assert "ResolvedHint" not in many._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_unsupported_selector_fails(spark):
     page_table = spark.createDataFrame([(1, "s", "u", "<p>x</p>")], "page_id int, source_name string, url string, html string")
     sources = spark.createDataFrame([("s", "div:has(p)")], "source_name string, entry_point string")
