@@ -529,7 +529,7 @@ def oracle_sql() -> dict[str, str]:
         ]),
         "check_not_empty": _raw(_report([
             ("not_empty", "*", "SELECT (count(*) = 0)::BIGINT AS n FROM raw"),
-            ("not_empty", "*", "SELECT (count(*) = 0)::BIGINT AS n FROM raw WHERE doc_id < 0"),
+            ("not_empty", "*", "SELECT (count(*) = 0)::BIGINT AS n FROM raw WHERE length(title) < 0"),
         ])),
         "check_no_nulls": _raw(_report([
             ("no_nulls", c, f"SELECT count(*) - count({c}) AS n FROM raw") for c in _RAW_COLUMNS.split(", ")

@@ -213,9 +213,9 @@ def resolve_urls(spark, sf_dir):
     href = F.col("job_url")
     forms = {
         "rooted": href,
-        "relative": F.substring(href, 2, 10000),
+        "relative": F.substr(href, F.lit(2)),
         "scheme": F.concat(F.lit("//cdn.example"), href),
-        "query": F.concat(F.lit("?q="), F.substring(href, 2, 10000)),
+        "query": F.concat(F.lit("?q="), F.substr(href, F.lit(2))),
         "absolute": F.concat(F.lit("https://abs.example"), href),
         "empty": F.lit(""),
     }
@@ -566,9 +566,10 @@ def check_columns(spark, sf_dir):
 
 @query
 def check_not_empty(spark, sf_dir):
+    """All postings, and a selection that no posting meets."""
     raw = fx.raw_jobs(spark, sf_dir)
     return quality.quality_report(raw, quality.check_not_empty(raw)).unionAll(
-        quality.quality_report(raw.where("doc_id < 0"), quality.check_not_empty(raw))
+        quality.quality_report(raw.where("length(title) < 0"), quality.check_not_empty(raw))
     )
 
 

@@ -21,7 +21,8 @@ priority order, and the ordered label tests then run on those few characters.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import cache
+from functools import cache, reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -164,7 +165,8 @@ def experience_level(description: Column, default: str = "Unknown") -> Column:
     """
     arms = _experience_arms()
     search = f"{BOUNDARY_BEFORE}(?=({'|'.join(pattern for _, pattern in arms)}){BOUNDARY_AFTER})"
-    mentioned = description.contains("exp") | description.contains("kinh")
+    heads = sorted({word[:3] for word in vocab.EXPERIENCE_WORDS})
+    mentioned = reduce(or_, [description.contains(head) for head in heads])
     found = F.when(mentioned, let(_candidates(description, search), lambda c: _first_arm(c, arms)))
     return F.coalesce(found, F.lit(default))
 
