@@ -30,7 +30,7 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 def get_or_create_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """The table, created empty with the schema of ``df`` if it does not exist."""
     if not table_exists(df.sparkSession, name):
-        _write(df.limit(0), name, "errorifexists", partition_by)
+        _write(df.limit(0), name, "errorifexists", *filter(None, [partition_by]))
     return df.sparkSession.table(name)
 
 
@@ -70,19 +70,33 @@ def overwrite_table(df: DataFrame, name: str, allow_empty: bool = False) -> int:
     The new contents are written beside the table and swapped in by name, so
     ``df`` may read the table it replaces, a failed job leaves the old contents,
     and an empty result is refused before anything is lost.  Outside ``staging``
-    the schema must not change.
+    the schema must not change; columns may come in any order, and a partitioned
+    table stays partitioned.
     """
     spark = df.sparkSession
     beside = name + _NEXT
     drop_table(spark, beside)
-    if table_exists(spark, name) and not _is_staging(name):
-        _require_same_schema(df, spark.table(name), name)
+    partition_by = []
+    if table_exists(spark, name):
+        table = spark.table(name)
+        if set(df.columns) == set(table.columns):
+            df = df.select(*table.columns)
+            partition_by = _partition_columns(spark, name)
+        if not _is_staging(name):
+            _require_same_schema(df, table, name)
     _write(df, beside, "overwrite")
     rows = spark.table(beside).count()
     if rows == 0 and not allow_empty:
         drop_table(spark, beside)
         raise ValueError(f"refusing to store an empty result in {name}")
-    _swap(spark, beside, name)
+    if partition_by:
+        # Renaming would leave the catalog's partition locations behind, so a
+        # partitioned table is filled from the complete copy instead.
+        copy = spark.table(beside)
+        copy.write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(name)
+        drop_table(spark, beside)
+    else:
+        _swap(spark, beside, name)
     return rows
 
 
@@ -129,9 +143,12 @@ def clear_tables(spark: SparkSession, names: list[str]) -> dict[str, int]:
 # -- helpers ------------------------------------------------------------------
 
 
-def _write(df: DataFrame, name: str, mode: str, partition_by: str | None = None) -> None:
-    writer = df.write.format("parquet").mode(mode)
-    (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(name)
+def _write(df: DataFrame, name: str, mode: str, *partition_by: str) -> None:
+    df.write.format("parquet").mode(mode).partitionBy(*partition_by).saveAsTable(name)
+
+
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
 def _swap(spark: SparkSession, beside: str, name: str) -> None:

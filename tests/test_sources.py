@@ -137,6 +137,18 @@ def test_append_and_upsert(spark, prefix):
         tables.upsert_table(changed, name, "gone")
 
 
+def test_partitioned_tables_stay_partitioned(spark, prefix, tmp_path):
+    name = prefix + "gold.p"
+    rows = spark.createDataFrame([("20260521", 1), ("20260522", 2)], "day string, id int")
+    assert tables.append_table(rows, name, partition_by="day") == 2
+    assert tables.append_table(rows.withColumn("id", F.col("id") + 10), name, partition_by="day") == 2
+    assert tables.upsert_table(rows.withColumn("day", F.lit("20260523")), name, "id") == 2
+    assert sorted((r.id, r.day) for r in spark.table(name).collect()) == [
+        (1, "20260523"), (2, "20260523"), (11, "20260521"), (12, "20260522"),
+    ]
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["day"]
+
+
 def test_catalog_and_clear(spark, prefix):
     name = prefix + "staging.t"
     tables.get_or_create_table(numbers(spark, 1), name)
