@@ -179,8 +179,8 @@ def _replace_bridge(lake: Lake, staged: DataFrame, name: str) -> int:
 def clean_staging(lake: Lake, load_date: str) -> dict:
     """Empty all staging tables, keeping their schemas, and the staged raw files of the date."""
     cleared = tables.clear_tables(lake.spark, [lake.table(t) for t in STAGING_TABLES])
-    lines = lake.spark.createDataFrame([], "value string").withColumn("load_date", F.lit(load_date))
-    lines.drop("load_date").write.mode("overwrite").text(raw_jobs.partition_path(lake.staged_raw, load_date))
+    no_lines = lake.spark.createDataFrame([], "value string")
+    no_lines.write.mode("overwrite").text(raw_jobs.partition_path(lake.staged_raw, load_date))
     return {"tables_cleared": cleared, "load_date": load_date}
 
 

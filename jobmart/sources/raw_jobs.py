@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,35 +44,27 @@ def read_raw_jobs(spark: SparkSession, base: str, load_date: str, *, with_order:
 
 
 def write_raw_jobs(jobs: DataFrame, base: str, load_date: str) -> None:
-    """Replace one load date; nulls are written, so every line has every field."""
-    (
-        jobs.select(*RAW_COLUMNS, F.lit(load_date).alias("load_date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("ignoreNullFields", "false")
-        .partitionBy("load_date")
-        .json(base)
-    )
+    """Replace one load date; nulls are written, so every line has every field.
+
+    No postings at all leave an empty file, as a day without results should.
+    """
+    writer = jobs.select(*RAW_COLUMNS).write.mode("overwrite").option("ignoreNullFields", "false")
+    writer.json(partition_path(base, load_date))
 
 
 def publish_partition(spark: SparkSession, staged: str, target: str, load_date: str) -> int:
     """Copy a staged load date to the target and return its rows; an unstaged date is an error.
 
     Lines are copied as text, so published files hold exactly what was staged.
-    Publishing again replaces the load date, so a retry after a lost job is safe.
+    Publishing replaces the load date, so it can simply be run again after a
+    lost job: staging is cleared last.
     """
     try:
-        lines = spark.read.text(partition_path(staged, load_date), wholetext=False)
-        rows = lines.count()
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            raise ValueError(f"nothing staged for {load_date} under {staged}") from error
-        raise
-    (
-        lines.select("value", F.lit(load_date).alias("load_date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_date")
-        .text(target)
-    )
-    return rows
+        lines = spark.read.text(partition_path(staged, load_date))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise ValueError(f"nothing staged for {load_date} under {staged}") from error
+    published = partition_path(target, load_date)
+    lines.write.mode("overwrite").text(published)
+    return spark.read.text(published).count()

@@ -108,6 +108,14 @@ def test_kept_null_urls_are_not_stored_twice_by_a_retry(spark, make_lake):
     assert spark.table(lake.table("silver.jobs")).where("job_url is null").count() == missing
 
 
+def test_a_day_without_postings_is_refused_by_silver(spark, make_lake):
+    lake = make_lake()
+    result = run(lake, "bronze", DAY, postings=fx.raw_jobs(spark, SMALL).limit(0))
+    assert result["promote_bronze"]["promoted_rows"] == 0
+    with pytest.raises(ValueError, match="empty"):
+        run(lake, "silver", DAY)
+
+
 def test_errors(spark, make_lake):
     lake = make_lake()
     for layer, step, day in (("bronze", "load", DAY), ("copper", "all", DAY), ("silver", "all", "21-05-2026"),
