@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,13 +36,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **setting
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session without that setting, as in tests, gets a temporary folder.
+    A session without that setting uses a folder in its warehouse, which the driver and the executors share as well.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="jobmart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "scratch")
 
 
 def work_path(spark: SparkSession, name: str) -> str:
