@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import language, lines, mixing, tokens
+from jobmart.llm import language, lines, mixing, quality, rules, tokens
 from jobmart.llm.common import held_out, stored, table
 from jobmart.session import work_path
 
@@ -53,9 +53,25 @@ def op3_source_mix(spark, sf_dir):
     return mixing.mix(stored(docs, "sizes"), F.array("source"), F.col("size")).drop("source")
 
 
+@query
+def op5_quality(spark, sf_dir):
+    """The quality of every document, from pairwise preferences."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.classify(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     """Every document without the lines that at least ten documents share."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = lines.drop_frequent_lines(docs, lines.build(docs))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op9_quality_rules(spark, sf_dir):
+    """The rule counts of every document, and whether it is kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = rules.fit(docs, table(spark, sf_dir, "labels"))
+    return rules.apply_rules(docs, model).select("doc_id", *rules.COUNTS, "base_failed", "kept", "probability")
