@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import language, lines, mixing, quality, rules, tokens
+from jobmart.llm import language, lines, mixing, nearcopies, quality, rules, tokens
 from jobmart.llm.common import held_out, stored, table
 from jobmart.session import work_path
 
@@ -75,3 +75,9 @@ def op9_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = rules.fit(docs, table(spark, sf_dir, "labels"))
     return rules.apply_rules(docs, model).select("doc_id", *rules.COUNTS, "base_failed", "kept", "probability")
+
+
+@query
+def op10_near_copies(spark, sf_dir):
+    """The class of near copies of every document."""
+    return nearcopies.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
