@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobmart.llm import darts, words
@@ -134,6 +134,23 @@ def _classes(nodes: DataFrame, docs: DataFrame, size: int, similarity: float) ->
     return found.select("node", F.col("component").alias("class"))
 
 
+def _marked(docs: DataFrame, text: str, doc_id: str, size: int, similarity: float, rows: int, bands: int) -> DataFrame:
+    """``id``, ``text_hash``, ``h1``, ``h2`` and ``class_id`` of every row."""
+    ids = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    signs = ids.select("id", F.xxhash64("text").alias("text_hash"), signed(F.col("text"), size, rows, bands).alias("s"))
+    marked = stored(signs.select("id", "text_hash", "s.*"), "signatures")
+    content = marked.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
+    content = content.select("h1", "h2", F.coalesce("id", "h1").alias("node"), F.isnull("id").alias("unnamed"), "bands")
+    content = stored(content, "contents")
+    # One text for each node: of the row that gave the node its number. Rows without an id are found by their content.
+    named = ids.where("id is not null").withColumnRenamed("id", "node")
+    unnamed = ids.where("id is null").withColumn("s", signed(F.col("text"), size, rows, 1)).select("text", "s.h1", "s.h2")
+    unnamed = unnamed.join(content.where("unnamed"), ["h1", "h2"]).select("node", "text")
+    found = _classes(content.select("node", "bands"), named.unionByName(unnamed), size, similarity)
+    classes = content.join(found, "node", "left").select("h1", "h2", F.coalesce("class", "node").alias("class_id"))
+    return marked.drop("bands").join(classes, ["h1", "h2"])
+
+
 def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE,
                 similarity: float = SIMILARITY, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """A row for each row of ``docs`` with ``doc_id`` and ``class_id``: the least id among all rows of its class.
@@ -142,15 +159,21 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", siz
     ids are allowed: such a row stands for its content alone, and a class of nothing else is numbered by a hash of the
     content. All texts without words, null and empty ones too, are equal. An empty table gives no rows.
     """
-    ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    marked = stored(ids.select("doc_id", signed(F.col("text"), size, rows, bands).alias("s")).select("doc_id", "s.*"), "signatures")
-    content = marked.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
-    content = stored(content.select("h1", "h2", F.coalesce("id", "h1").alias("node"), F.isnull("id").alias("unnamed"), "bands"), "contents")
-    # One text for each node: of the row that gave the node its number. Rows without an id are found by their content.
-    named = ids.where("doc_id is not null").withColumnRenamed("doc_id", "node")
-    unnamed = ids.where("doc_id is null").withColumn("s", signed(F.col("text"), size, rows, 1)).select("text", "s.h1", "s.h2")
-    unnamed = unnamed.join(content.where("unnamed"), ["h1", "h2"]).select("node", "text")
-    texts = named.unionByName(unnamed)
-    found = _classes(content.select("node", "bands"), texts, size, similarity)
-    classes = content.join(found, "node", "left").select("h1", "h2", F.coalesce("class", "node").alias("class_id"))
-    return marked.select("doc_id", "h1", "h2").join(classes, ["h1", "h2"]).select("doc_id", "class_id")
+    marked = _marked(docs, text, doc_id, size, similarity, rows, bands)
+    return marked.select(F.col("id").alias("doc_id"), "class_id")
+
+
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE,
+             similarity: float = SIMILARITY, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
+    """One row of ``docs`` for each class, with all its columns: that of the least id, null ids last.
+
+    Of rows equal in id and text one stays, chosen by a hash of the other columns.
+    """
+    marked = stored(_marked(docs, text, doc_id, size, similarity, rows, bands), "classes")
+    first = F.min(F.struct(F.isnull("id").alias("unnamed"), "id", "text_hash")).alias("first")
+    kept = marked.groupBy("class_id").agg(first).select(F.col("first.id").alias("_kept"), F.col("first.text_hash").alias("_kept_hash"))
+    rest = [c for c in docs.columns if c not in (text, doc_id)]
+    place = Window.partitionBy(F.col(doc_id), F.col("_hash")).orderBy(F.xxhash64(F.lit(0), *rest))
+    single = docs.withColumn("_hash", F.xxhash64(text)).withColumn("_place", F.row_number().over(place)).where("_place = 1")
+    same = single[doc_id].eqNullSafe(kept["_kept"]) & (single["_hash"] == kept["_kept_hash"])
+    return single.join(kept, same, "left_semi").select(*docs.columns)

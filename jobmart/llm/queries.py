@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import language, lines, mixing, nearcopies, quality, rules, tokens
+from jobmart.llm import decontaminate, language, lines, mixing, nearcopies, quality, rules, tokens
 from jobmart.llm.common import held_out, stored, table
 from jobmart.session import work_path
 
@@ -61,6 +61,13 @@ def op5_quality(spark, sf_dir):
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op6_decontamination(spark, sf_dir):
+    """The benchmark items found in documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.passages(docs, table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     """Every document without the lines that at least ten documents share."""
