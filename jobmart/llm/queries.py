@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import decontaminate, language, lines, mixing, nearcopies, quality, rules, tokens
+from jobmart.llm import decontaminate, language, lines, mixing, nearcopies, quality, rules, secretscan, tokens
 from jobmart.llm.common import held_out, stored, table
 from jobmart.session import work_path
 
@@ -53,6 +53,17 @@ def op3_source_mix(spark, sf_dir):
     return mixing.mix(stored(docs, "sizes"), F.array("source"), F.col("size")).drop("source")
 
 
+@query
+def op4_secrets(spark, sf_dir):
+    """The secrets of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.withColumn("found", secretscan.scan(F.col("text"), secretscan.fit(docs)))
+    return found.select(
+        "doc_id", "found.n_assign", "found.n_access", "found.n_hex", F.sha2("found.base", 256).alias("base_sha256"),
+        "found.spans",
+    )
+
+
 @query
 def op5_quality(spark, sf_dir):
     """The quality of every document, from pairwise preferences."""
