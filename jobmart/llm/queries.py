@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import decontaminate, language, lines, mixing, nearcopies, quality, rules, secretscan, tokens
-from jobmart.llm.common import held_out, stored, table
+from jobmart.llm import decontaminate, language, lines, mixing, nearcopies, quality, rules, secretscan, tokens, transcripts
+from jobmart.llm.common import fold, held_out, stored, table
 from jobmart.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,18 @@ def op7_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op8_chat_transcripts(spark, sf_dir):
+    """The turns recovered from all conversations, written out as transcripts in mixed styles."""
+    written = transcripts.written_out(table(spark, sf_dir, "conversations"))
+    model = transcripts.fit(written.where(fold("conv_id") != 0))
+    parsed = written.select("conv_id", "segment", transcripts.parse(F.col("transcript"), model).alias("turns"))
+    turns = parsed.select("conv_id", "segment", F.posexplode("turns").alias("place", "t"))
+    return turns.select(
+        "conv_id", (F.col("segment") * transcripts.SEGMENT + F.col("place")).alias("turn"), "t.role", "t.text"
+    )
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     """The rule counts of every document, and whether it is kept."""
