@@ -15,16 +15,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is determined; rejected ones go."""
-    return language.identify(docs).where(~F.col("rejected")).select(*docs.columns)
+    return language.keep_identified(docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that at least ten of them share; ``n_chars`` follows the text."""
-    kept = lines.drop_frequent_lines(docs, lines.build(docs))
-    changed = {"text": F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))
-    return kept.withColumns(changed).select(*docs.columns)
+    return lines.shorten(docs, lines.build(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -122,3 +122,10 @@ def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: st
     model = fit_on_folds(docs, text, lang, doc_id)
     found = docs.withColumn("prediction", predict(model, F.col(text)))
     return found.withColumn("rejected", rejected(F.col("prediction"), MIN_MARGIN))
+
+
+def keep_identified(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose prediction is not rejected, with its own columns only."""
+    model = fit_on_folds(docs, text, lang, doc_id)
+    found = docs.withColumn("_prediction", predict(model, F.col(text)))
+    return found.where(~rejected(F.col("_prediction"), MIN_MARGIN)).select(*docs.columns)

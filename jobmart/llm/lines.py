@@ -151,13 +151,13 @@ def _sent(index: LineIndex, limit: int) -> list[CuckooFilter | None] | None:
     return found
 
 
-def drop_frequent_lines(docs: DataFrame, index: LineIndex, text: str = "text", doc_id: str = "doc_id",
-                        broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``docs`` with ``kept_text``, ``n_lines`` and ``n_dropped``: all lines gone whose key is frequent.
+def with_kept(docs: DataFrame, index: LineIndex, text: str = "text", doc_id: str = "doc_id",
+              broadcast_bytes: int = BROADCAST_BYTES, into: str = "_kept") -> DataFrame:
+    """``docs`` with a struct of ``kept_text``, ``n_lines`` and ``n_dropped``: all lines gone whose key is frequent.
 
     The filters tell most lines apart where the text lies; those that test positive are looked up in the exact
     counts, so a false positive never drops a line. Other lines stay, joined by a line feed. A null or empty text is
-    one empty line and gives an empty text. Every row is kept, repeated rows too. Columns of these names are replaced.
+    one empty line and gives an empty text. Every row is kept, repeated rows too.
     """
     spark, shards, min_length = docs.sparkSession, index.shards, index.min_length
     filters = _sent(index, broadcast_bytes)
@@ -193,13 +193,33 @@ def drop_frequent_lines(docs: DataFrame, index: LineIndex, text: str = "text", d
                 rows.append((kept, len(split), len(gone)))
             yield pd.DataFrame(rows, columns=["kept_text", "n_lines", "n_dropped"])
 
-    old = docs.drop("kept_text", "n_lines", "n_dropped")
-    names = old.columns
-    rows = old.withColumn("_hash", F.xxhash64(text))
+    rows = docs.withColumn("_hash", F.xxhash64(text))
     hits = rows.select(F.col(doc_id).alias("_id"), "_hash", F.explode(candidates(F.col(text).cast("binary"))).alias("x"))
     hits = hits.select("_id", "_hash", "x.line", "x.key").join(index.frequent().select("key"), "key")
     gone = hits.groupBy("_id", "_hash").agg(F.collect_set("line").alias("_gone"))
     gone = gone.withColumnRenamed("_hash", "_gone_hash")
     same = rows[doc_id].eqNullSafe(gone["_id"]) & (rows["_hash"] == gone["_gone_hash"])
-    joined = rows.join(gone, same, "left").withColumn("_kept", without(F.col(text), F.col("_gone")))
-    return joined.select(*names, "_kept.*")
+    joined = rows.join(gone, same, "left").withColumn(into, without(F.col(text), F.col("_gone")))
+    return joined.select(*docs.columns, into)
+
+
+def drop_frequent_lines(docs: DataFrame, index: LineIndex, text: str = "text", doc_id: str = "doc_id",
+                        broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``with_kept`` as columns of their own; columns of their names are replaced."""
+    old = docs.drop("kept_text", "n_lines", "n_dropped")
+    return with_kept(old, index, text, doc_id, broadcast_bytes).select(*old.columns, "_kept.*")
+
+
+def shorten(docs: DataFrame, index: LineIndex, text: str = "text", doc_id: str = "doc_id",
+            n_chars: str = "n_chars") -> DataFrame:
+    """``docs`` with frequent lines gone from the text, and its length in ``n_chars``, if that column exists.
+
+    Rows without any frequent line stay as they are, null texts too.
+    """
+    kept = with_kept(docs, index, text, doc_id)
+    changed, new = F.col("_kept.n_dropped") > 0, {}
+    new[text] = F.when(changed, F.col("_kept.kept_text")).otherwise(F.col(text))
+    if n_chars in docs.columns:
+        length = F.length("_kept.kept_text").cast(docs.schema[n_chars].dataType)
+        new[n_chars] = F.when(changed, length).otherwise(F.col(n_chars))
+    return kept.withColumns(new).select(*docs.columns)
