@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from jobmart.functions.matching import constant
 from jobmart.operators import silver, star
-from jobmart.session import spread
+from jobmart.session import work_path
 
 LOAD_DATE = "2026-05-21"
 PROCESSED_AT = "2026-05-21 02:00:00"
@@ -33,7 +33,10 @@ POSTED = [
     "30+ days ago", "1 week ago", "yesterday", "hôm nay", "2 months ago", "31-02-2026", None,
 ]
 APPLICANTS = ["12", " 7 ", "12.6", "1,234", "abc", "", None, "1e3", "-3.5"]
-SALARIES = [None, "  1000 USD ", "unknown", "Negotiable", "n/a"]
+SALARIES = [
+    None, "  1000 USD ", "unknown", "Negotiable", "n/a", "15.000.000 - 20.000.000 VND", "1,234,567 usd", "$1,500.50",
+    "15 - 20 million", "2,000 - 1,000 usd", "1.5 million vnd",
+]
 LEVELS = [None, "Senior", "Entry Level", "wizard", "Trưởng nhóm", "N/A"]
 PHRASES = [
     "Python, Spark and Kafka", "spring boot", "springboot / node.js", "C++ and C#", "asp.net mvc",
@@ -54,17 +57,17 @@ def _pick(values: list[str | None], index: Column) -> Column:
 def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw posting table (12 text columns) with doc_id, which orders it."""
     customers = table(spark, sf_dir, "customer")
-    # About seven postings per company at every scale.
-    companies = max(150, customers.count() // 10)
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     i = F.col("doc_id")
+    # Squares spread over the whole customer table and meet some customers often.
+    customer = i * i % customers.agg(F.count(F.lit(1))).scalar()
     rest = (i % 17).cast("int")
     company = F.when(rest < len(COMPANY_TEXTS), _pick(COMPANY_TEXTS, rest)).otherwise(F.col("c_name"))
     url_id = F.when(i % 10 == 3, i - 1).otherwise(i)
     # One table after the other: Spark knows the size of each and need not move the texts for a small one.
     placed = documents.join(
-        customers.select("c_custkey", "c_name", "c_nationkey"), i % companies == F.col("c_custkey"), "left"
+        customers.select("c_custkey", "c_name", "c_nationkey"), customer == F.col("c_custkey"), "left"
     ).join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return placed.select(
         "doc_id",
@@ -105,9 +108,29 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_companies(raw_jobs(spark, sf_dir))
 
 
+_STORED: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Silver of many days and its star, written to the shared folder once a session and read by all that need them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        paths = {}
+
+        def store(name: str, df: DataFrame) -> DataFrame:
+            paths[name] = work_path(spark, name)
+            df.write.parquet(paths[name])
+            return spark.read.parquet(paths[name])
+
+        silver_jobs = store("jobs", jobs(spark, sf_dir, processed_on_many_days()))
+        silver_companies = store("companies", companies(spark, sf_dir))
+        bounds = star.date_bounds(spark, CALENDAR_START, 365)
+        for name, df in star.build_star(silver_jobs, silver_companies, bounds).items():
+            store(name, df)
+        _STORED[key] = paths
+    return {name: spark.read.parquet(path) for name, path in _STORED[key].items()}
+
+
 def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return star.build_star(
-        jobs(spark, sf_dir, processed_on_many_days()),
-        companies(spark, sf_dir),
-        star.date_bounds(spark, CALENDAR_START, 365),
-    )
+    found = stored_tables(spark, sf_dir)
+    return {name: df for name, df in found.items() if name not in ("jobs", "companies")}

@@ -156,7 +156,7 @@ raw AS (
     {_pick(fx.LEVELS)} AS level,
     {_pick(fx.APPLICANTS)} AS number_applicants
   FROM documents
-  LEFT JOIN customer ON c_custkey = doc_id % (SELECT greatest(150, count(*) // 10) FROM customer)
+  LEFT JOIN customer ON c_custkey = doc_id * doc_id % (SELECT count(*) FROM customer)
   LEFT JOIN nation ON n_nationkey = c_nationkey
 ),
 prepared AS (
@@ -283,9 +283,50 @@ config AS (
     CASE WHEN s_nationkey <> 9 THEN 'a@href' END AS job_url,
     CASE WHEN s_nationkey = 7 THEN '' ELSE 'https://jobs.example/' END AS prefix_job_url,
     CASE WHEN s_nationkey > 12 THEN '.company' END AS company
-  FROM supplier WHERE s_acctbal >= 0
+  FROM supplier
 )"""
 
+
+
+def _checksum(columns: str) -> str:
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '(null)')" for c in columns.split(", "))
+    return f"CAST(sum(CAST('0x' || md5(concat_ws('|', {text}))[1:8] AS BIGINT)) AS BIGINT) AS checksum"
+
+
+# Star tables with their columns in alphabetical order.
+_STAR = {
+    "dim_company": "SELECT '0' AS company_size, id, industry, location, name FROM companies "
+    "UNION ALL SELECT '0', 'Unknown', 'Unknown', 'Unknown', 'Unknown'",
+    "dim_location": "SELECT 'N/A' AS city, country, 'N/A' AS district, id FROM (VALUES ('LOC_REMOTE', 'Remote'), "
+    "('LOC_ONSITE', 'Vietnam'), ('LOC_HYBRID', 'Vietnam'), ('LOC_NA', 'N/A')) AS l(id, country)",
+    "dim_date": "SELECT dayname(full_date) AS day_of_week, strftime(full_date, '%Y-%m-%d') AS full_date, id, "
+    "month(full_date) AS month, quarter(full_date) AS quarter, year(full_date) AS year FROM calendar",
+    **{
+        t: f"SELECT md5({c}) AS id, {c} AS {n} FROM jobs WHERE {c} NOT IN ('', '{u}') GROUP BY {c} "
+        f"UNION ALL SELECT md5('{u}'), '{u}'"
+        for t, c, n, u in (
+            ("dim_source", "source_name", "source_name", "Unknown"), ("dim_working_model", "location_type", "name", "N/A"),
+        )
+    },
+    "dim_role": "SELECT md5(role) AS id, role AS role_name FROM jobs WHERE role NOT IN ('', 'Unknown') GROUP BY role "
+    "UNION ALL SELECT md5('Unknown'), 'Unknown'",
+    "dim_level": "SELECT md5(level) AS id, level AS level_name FROM jobs WHERE level NOT IN ('', 'Unknown') "
+    "GROUP BY level UNION ALL SELECT md5('Unknown'), 'Unknown'",
+    "dim_techstack": f"SELECT {_CATEGORY} AS category, md5(tech) AS id, tech AS tech_name FROM mention GROUP BY tech "
+    "UNION ALL SELECT 'Other', md5('Unknown'), 'Unknown'",
+    "fact_hiring": "SELECT company_id, date_id, id, job_status, level_id, location_id, number_of_applicants, role_id, "
+    "salary_max_vnd, salary_min_vnd, source_id, working_model FROM fact",
+    "bridge_tech_fact": "SELECT fact_id, techstack_id FROM bridge",
+}
+_STAR_COLUMNS = {
+    "dim_company": "company_size, id, industry, location, name", "dim_location": "city, country, district, id",
+    "dim_date": "day_of_week, full_date, id, month, quarter, year", "dim_source": "id, source_name",
+    "dim_role": "id, role_name", "dim_level": "id, level_name", "dim_working_model": "id, name",
+    "dim_techstack": "category, id, tech_name", "bridge_tech_fact": "fact_id, techstack_id",
+    "fact_hiring": "company_id, date_id, id, job_status, level_id, location_id, number_of_applicants, role_id, "
+    "salary_max_vnd, salary_min_vnd, source_id, working_model",
+}
+
 _JOB_GROUP = "CAST(processed_at AS DATE), company_id, title, location_type, employment_type, level"
 
 
@@ -293,7 +334,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         # tables and files
         "read_raw_jobs": _raw(f"SELECT {_RAW_COLUMNS} FROM raw"),
-        "write_raw_jobs": _raw(f"SELECT '{_RAW_COLUMNS.replace(', ', ',')}' AS fields, count(*) AS lines FROM raw"),
+        "write_raw_jobs": _raw(
+            f"SELECT '{_RAW_COLUMNS.replace(', ', ',')}' AS fields, count(*) AS lines, {_checksum(_RAW_COLUMNS)} FROM raw"
+        ),
         "publish_partition": _raw(
             "SELECT source_name, count(*) AS rows, CAST(sum(length(description)) AS BIGINT) AS characters "
             "FROM raw GROUP BY source_name"
@@ -310,10 +353,31 @@ def oracle_sql() -> dict[str, str]:
             "SELECT 'companies' AS table_name, count(*) - count(*) AS rows FROM companies "
             "UNION ALL SELECT 'ids', count(*) FROM companies"
         ),
-        "clear_staging": _with_companies(
-            "SELECT 'staging.silver_companies' AS table_name, count(*) - count(*) AS rows, 6 AS columns "
-            "FROM companies UNION ALL SELECT 'staging.gold_dim_company', 0, 5"
+        "clear_staging": "SELECT 'raw files' AS table_name, (count(*) * 0)::BIGINT AS rows, 12 AS columns FROM documents "
+        + "".join(
+            f"UNION ALL SELECT 'staging.{t}', 0, {n} "
+            for t, n in [("silver_jobs", 13), ("silver_companies", 6)]
+            + [(f"gold_{t}", len(c.split(", "))) for t, c in _STAR_COLUMNS.items()]
+        ),
+        "upsert_table": _with_star(
+            "SELECT job_url, location_type, number_applicants + (location_type = 'REMOTE')::INTEGER "
+            "AS number_applicants FROM jobs UNION ALL "
+            "SELECT job_url || '/repost', location_type, number_applicants FROM jobs WHERE location_type = 'HYBRID'"
         ),
+        "daily_run": f"""
+            WITH {RAW_JOBS},
+            first AS (SELECT * FROM prepared WHERE job_url IS NOT NULL AND doc_id % 10 <> 3),
+            known AS (
+              SELECT job_url, CASE WHEN doc_id % 3 = 0 THEN 777 ELSE {_APPLICANTS} END AS applicants FROM first
+              UNION ALL SELECT job_url || '/new', {_APPLICANTS} FROM first WHERE doc_id % 7 = 0
+            )
+            SELECT 'job' AS kind, job_url AS name, CAST(applicants AS BIGINT) AS value FROM known
+            UNION ALL SELECT 'table', 'dim_role', count(DISTINCT r) FROM
+              (SELECT {_ROLE} AS r FROM first UNION ALL SELECT 'Unknown')
+            UNION ALL SELECT 'table', 'dim_level', count(DISTINCT l) FROM
+              (SELECT {_LEVEL} AS l FROM first UNION ALL SELECT 'Unknown')
+            UNION ALL SELECT 'table', 'dim_company', count(DISTINCT {_SLUG}) + 1 FROM first
+            UNION ALL SELECT 'table', 'fact_hiring', (SELECT count(*) FROM first) + (SELECT count(*) FROM known)""",
         # pages
         "crawl_frontier": f"""
             WITH role AS (SELECT unnest([{', '.join(map(_lit, vocab.CRAWL_ROLE_SLUGS))}]) AS slug),
@@ -350,8 +414,29 @@ def oracle_sql() -> dict[str, str]:
               UNION ALL SELECT page_id, item_no, 'absolute', 'https://abs.example' || href,
                 'https://abs.example' || href FROM base
               UNION ALL SELECT page_id, item_no, 'empty', '(null)', '(null)' FROM base
+              UNION ALL SELECT page_id, item_no, 'up', '../x/./' || href[2:],
+                origin || coalesce(nullif(regexp_replace(regexp_extract(path, '^.*/'), '[^/]*/$', ''), ''), '/') || 'x/'
+                || href[2:] FROM base
+              UNION ALL SELECT page_id, item_no, 'dots', '/a/b/../.' || href, origin || '/a' || href FROM base
             )
             SELECT page_id, item_no, form, resolved, link AS unresolved FROM form""",
+        "extract_postings": f"""
+            WITH {_LINKS},
+            page AS (
+              SELECT page_id, html, regexp_extract(url, '^https?://[^/?#]*\\.([a-z]+)', 1) AS source,
+                regexp_extract(html, '<li><a href="(/[^"&]+)">', 1) AS first_link,
+                trim({_unescaped("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")}) AS heading
+              FROM pages
+            ),
+            detail AS (SELECT source, first_link, arg_min(heading, page_id) AS heading FROM page WHERE first_link <> '' GROUP BY ALL)
+            SELECT l.page_id, item_no, p.source AS source_name, coalesce(nullif(words, ''), '(null)') AS title,
+              coalesce(nullif(words, ''), '(null)') AS company,
+              coalesce('https://jobs.' || p.source || nullif(href, ''), '(null)') AS job_url,
+              CASE WHEN href LIKE '/%' AND words <> '' THEN words ELSE '(null)' END AS level, '(null)' AS salary,
+              coalesce(d.heading, '(null)') AS description
+            FROM link l JOIN page p ON p.page_id = l.page_id
+            LEFT JOIN detail d ON d.source = p.source AND d.first_link = href
+            WHERE p.source <> 'org'""",
         "join_details": f"""
             WITH {_LINKS},
             heading AS (
@@ -360,7 +445,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT page_id, item_no, CASE WHEN contains(item_html, ',') THEN '(null)' ELSE words END AS description
             FROM item JOIN heading USING (page_id)""",
         "sources_missing_config": f"""
-            WITH {_CONFIG} SELECT s_name AS source_name FROM supplier WHERE s_name NOT IN (
+            WITH {_CONFIG} SELECT s_name AS source_name FROM supplier WHERE s_acctbal < 0 OR s_name NOT IN (
               SELECT source_name FROM config WHERE title <> '' AND job_url <> '' AND prefix_job_url <> '')""",
         "load_source_config": f"""
             WITH {_CONFIG} SELECT source_name, title, coalesce(job_url, '(null)') AS job_url, prefix_job_url,
@@ -430,22 +515,18 @@ def oracle_sql() -> dict[str, str]:
         "fact_hiring": _with_jobs("SELECT * FROM fact", _DAY_MOMENT),
         "bridge_tech_fact": _with_jobs("SELECT * FROM bridge"),
         "build_star": _with_star(
-            "SELECT 'dim_company' AS table_name, count(*) + 1 AS rows FROM companies "
-            "UNION ALL SELECT 'dim_location', 4 UNION ALL SELECT 'dim_date', count(*) FROM calendar "
-            + "".join(
-                f"UNION ALL SELECT '{t}', count(DISTINCT {c}) + 1 FROM jobs WHERE {c} NOT IN ('', 'Unknown', 'N/A') "
-                for t, c in (("dim_source", "source_name"), ("dim_role", "role"), ("dim_level", "level"),
-                             ("dim_working_model", "location_type"))
+            " UNION ALL ".join(
+                f"SELECT '{t}' AS table_name, count(*) AS rows, {_checksum(_STAR_COLUMNS[t])} FROM ({sql})"
+                for t, sql in _STAR.items()
             )
-            + "UNION ALL SELECT 'dim_techstack', count(DISTINCT tech) + 1 FROM mention "
-            "UNION ALL SELECT 'fact_hiring', count(*) FROM fact UNION ALL SELECT 'bridge_tech_fact', count(*) FROM bridge"
         ),
         "check_foreign_keys": _with_star(
             "SELECT 'date_id' AS foreign_key, count(DISTINCT date_id) AS orphan_values, count(*) AS orphan_rows "
             "FROM fact WHERE date_id > strftime(DATE '2026-04-21' + 99, '%Y%m%d') "
             + "".join(
                 f"UNION ALL SELECT '{fk}', 0, 0 "
-                for fk in ("company_id", "source_id", "location_id", "role_id", "level_id", "working_model")
+                for fk in ("company_id", "source_id", "location_id", "role_id", "level_id", "working_model", "fact_id",
+                           "techstack_id")
             )
         ),
         # marts
@@ -506,9 +587,11 @@ def oracle_sql() -> dict[str, str]:
                   location_type, currency, round(avg(lo), 4) AS avg_salary_min, round(avg(hi), 4) AS avg_salary_max,
                   round(median((lo + hi) / 2), 4) AS median_salary, count(*) AS job_count
                 FROM (
-                  SELECT *, scale * numbers[1] AS lo, scale * coalesce(numbers[2], numbers[1]) AS hi
+                  SELECT f.* EXCLUDE (currency), coalesce(known.currency, f.currency) AS currency,
+                    coalesce(known.lo, least(scale * numbers[1], scale * coalesce(numbers[2], numbers[1]))) AS lo,
+                    coalesce(known.hi, greatest(scale * numbers[1], scale * coalesce(numbers[2], numbers[1]))) AS hi
                   FROM (
-                    SELECT processed_at, title, level, location_type,
+                    SELECT processed_at, title, level, location_type, salary,
                       CASE WHEN contains(lower(salary), 'usd') OR contains(salary, '$') THEN 'usd'
                         WHEN contains(salary, '€') THEN 'eur' WHEN contains(salary, '£') THEN 'gbp'
                         WHEN regexp_matches(lower(salary), 'vnd|vnđ|trieu|triệu|million') THEN 'vnd'
@@ -518,7 +601,13 @@ def oracle_sql() -> dict[str, str]:
                       [replace(CASE WHEN regexp_matches(x, '[.,][0-9]{3}$') THEN x[:-5] || x[-3:] ELSE x END,
                         ',', '.')::DOUBLE FOR x IN regexp_extract_all(salary, '[0-9]+([.,][0-9]+)?')] AS numbers
                     FROM jobs
-                  )
+                  ) f
+                  LEFT JOIN (VALUES -- expected values, as literals
+                    ('15.000.000 - 20.000.000 VND', 'vnd', 15000000.0, 20000000.0),
+                    ('1,234,567 usd', 'usd', 1234567.0, 1234567.0), ('$1,500.50', 'usd', 1500.5, 1500.5),
+                    ('15 - 20 million', 'vnd', 15000000.0, 20000000.0), ('2,000 - 1,000 usd', 'usd', 1000.0, 2000.0),
+                    ('1.5 million vnd', 'vnd', 1500000.0, 1500000.0)
+                  ) AS known(salary, currency, lo, hi) ON known.salary = f.salary
                 ) WHERE lo IS NOT NULL GROUP BY ALL"""
         ),
         # quality

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
@@ -14,7 +14,7 @@ from jobmart.functions import text as tx
 from jobmart.functions.matching import compact_text, tech_keywords
 from jobmart.operators import dedup, marts, merge, quality, silver, star
 from jobmart.plans import pipeline
-from jobmart.session import spread, work_path
+from jobmart.session import work_path
 from jobmart.sources import crawl, pages, raw_jobs, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,11 +60,21 @@ def read_raw_jobs(spark, sf_dir):
     return raw_jobs.read_raw_jobs(spark, _staged_raw(spark, sf_dir, "read"), fx.LOAD_DATE)
 
 
+def _checksum(*columns: str) -> Column:
+    """A number that tells the contents of a table, whatever the order of its rows."""
+    text = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("(null)")) for c in columns]))
+    return F.sum(F.conv(F.substring(text, 1, 8), 16, 10).cast("long")).alias("checksum")
+
+
 @query
 def write_raw_jobs(spark, sf_dir):
+    """Fields of the written lines, their number, and a checksum of the contents."""
     lines = spark.read.text(raw_jobs.partition_path(_staged_raw(spark, sf_dir, "write"), fx.LOAD_DATE))
-    fields = F.array_join(F.json_object_keys("value"), ",")
-    return lines.groupBy(fields.alias("fields")).agg(F.count(F.lit(1)).alias("lines"))
+    fields = F.array_join(F.json_object_keys("value"), ",").alias("fields")
+    values = F.from_json("value", raw_jobs.RAW_SCHEMA.simpleString()).alias("v")
+    return lines.select(fields, values).select("fields", "v.*").groupBy("fields").agg(
+        F.count(F.lit(1)).alias("lines"), _checksum(*raw_jobs.RAW_COLUMNS)
+    )
 
 
 @query
@@ -135,20 +145,59 @@ def table_catalog(spark, sf_dir):
 
 @query
 def clear_staging(spark, sf_dir):
-    prefix = _namespaces(spark)
+    """All staging tables filled, then cleared, and the staged raw files gone."""
+    prefix, staged = _namespaces(spark), _staged_raw(spark, sf_dir, "clear")
     names = [prefix + t for t in pipeline.STAGING_TABLES]
-    companies = fx.companies(spark, sf_dir)
-    tables.overwrite_table(companies, names[1])
-    tables.overwrite_table(star.dim_company(companies), names[2])
+    filled = fx.stored_tables(spark, sf_dir)
+    for name in names:
+        tables.overwrite_table(filled[name.split(".")[1].removeprefix("silver_").removeprefix("gold_")], name)
     tables.clear_tables(spark, names)
-    results = [
-        spark.table(name).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(table).alias("table_name"), "rows", F.lit(len(spark.table(name).columns)).alias("columns")
+    raw_jobs.clear_staged(spark, staged)
+    left = int(raw_jobs.clear_staged(spark, staged))
+    results = spark.createDataFrame([("raw files", left, len(raw_jobs.RAW_COLUMNS))], "table_name string, rows long, columns int")
+    for table, name in zip(pipeline.STAGING_TABLES, names, strict=True):
+        cleared = spark.table(name)
+        results = results.unionAll(
+            cleared.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(table), "rows", F.lit(len(cleared.columns)))
         )
-        for table, name in zip(pipeline.STAGING_TABLES, names, strict=True)
-        if tables.table_exists(spark, name)
-    ]
-    return results[0].unionAll(results[1])
+    return results
+
+
+@query
+def upsert_table(spark, sf_dir):
+    """Jobs stored by key buckets, then remote jobs with one more applicant and hybrid jobs under a new URL."""
+    name = _namespaces(spark) + "silver.jobs"
+    jobs = fx.stored_tables(spark, sf_dir)["jobs"].select("job_url", "location_type", "number_applicants")
+    tables.upsert_table(jobs, name, "job_url", buckets=32)
+    changed = jobs.where("location_type = 'REMOTE'").withColumn("number_applicants", F.col("number_applicants") + 1)
+    reposted = jobs.where("location_type = 'HYBRID'").withColumn("job_url", F.concat("job_url", F.lit("/repost")))
+    tables.upsert_table(changed.unionByName(reposted), name, "job_url")
+    return spark.table(name).drop(tables.BUCKET)
+
+
+@query
+def daily_run(spark, sf_dir):
+    """Two days from postings to gold: the jobs known then, and the rows of the gold tables.
+
+    The postings have distinct URLs, so the result does not depend on which of several equal ones is kept.
+    """
+    lake = pipeline.Lake(spark, work_path(spark, "lake"), f"run_{uuid.uuid4().hex[:12]}_", fx.PROCESSED_AT, fx.CALENDAR_START)
+    first = fx.raw_jobs(spark, sf_dir).where("job_url is not null and doc_id % 10 <> 3")
+    second = first.where("doc_id % 3 = 0").withColumn("number_applicants", F.lit("777")).unionByName(
+        first.where("doc_id % 7 = 0").withColumn("job_url", F.concat("job_url", F.lit("/new")))
+    )
+    for day, postings in (("2026-05-21", first), ("2026-05-22", second)):
+        pipeline.run(lake, "bronze", day, postings=postings)
+        pipeline.run(lake, "silver", day)
+        pipeline.run(lake, "gold", day)
+        pipeline.run(lake, "staging", day, "clean")
+    found = spark.table(lake.table("silver.jobs")).select(
+        F.lit("job").alias("kind"), F.col("job_url").alias("name"), F.col("number_applicants").cast("long").alias("value")
+    )
+    for table in ("dim_role", "dim_level", "dim_company", "fact_hiring"):
+        rows = spark.table(lake.table(f"gold.{table}")).agg(F.count(F.lit(1)).alias("value"))
+        found = found.unionAll(rows.select(F.lit("table"), F.lit(table), "value"))
+    return found
 
 
 # -- pages ------------------------------------------------------------------------
@@ -157,7 +206,7 @@ def clear_staging(spark, sf_dir):
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with the top-level domain as their source."""
     source = F.regexp_extract("url", r"^https?://[^/?#]*\.([a-z]+)", 1)
-    return spread(fx.table(spark, sf_dir, "pages"), "page_id").withColumn("source_name", source)
+    return fx.table(spark, sf_dir, "pages").withColumn("source_name", source)
 
 
 def _page_sources(page_table: DataFrame) -> DataFrame:
@@ -218,6 +267,8 @@ def resolve_urls(spark, sf_dir):
         "query": F.concat(F.lit("?q="), F.substr(href, F.lit(2))),
         "absolute": F.concat(F.lit("https://abs.example"), href),
         "empty": F.lit(""),
+        "up": F.concat(F.lit("../x/./"), F.substr(href, F.lit(2))),
+        "dots": F.concat(F.lit("/a/b/../."), href),
     }
     links = _extracted(spark, sf_dir).select(
         "page_id", "item_no", "url",
@@ -244,8 +295,34 @@ def join_details(spark, sf_dir):
     return joined.select("page_id", "item_no", F.coalesce("description", F.lit("(null)")).alias("description"))
 
 
+@query
+def extract_postings(spark, sf_dir):
+    """Postings of the pages of two sources; the third one's configuration is incomplete.
+
+    The detail page of a link is the first page of its source whose own first link it is.
+    """
+    page_table = _pages(spark, sf_dir)
+    first_link = F.regexp_extract("html", r'<li><a href="(/[^"&]+)">', 1)
+    found = page_table.withColumn("link", first_link).where("link <> ''").groupBy("source_name", "link").agg(
+        F.min("page_id").alias("page_id")
+    )
+    details = found.join(page_table.select("page_id", "html"), "page_id").select(
+        "source_name", F.concat(F.lit("https://jobs."), "source_name", "link").alias("url"), "html"
+    )
+    prefix = F.when(F.col("source_name") != "org", F.concat(F.lit("https://jobs."), "source_name", F.lit("/list/x?y")))
+    specs = {"title": "li > a@text()", "company": "@text()", "job_url": "a@href", "level": "a[href^='/']"}
+    configs = page_table.select("source_name").distinct().select(
+        "source_name", *[F.lit(specs.get(f)).cast("string").alias(f) for f in pages.LISTING_FIELDS],
+        prefix.alias("prefix_job_url"),
+    )
+    postings = pages.extract_postings(page_table, details, _page_sources(page_table), configs)
+    shown = ["source_name", "title", "company", "job_url", "level", "salary", "description"]
+    return postings.select("page_id", "item_no", *[F.coalesce(c, F.lit("(null)")).alias(c) for c in shown])
+
+
 def _source_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    suppliers = fx.table(spark, sf_dir, "supplier").where("s_acctbal >= 0")
+    """A configuration for every supplier, some incomplete."""
+    suppliers = fx.table(spark, sf_dir, "supplier")
     nation = F.col("s_nationkey")
     fields = {
         "source_name": F.col("s_name"),
@@ -260,8 +337,10 @@ def _source_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sources_missing_config(spark, sf_dir):
-    sources = fx.table(spark, sf_dir, "supplier").select(F.col("s_name").alias("source_name"))
-    return crawl.sources_missing_config(sources, _source_configs(spark, sf_dir))
+    suppliers = fx.table(spark, sf_dir, "supplier")
+    present = suppliers.where("s_acctbal >= 0").select(F.col("s_name").alias("source_name"))
+    configs = _source_configs(spark, sf_dir).join(present, "source_name", "left_semi")
+    return crawl.sources_missing_config(suppliers.select(F.col("s_name").alias("source_name")), configs)
 
 
 @query
@@ -486,10 +565,11 @@ def bridge_tech_fact(spark, sf_dir):
 
 @query
 def build_star(spark, sf_dir):
-    """Rows of every star table."""
+    """Rows of every star table, and a checksum of their contents."""
     counts = None
     for name, df in fx.star_tables(spark, sf_dir).items():
-        rows = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        rows = df.agg(F.count(F.lit(1)).alias("rows"), _checksum(*sorted(df.columns)))
+        rows = rows.select(F.lit(name).alias("table_name"), "rows", "checksum")
         counts = rows if counts is None else counts.unionAll(rows)
     return counts
 
@@ -543,8 +623,8 @@ QUERIES["mart_source_share"] = _mart("source_share")
 
 @query
 def mart_job_analytics(spark, sf_dir):
-    jobs = fx.jobs(spark, sf_dir, fx.processed_on_many_days())
-    result = marts.job_analytics(jobs, fx.companies(spark, sf_dir))
+    stored = fx.stored_tables(spark, sf_dir)
+    result = marts.job_analytics(stored["jobs"], stored["companies"])
     return _text_date(result, "date").withColumn("top_technologies", F.array_join("top_technologies", ","))
 
 

@@ -199,7 +199,10 @@ def salary_pattern() -> str:
 
 def salary_phrase(raw: Column, description: Column, default: str = "Unknown") -> Column:
     """Raw salary, else the first salary-like phrase of the (normalised) description, else the default."""
-    found = F.nullif(F.regexp_extract(description, salary_pattern(), 0), F.lit(""))
+    # Every phrase but the plain words has a digit; looking for either is much cheaper than the search it saves.
+    heads = sorted({word.split(" ")[0] for word in vocab.SALARY_WORDS})
+    mentioned = reduce(or_, [description.contains(head) for head in heads], description.rlike("[0-9]"))
+    found = F.when(mentioned, F.nullif(F.regexp_extract(description, salary_pattern(), 0), F.lit("")))
     return known_text_or(raw, F.coalesce(found, F.lit(default)))
 
 

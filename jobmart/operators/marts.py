@@ -18,9 +18,7 @@ def _count(name: str) -> Column:
     return F.count(F.lit(1)).alias(name)
 
 
-def _share(value: str, *partition: str) -> Column:
-    """Percentage of the total of the partition; input is already aggregated."""
-    total = F.sum(value).over(Window.partitionBy(*partition))
+def _share(value: str, total: Column) -> Column:
     return F.round(F.col(value) * 100.0 / total, DIGITS)
 
 
@@ -76,14 +74,15 @@ def tech_demand(fact: DataFrame, bridge: DataFrame, dim_techstack: DataFrame, di
         dim_techstack.select(F.col("id").alias("techstack_id"), F.col("tech_name").alias("technology")),
         "techstack_id",
     ).join(dim_date.select(F.col("id").alias("date_id"), F.col("full_date").alias("date")), "date_id")
-    return named.select("date", "technology", "job_count", _share("job_count", "date").alias("percentage"))
+    total = F.sum("job_count").over(Window.partitionBy("date"))
+    return named.select("date", "technology", "job_count", _share("job_count", total).alias("percentage"))
 
 
 def _dimension_share(fact: DataFrame, key: str, dimension: DataFrame, name: str) -> DataFrame:
     counts = fact.groupBy(key).agg(_count("total_jobs"))
     named = counts.join(dimension.select(F.col("id").alias(key), name), key)
-    # Only as many rows as the dimension has members: the total is joined in by an empty-key window.
-    return named.select(name, "total_jobs", _share("total_jobs").alias("percentage"))
+    total = named.agg(F.sum("total_jobs")).scalar()
+    return named.select(name, "total_jobs", _share("total_jobs", total).alias("percentage"))
 
 
 def working_model_share(fact: DataFrame, dim_working_model: DataFrame) -> DataFrame:
@@ -166,36 +165,49 @@ def job_analytics(jobs: DataFrame, companies: DataFrame, top: int = 5) -> DataFr
 
 # -- salaries ---------------------------------------------------------------
 
-_NUMBER = "[0-9]+(?:[.,][0-9]+)?"
+# Digits in groups of three with an optional fraction, or plain digits with one, and the words for millions after it.
+_NUMBER = "((?:[0-9]{1,3}(?:[.,][0-9]{3})+(?:[.,][0-9]{1,2})?(?![0-9])|[0-9]+(?:[.,][0-9]+)?))"
+_MILLIONS = "trieu|triệu|million"
+_MARKED_NUMBER = f"{_NUMBER}(?:\\s*({_MILLIONS}))?"
 _CURRENCIES = {"usd": r"usd|\$", "eur": "€", "gbp": "£", "vnd": "vnd|vnđ|trieu|triệu|million"}
 
 
 def _amount(text: Column) -> Column:
     """Number of an amount text; a point or comma before exactly three digits groups thousands."""
-    grouped = F.regexp_replace(text, "[.,]([0-9]{3})$", "$1")
+    grouped = F.regexp_replace(text, "[.,]([0-9]{3})(?![0-9])", "$1")
     return F.regexp_replace(grouped, ",", ".").try_cast("double")
 
 
 def with_salary_range(jobs: DataFrame) -> DataFrame:
     """Adds salary_currency, salary_min and salary_max, read from the salary text.
 
-    The first two numbers are the range, one number is both ends; millions are
-    written out.  Rows without a number get null.
+    The first two numbers are the range, the lower one first; one number is both
+    ends.  Millions are written out for each number they stand after, and for a
+    number before them that has no unit of its own, as in ``15 - 20 million``:
+    one below 1000.  Rows without a number get null.
     """
     text = F.lower(F.col("salary"))
-    numbers = F.regexp_extract_all(text, F.lit(_NUMBER), F.lit(0))
-    scale = F.when(text.rlike("trieu|triệu|million"), F.lit(1e6)).otherwise(F.lit(1.0))
+    numbers = F.regexp_extract_all(text, F.lit(_MARKED_NUMBER), F.lit(1))
+    marks = F.regexp_extract_all(text, F.lit(_MARKED_NUMBER), F.lit(2))
     currency = F.coalesce(
         *[F.when(text.rlike(pattern), F.lit(code)) for code, pattern in _CURRENCIES.items()], F.lit("unknown")
     )
-    first = _amount(F.get("_numbers", F.lit(0)))
-    second = _amount(F.get("_numbers", F.lit(1)))
+
+    def number(i: int) -> Column:
+        value, later = _amount(F.get("_numbers", F.lit(i))), F.get("_marks", F.lit(i + 1))
+        millions = (F.get("_marks", F.lit(i)) != "") | (F.coalesce(later != "", F.lit(False)) & (value < 1000))
+        bare = (F.size("_numbers") == 1) & text.rlike(_MILLIONS) & (value < 1000)
+        return F.when(F.coalesce(millions, F.lit(False)) | bare, value * 1e6).otherwise(value)
+
+    first = number(0)
+    second = F.coalesce(number(1), first)
     return (
         jobs.withColumn("_numbers", numbers)
+        .withColumn("_marks", marks)
         .withColumn("salary_currency", currency)
-        .withColumn("salary_min", first * scale)
-        .withColumn("salary_max", F.coalesce(second, first) * scale)
-        .drop("_numbers")
+        .withColumn("salary_min", F.least(first, second))
+        .withColumn("salary_max", F.greatest(first, second))
+        .drop("_numbers", "_marks")
     )
 
 

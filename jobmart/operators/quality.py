@@ -24,7 +24,7 @@ class QualityError(ValueError):
 class Check:
     name: str
     column: str
-    violations: Column | int  # an aggregate, or a count known from the schema alone
+    violations: Column | int | None  # an aggregate, a count known from the schema alone, or none: repeated values
 
 
 def check_columns(df: DataFrame, expected: Iterable[str]) -> list[Check]:
@@ -56,8 +56,7 @@ def check_no_nulls(df: DataFrame, columns: Sequence[str]) -> list[Check]:
 def check_unique(df: DataFrame, column: str) -> list[Check]:
     """Rows beyond the distinct values, with null counted as one value."""
     _require(df, column)
-    distinct = F.count_distinct(column) + F.coalesce(F.max(F.col(column).isNull().cast("int")), F.lit(0))
-    return [Check("unique", column, F.count(F.lit(1)) - distinct)]
+    return [Check("unique", column, None)]
 
 
 def _require(df: DataFrame, column: str) -> None:
@@ -65,19 +64,43 @@ def _require(df: DataFrame, column: str) -> None:
         raise QualityError(f"column {column!r} not found")
 
 
+def _repeats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``place`` of each column and ``n``, its rows beyond the distinct values.
+
+    Values are counted by a 128-bit hash, so rows of fixed width are summed up
+    inside the map tasks and moved, however long the values are.
+    """
+    keys = [
+        F.struct(F.lit(i).alias("place"), F.xxhash64(c).alias("a"), F.xxhash64(F.lit(1), c).alias("b"), F.col(c).isNull().alias("none"))
+        for i, c in enumerate(columns)
+    ]
+    per_value = df.select(F.inline(F.array(*keys))).groupBy("place", "a", "b", "none").agg(F.count(F.lit(1)).alias("n"))
+    return per_value.groupBy("place").agg((F.sum("n") - F.count(F.lit(1))).alias("n"))
+
+
 def quality_report(df: DataFrame, *checks: list[Check]) -> DataFrame:
-    """One row per check, from a single aggregation however many checks there are."""
+    """One row per check: one aggregation for all checks of counts, and one for all of uniqueness."""
     flat = [c for group in checks for c in group]
     aggregates = [c.violations for c in flat if isinstance(c.violations, Column)]
+    unique = [c for c in flat if c.violations is None]
     if aggregates:
         base = df.agg(*[a.cast("long").alias(f"v{i}") for i, a in enumerate(aggregates)])
     else:
         base = df.sparkSession.range(1)
+    if unique:
+        repeats = _repeats(df, list(dict.fromkeys(c.column for c in unique)))
+        found = repeats.agg(F.map_from_entries(F.collect_list(F.struct("place", "n"))))  # a row per checked column
+        base = base.withColumn("repeats", found.scalar())
     positions = iter(range(len(aggregates)))
+    places = {c: i for i, c in enumerate(dict.fromkeys(c.column for c in unique))}
     rows = []
     for check in flat:
-        known = isinstance(check.violations, int)
-        count = F.lit(check.violations).cast("long") if known else F.col(f"v{next(positions)}")
+        if check.violations is None:
+            count = F.coalesce(F.col("repeats")[places[check.column]], F.lit(0)).cast("long")
+        elif isinstance(check.violations, int):
+            count = F.lit(check.violations).cast("long")
+        else:
+            count = F.col(f"v{next(positions)}")
         rows.append(
             F.struct(
                 F.lit(check.name).alias("check_name"),

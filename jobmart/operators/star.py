@@ -170,21 +170,23 @@ FACT_FOREIGN_KEYS = {
     "level_id": "dim_level",
     "working_model": "dim_working_model",
 }
+BRIDGE_FOREIGN_KEYS = {"fact_id": "fact_hiring", "techstack_id": "dim_techstack"}
 
 
 def check_foreign_keys(star: dict[str, DataFrame]) -> DataFrame:
-    """Orphan values and rows per foreign key of the fact, zero rows included.
+    """Orphan values and rows per foreign key of the fact and of the bridge, zero rows included.
 
-    All keys of the fact are counted in one pass, and only distinct values meet
-    the dimensions.
+    All keys of a table are counted in one pass, and only distinct values meet
+    the tables they refer to.
     """
-    fact = star["fact_hiring"]
-    pairs = F.array(
-        *[F.struct(F.lit(fk).alias("foreign_key"), F.col(fk).alias("id")) for fk in FACT_FOREIGN_KEYS]
-    )
-    used = fact.select(F.inline(pairs)).groupBy("foreign_key", "id").agg(F.count(F.lit(1)).alias("fact_rows"))
+    def used_keys(table: str, keys: dict[str, str]) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(fk).alias("foreign_key"), F.col(fk).alias("id")) for fk in keys])
+        return star[table].select(F.inline(pairs))
+
+    used = used_keys("fact_hiring", FACT_FOREIGN_KEYS).unionAll(used_keys("bridge_tech_fact", BRIDGE_FOREIGN_KEYS))
+    used = used.groupBy("foreign_key", "id").agg(F.count(F.lit(1)).alias("fact_rows"))
     known = None
-    for fk, table in FACT_FOREIGN_KEYS.items():
+    for fk, table in (FACT_FOREIGN_KEYS | BRIDGE_FOREIGN_KEYS).items():
         ids = star[table].select(F.lit(fk).alias("foreign_key"), "id", F.lit(True).alias("known"))
         known = ids if known is None else known.unionAll(ids)
     # Grouped like the used keys, so the join needs no further shuffle.

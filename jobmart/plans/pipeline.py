@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.operators import silver, star
@@ -63,7 +63,7 @@ def bronze_to_staging(lake: Lake, load_date: str, postings: DataFrame | None) ->
         raise ValueError("staging bronze needs the extracted postings")
     raw_jobs.write_raw_jobs(postings, lake.staged_raw, load_date)
     staged = raw_jobs.read_raw_jobs(lake.spark, lake.staged_raw, load_date).count()
-    return {"scrapped_jobs": staged, "total_jobs": staged, "load_date": load_date}
+    return {"jobs_staged": staged, "load_date": load_date}
 
 
 def promote_bronze(lake: Lake, load_date: str) -> dict:
@@ -74,8 +74,7 @@ def promote_bronze(lake: Lake, load_date: str) -> dict:
 # -- silver -------------------------------------------------------------------
 
 
-def build_silver(lake: Lake, load_date: str) -> dict[str, DataFrame]:
-    raw = raw_jobs.read_raw_jobs(lake.spark, lake.bronze_raw, load_date, with_order=True)
+def build_silver(lake: Lake, raw: DataFrame) -> dict[str, DataFrame]:
     moment = None if lake.processed_at is None else F.lit(lake.processed_at).cast("timestamp")
     jobs = silver.silver_jobs(
         raw, raw_jobs.FILE_ORDER, moment, fix_cpp=lake.fix_cpp, keep_null_urls=lake.keep_null_urls
@@ -84,15 +83,20 @@ def build_silver(lake: Lake, load_date: str) -> dict[str, DataFrame]:
 
 
 def silver_to_staging(lake: Lake, load_date: str) -> dict:
-    batch = build_silver(lake, load_date)
+    """Stage curated jobs and companies; the input is counted while the jobs are written."""
+    raw = raw_jobs.read_raw_jobs(lake.spark, lake.bronze_raw, load_date, with_order=True)
+    seen = Observation()
+    jobs = build_silver(lake, raw.observe(seen, F.count(F.lit(1)).alias("rows")))["jobs"]
+    batch = {"jobs": jobs, "companies": build_silver(lake, raw)["companies"]}
     staged = {k: tables.overwrite_table(df, lake.table(SILVER_STAGING[k])) for k, df in batch.items()}
-    read = raw_jobs.read_raw_jobs(lake.spark, lake.bronze_raw, load_date).count()
+    read = seen.get.get("rows") or 0
     return {
-        "scrapped_jobs_input": read,
+        "jobs_read": read,
         "jobs_staged": staged["jobs"],
+        "jobs_duplicate": read - staged["jobs"],
+        "companies_read": read,
         "companies_staged": staged["companies"],
-        "duplicate_jobs_removed": read - staged["jobs"],
-        "total_records_staged": sum(staged.values()),
+        "companies_duplicate": read - staged["companies"],
         "load_date": load_date,
     }
 
@@ -177,10 +181,9 @@ def _replace_bridge(lake: Lake, staged: DataFrame, name: str) -> int:
 
 
 def clean_staging(lake: Lake, load_date: str) -> dict:
-    """Empty all staging tables, keeping their schemas, and the staged raw files of the date."""
+    """Empty all staging tables, keeping their schemas, and remove all staged raw files."""
     cleared = tables.clear_tables(lake.spark, [lake.table(t) for t in STAGING_TABLES])
-    no_lines = lake.spark.createDataFrame([], "value string")
-    no_lines.write.mode("overwrite").text(raw_jobs.partition_path(lake.staged_raw, load_date))
+    raw_jobs.clear_staged(lake.spark, lake.staged_raw)
     return {"tables_cleared": cleared, "load_date": load_date}
 
 

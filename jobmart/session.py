@@ -5,8 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Settings that results depend on (time zone) or that keep big joins healthy.
 SETTINGS = {
@@ -45,25 +44,3 @@ def shared_folder(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return os.path.join(shared_folder(spark), "jobmart", f"{name}-{uuid.uuid4().hex}")
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a scan over all cores when the scan has fewer tasks than there are cores.
-
-    A large table is read in many tasks already and is returned as it is; only
-    an input of a few small files, which one core would otherwise work off, is
-    redistributed by a key that differs from row to row.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A configuration-like table marked for broadcast, once it is known to have few rows.
-
-    Joining a big table to a per-source configuration must not shuffle it by a
-    handful of source names, and the planner's estimate for a derived table can
-    be far off.  The rows are therefore counted, up to the limit; beyond it the
-    table is returned unmarked and Spark joins as it sees fit.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

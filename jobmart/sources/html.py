@@ -111,13 +111,15 @@ _SIMPLE = re.compile(
     re.VERBOSE,
 )
 _COMBINATOR = re.compile(r"\s*(>)\s*|\s+")
+# A comma outside of quoted attribute values.
+_COMMA = re.compile(r""",(?=(?:[^"']|"[^"]*"|'[^']*')*$)""")
 
 
 class Selector:
     """A compiled selector list."""
 
     def __init__(self, text: str):
-        self._chains = [self._chain(part.strip()) for part in text.split(",")]
+        self._chains = [self._chain(part.strip()) for part in _COMMA.split(text)]
 
     @staticmethod
     def _chain(text: str) -> list[tuple[str, list]]:
@@ -193,23 +195,30 @@ class Selector:
         return next(self.select(root), None)
 
 
-def extract_value(root: Node, spec: str | None) -> str | None:
-    """Value of a field specification against a parsed item.
+class Field:
+    """A compiled field specification: where in an item its value is.
 
     ``css@text()`` and ``css`` give text, ``css@attr`` an attribute; the last
     ``@`` counts unless the specification starts with ``[``.  Without a css part
-    the item's document itself is meant: it has text but no attributes.  Empty
-    values are null.
+    the item's document itself is meant: it has text but no attributes.
     """
-    spec = (spec or "").strip()
-    if not spec:
-        return None
-    css, at, attribute = spec.rpartition("@")
-    if not at or spec.startswith("["):
-        css, attribute = spec, "text()"
-    css, attribute = css.strip(), attribute.strip()
-    node = Selector(css).first(root) if css else root
-    if node is None:
-        return None
-    value = node.text() if attribute == "text()" else node.attrs.get(attribute)
-    return value or None
+
+    def __init__(self, spec: str | None):
+        spec = (spec or "").strip()
+        css, at, attribute = spec.rpartition("@")
+        if not at or spec.startswith("["):
+            css, attribute = spec, "text()"
+        css, self._attribute = css.strip(), attribute.strip()
+        self._wanted, self._selector = bool(spec), Selector(css) if css else None
+
+    def value(self, root: Node) -> str | None:
+        """The value in a parsed item; empty values are null."""
+        node = self._selector.first(root) if self._selector else root
+        if node is None or not self._wanted:
+            return None
+        return (node.text() if self._attribute == "text()" else node.attrs.get(self._attribute)) or None
+
+
+def extract_value(root: Node, spec: str | None) -> str | None:
+    """Value of a field specification against a parsed item."""
+    return Field(spec).value(root)

@@ -10,8 +10,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobmart.session import broadcast_if_small
 from jobmart.sources import html
+from jobmart.sources.raw_jobs import RAW_COLUMNS
 
 # The parser travels with the task, so executors need no installation of this package.
 cloudpickle.register_pickle_by_value(html)
@@ -29,15 +29,66 @@ LISTING_FIELDS = [f for f in CONFIG_FIELDS if f not in ("source_name", "prefix_j
 _CHUNK = 1000
 
 
+# The selectors that ``sources.html`` understands, as a pattern for Column tests.
+_PART = r"""(?:[.#][\w-]+|\[\s*[\w:-]+\s*(?:[\^*$]?=\s*(?:"[^"]*"|'[^']*'|[^\]\s]+)\s*)?\])"""
+_COMPOUND = rf"(?:(?:\*|[A-Za-z][\w-]*){_PART}*|{_PART}+)"
+_CHAIN = rf"{_COMPOUND}(?:(?:\s*>\s*|\s+){_COMPOUND})*"
+_SUPPORTED = rf"(?U)^\s*{_CHAIN}(?:\s*,\s*{_CHAIN})*\s*$"
+
+
+def is_supported(selector: Column) -> Column:
+    """Whether a selector can be used; an empty one, or none, needs no support."""
+    return F.coalesce((F.trim(selector) == "") | selector.rlike(_SUPPORTED), F.lit(True))
+
+
+def _css(spec: Column) -> Column:
+    """The selector in a field specification."""
+    return F.when(F.ltrim(spec).startswith("["), spec).otherwise(F.regexp_replace(spec, "@[^@]*$", ""))
+
+
+def config_problems(sources: DataFrame, configs: DataFrame) -> DataFrame:
+    """What keeps sources from being read: a row of source_name, field, value and problem for each fault.
+
+    ``sources`` has source_name, entry_point and detail_entry_point, ``configs``
+    has ``CONFIG_FIELDS``.  Problems are ``missing`` (a required value, or the
+    whole configuration, whose field is then null) and ``unsupported``.
+    """
+    def rows(table: DataFrame, fields: list[str], required: list[str], css) -> DataFrame:
+        tests = [
+            F.struct(
+                F.lit(f).alias("field"), F.col(f).cast("string").alias("value"),
+                F.when(F.coalesce(F.length(f), F.lit(0)) == 0, F.lit("missing" if f in required else None))
+                .when(~is_supported(css(F.col(f))), F.lit("unsupported")).alias("problem"),
+            )
+            for f in fields
+        ]
+        found = table.select("source_name", F.explode(F.array(*tests)).alias("t"))
+        return found.select("source_name", "t.*").where(F.col("problem").isNotNull())
+
+    entries = rows(sources, ["entry_point", "detail_entry_point"], ["entry_point"], lambda c: c)
+    selectors = [f for f in CONFIG_FIELDS if f not in ("source_name", "prefix_job_url")]
+    known = configs.join(sources.select("source_name"), "source_name", "left_semi")
+    fields = rows(known, selectors, REQUIRED_FIELDS, _css).unionByName(
+        rows(known, ["prefix_job_url"], REQUIRED_FIELDS, lambda c: F.lit(None).cast("string"))
+    )
+    absent = sources.join(configs.select("source_name"), "source_name", "left_anti").select(
+        "source_name", F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value"),
+        F.lit("missing").alias("problem"),
+    )
+    return entries.unionByName(fields).unionByName(absent)
+
+
 def explode_listing_items(pages: DataFrame, sources: DataFrame) -> DataFrame:
     """One row per element that matches the entry selector of the page's source.
 
     ``pages`` has page_id, source_name, url and html; ``sources`` has source_name
     and entry_point.  Pages without html or selector, and pages that cannot be
-    parsed, give no rows; an unsupported selector is an error of the
-    configuration and fails the job.
+    parsed, give no rows, nor do sources whose selector is not supported:
+    ``config_problems`` reports these, and all other sources are read.  Store the
+    table of sources, so that Spark knows its size and broadcasts a small one.
     """
-    entries = broadcast_if_small(sources.select("source_name", "entry_point").where(F.length("entry_point") > 0))
+    usable = (F.length("entry_point") > 0) & is_supported(F.col("entry_point"))
+    entries = sources.select("source_name", "entry_point").where(usable)
     joined = pages.where(F.length("html") > 0).join(entries, "source_name")
 
     def items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -65,22 +116,27 @@ def explode_listing_items(pages: DataFrame, sources: DataFrame) -> DataFrame:
 def extract_fields(items: DataFrame, configs: DataFrame) -> DataFrame:
     """The listing fields of every item by the selectors of its source; empty values are null.
 
-    Adds ``LISTING_FIELDS`` to page_id, source_name, url and item_no.
+    Adds ``LISTING_FIELDS`` to page_id, source_name, url and item_no.  A field
+    whose selector is not supported is null; ``config_problems`` reports it.
+    Selectors are compiled once per task.
     """
-    selectors = F.struct(*[F.col(f).cast("string").alias(f) for f in LISTING_FIELDS]).alias("selectors")
-    selector_table = broadcast_if_small(configs.select("source_name", F.to_json(selectors).alias("selectors")))
+    usable = [F.when(is_supported(_css(F.col(f).cast("string"))), F.col(f).cast("string")).alias(f) for f in LISTING_FIELDS]
+    selector_table = configs.select("source_name", F.to_json(F.struct(*usable)).alias("selectors"))
     joined = items.join(selector_table, "source_name")
     fields = list(LISTING_FIELDS)
 
     def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import json
 
+        compiled: dict[str, list[html.Field]] = {}
         for batch in batches:
-            specs = {s: json.loads(s) for s in batch["selectors"].unique()}
             rows = []
             for markup, selectors in zip(batch["item_html"], batch["selectors"], strict=True):
+                if selectors not in compiled:
+                    specs = json.loads(selectors)
+                    compiled[selectors] = [html.Field(specs.get(f)) for f in fields]
                 root = _parse_or_empty(markup)
-                rows.append([html.extract_value(root, specs[selectors].get(f)) for f in fields])
+                rows.append([field.value(root) for field in compiled[selectors]])
             kept = batch.drop(columns=["item_html", "selectors"]).reset_index(drop=True)
             yield pd.concat([kept, pd.DataFrame(rows, columns=fields, dtype="object")], axis=1)
 
@@ -106,23 +162,39 @@ def resolve_urls(url: Column, prefix: Column) -> Column:
     """A link made absolute against a prefix URL.
 
     Null and empty links are null, and without a prefix the link stays as it is.
-    Dot segments are not resolved.
+    Dot segments of links without a host of their own are resolved.
     """
     scheme = F.regexp_extract(prefix, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1)
     origin = F.regexp_extract(prefix, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
     path = F.regexp_extract(prefix, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
     query = F.regexp_extract(prefix, r"^[^#]*?(\?[^#]*)", 1)
     folder = F.when(path.contains("/"), F.regexp_extract(path, "^(.*/)", 1)).otherwise(F.lit("/"))
+    own_path, rest = F.regexp_extract(url, "^([^?#]*)", 1), F.regexp_extract(url, "^[^?#]*(.*)$", 1)
     return (
         F.when(F.coalesce(F.length(url), F.lit(0)) == 0, F.lit(None).cast("string"))
         .when(F.coalesce(F.length(prefix), F.lit(0)) == 0, url)
         .when(url.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), url)
         .when(url.startswith("//"), F.concat(scheme, url))
-        .when(url.startswith("/"), F.concat(origin, url))
+        .when(url.startswith("/"), F.concat(origin, _without_dots(own_path), rest))
         .when(url.startswith("?"), F.concat(origin, path, url))
         .when(url.startswith("#"), F.concat(origin, path, query, url))
-        .otherwise(F.concat(origin, folder, url))
+        .otherwise(F.concat(origin, _without_dots(F.concat(folder, own_path)), rest))
+    )
+
+
+def _without_dots(path: Column) -> Column:
+    """A path from the root without ``.``, ``..`` and empty segments; one at its end leaves a folder."""
+    segments = F.slice(F.split(path, "/"), 2, 1_000_000)
+    last = F.element_at(segments, -1)
+    inner = F.filter(F.slice(segments, 1, F.greatest(F.size(segments) - 1, F.lit(0))), lambda x: x != "")
+    walked = F.aggregate(
+        F.concat(inner, F.array(last)), F.array().cast("array<string>"),
+        lambda done, x: F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(x == ".", done).otherwise(F.concat(done, F.array(x))),
     )
+    ended = F.when(last.isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
+    plain = ~path.rlike(r"(?:^|/)\.{1,2}(?:/|$)|//")
+    return F.when(plain, path).otherwise(F.concat(F.lit("/"), F.array_join(ended, "/")))
 
 
 # -- detail pages -------------------------------------------------------------
@@ -133,17 +205,22 @@ def detail_texts(details: DataFrame, sources: DataFrame) -> DataFrame:
 
     Text of the first element under the detail selector, the text of the whole
     page when there is none, or the markup itself when the source has no
-    selector.
+    selector or one that is not supported.
     """
-    selectors = broadcast_if_small(sources.select("source_name", "detail_entry_point"))
+    usable = F.when(is_supported(F.col("detail_entry_point")), F.col("detail_entry_point"))
+    selectors = sources.select("source_name", usable.alias("detail_entry_point"))
     joined = details.where(F.length("html") > 0).join(selectors, "source_name")
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        compiled: dict[str, html.Selector] = {}
+
         def text(markup: str, selector: str | None) -> str:
             if not selector:
                 return markup
+            if selector not in compiled:
+                compiled[selector] = html.Selector(selector)
             root = _parse_or_empty(markup)
-            return (html.Selector(selector).first(root) or root).text()
+            return (compiled[selector].first(root) or root).text()
 
         for batch in batches:
             found = [text(m, s) for m, s in zip(batch["html"], batch["detail_entry_point"], strict=True)]
@@ -157,11 +234,13 @@ def detail_texts(details: DataFrame, sources: DataFrame) -> DataFrame:
 def join_details(items: DataFrame, details: DataFrame, sources: DataFrame) -> DataFrame:
     """Adds to every item the description from the detail page at its job_url.
 
-    Pages are parsed once each, before the join, so only text moves.  Items
-    without URL get a key of their own: they match nothing, and they spread over
-    all tasks.  ``details`` holds a page (source_name, url, html) at most once.
+    Pages that no item asks for are left out first; the others are parsed once
+    each, before the join, so only text moves.  Items without URL get a key of
+    their own: they match nothing, and they spread over all tasks.  ``details``
+    holds a page (source_name, url, html) at most once.
     """
-    texts = detail_texts(details, sources).select(
+    asked = items.select("source_name", F.col("job_url").alias("url")).where("url is not null").distinct()
+    texts = detail_texts(details.join(asked, ["source_name", "url"], "left_semi"), sources).select(
         F.col("source_name"), F.col("url").alias("_detail_url"), "description"
     )
     key = F.coalesce(
@@ -170,3 +249,27 @@ def join_details(items: DataFrame, details: DataFrame, sources: DataFrame) -> Da
     return (
         items.withColumn("_detail_url", key).join(texts, ["source_name", "_detail_url"], "left").drop("_detail_url")
     )
+
+
+# -- pages to postings --------------------------------------------------------
+
+
+def extract_postings(
+    listings: DataFrame, details: DataFrame, sources: DataFrame, configs: DataFrame
+) -> DataFrame:
+    """Raw postings of landed pages: the columns of ``raw_jobs.RAW_COLUMNS`` with page_id and item_no.
+
+    Only sources with a complete configuration are read.  Items and their fields
+    are taken from the listing pages, job URLs are resolved against the source's
+    prefix, and the description is the text of the detail page at that URL.
+    ``config_problems`` tells what was left out and why.
+    """
+    complete = configs
+    for field in REQUIRED_FIELDS:
+        complete = complete.where(F.length(field) > 0)
+    items = explode_listing_items(listings, sources.join(complete.select("source_name"), "source_name", "left_semi"))
+    prefixes = complete.select("source_name", "prefix_job_url")
+    found = extract_fields(items, complete).join(prefixes, "source_name")
+    resolved = found.withColumn("job_url", resolve_urls(F.col("job_url"), F.col("prefix_job_url")))
+    described = join_details(resolved, details.select("source_name", "url", "html"), sources)
+    return described.select("page_id", "item_no", *RAW_COLUMNS)

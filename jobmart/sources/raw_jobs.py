@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,7 +57,8 @@ def publish_partition(spark: SparkSession, staged: str, target: str, load_date:
 
     Lines are copied as text, so published files hold exactly what was staged.
     Publishing replaces the load date, so it can simply be run again after a
-    lost job: staging is cleared last.
+    lost job.  Staging is cleared last and leaves no folder, so a load date that
+    was cleared is an error and never an empty day.
     """
     try:
         lines = spark.read.text(partition_path(staged, load_date))
@@ -65,6 +66,14 @@ def publish_partition(spark: SparkSession, staged: str, target: str, load_date:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise ValueError(f"nothing staged for {load_date} under {staged}") from error
-    published = partition_path(target, load_date)
-    lines.write.mode("overwrite").text(published)
-    return spark.read.text(published).count()
+    seen = Observation()
+    counted = lines.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").text(partition_path(target, load_date))
+    return seen.get.get("rows") or 0
+
+
+def clear_staged(spark: SparkSession, staged: str) -> bool:
+    """Remove all staged load dates, so that none of them can be published any more; whether there were any."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(folder, True)

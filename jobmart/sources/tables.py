@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.operators.merge import upsert
 
 NAMESPACES = ["bronze", "silver", "gold", "staging"]
-_NEXT = "__next"
+# New contents beside their table, and the property that marks them as complete.
+_NEXT, _READY = "__next", "replacement_is_complete"
+# Partition of a table that is upserted by key.
+BUCKET = "key_bucket"
 # Providers that can merge in place; for others an upsert rewrites the table.
 _MERGING_PROVIDERS = ("iceberg", "delta")
 
@@ -27,10 +30,13 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def get_or_create_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def get_or_create_table(
+    df: DataFrame, name: str, partition_by: str | None = None, provider: str = "parquet"
+) -> DataFrame:
     """The table, created empty with the schema of ``df`` if it does not exist."""
+    finish_replacement(df.sparkSession, name)
     if not table_exists(df.sparkSession, name):
-        _write(df.limit(0), name, "errorifexists", *filter(None, [partition_by]))
+        _write(df.limit(0), name, "errorifexists", provider, *filter(None, [partition_by]))
     return df.sparkSession.table(name)
 
 
@@ -56,6 +62,7 @@ def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
 
 def read_table(spark: SparkSession, name: str, allow_empty: bool = False) -> DataFrame:
     """A table that must exist and, unless allowed, hold rows."""
+    finish_replacement(spark, name)
     if not table_exists(spark, name):
         raise ValueError(f"table {name} does not exist")
     table = spark.table(name)
@@ -67,54 +74,82 @@ def read_table(spark: SparkSession, name: str, allow_empty: bool = False) -> Dat
 def overwrite_table(df: DataFrame, name: str, allow_empty: bool = False) -> int:
     """Replace the contents of a table and return its rows.
 
-    The new contents are written beside the table and swapped in by name, so
-    ``df`` may read the table it replaces, a failed job leaves the old contents,
-    and an empty result is refused before anything is lost.  Outside ``staging``
-    the schema must not change; columns may come in any order, and a partitioned
-    table stays partitioned.
+    The new contents are written beside the table, so ``df`` may read the table
+    it replaces, a failed job leaves the old contents, and an empty result is
+    refused before anything is lost.  Complete contents are marked first; from
+    then on every function here that meets the table finishes the replacement,
+    so neither the old nor the new rows can be lost by a crash in between.
+    Outside ``staging`` the schema must not change; columns may come in any
+    order.  Format, partitioning and properties of the table stay.
     """
     spark = df.sparkSession
     beside = name + _NEXT
+    finish_replacement(spark, name)
     drop_table(spark, beside)
-    partition_by = []
+    partition_by, provider, properties = [], "parquet", {}
     if table_exists(spark, name):
         table = spark.table(name)
+        provider, properties = _provider(spark, name), _properties(spark, name)
+        properties.pop(_READY, None)
         if set(df.columns) == set(table.columns):
             df = df.select(*table.columns)
             partition_by = _partition_columns(spark, name)
         if not _is_staging(name):
             _require_same_schema(df, table, name)
-    _write(df, beside, "overwrite")
-    rows = spark.table(beside).count()
+    rows = _write(df, beside, "overwrite", provider, *partition_by)
     if rows == 0 and not allow_empty:
         drop_table(spark, beside)
         raise ValueError(f"refusing to store an empty result in {name}")
-    if partition_by:
+    for key, value in properties.items():
+        quoted = [x.replace("'", "\\'") for x in (key, value)]
+        spark.sql(f"ALTER TABLE {beside} SET TBLPROPERTIES ('{quoted[0]}' = '{quoted[1]}')")
+    spark.sql(f"ALTER TABLE {beside} SET TBLPROPERTIES ('{_READY}' = 'true')")
+    finish_replacement(spark, name)
+    return rows
+
+
+def finish_replacement(spark: SparkSession, name: str) -> bool:
+    """Bring complete new contents into place, if a replacement of the table was interrupted after it had them."""
+    beside = name + _NEXT
+    if not table_exists(spark, beside):
+        if table_exists(spark, name) and _READY in _properties(spark, name):
+            spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{_READY}')")
+        return False
+    if _READY not in _properties(spark, beside):
+        return False
+    partition_by = _partition_columns(spark, beside)
+    same = table_exists(spark, name) and set(spark.table(name).columns) == set(spark.table(beside).columns)
+    if partition_by and same:
         # Renaming would leave the catalog's partition locations behind, so a
-        # partitioned table is filled from the complete copy instead.
-        copy = spark.table(beside)
+        # partitioned table is filled from the complete copy, which goes last.
+        copy = spark.table(beside).select(*spark.table(name).columns)
         copy.write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(name)
         drop_table(spark, beside)
     else:
-        _swap(spark, beside, name)
-    return rows
+        drop_table(spark, name)
+        spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{_READY}')")
+    return True
 
 
 def append_table(df: DataFrame, name: str, partition_by: str | None = None) -> int:
     """Append rows, creating the table if needed, and return how many the input held."""
     table = get_or_create_table(df, name, partition_by)
-    rows = df.count()
-    if rows:
-        df.select(*table.columns).write.insertInto(name)
-    return rows
+    counted, rows = _counted(df.select(*table.columns))
+    counted.write.insertInto(name)
+    return rows()
 
 
-def upsert_table(df: DataFrame, name: str, key: str) -> int:
+def upsert_table(df: DataFrame, name: str, key: str, buckets: int | None = None) -> int:
     """Update rows of equal key and insert the others; returns the rows of the input.
 
     Tables of a format that can merge are merged in place, which rewrites only
-    the files touched.  A plain parquet table is rewritten beside and swapped.
-    A key that occurs twice in the input is an error.
+    the files touched.  With ``buckets``, a table of another format is created
+    with that many partitions by a hash of the key, in a column ``key_bucket``
+    after its own, and only partitions that hold a key of the input are written
+    again; later calls find the number of buckets in the table's properties.
+    Otherwise the whole table is rewritten beside and swapped.  A key that occurs
+    twice in the input is an error.
     """
     if key not in df.columns:
         raise ValueError(f"key column {key!r} is not in the input")
@@ -123,15 +158,32 @@ def upsert_table(df: DataFrame, name: str, key: str) -> int:
         raise ValueError(f"{repeated} values of key {key!r} occur more than once in the input")
     if rows == 0:
         return 0
+    spark = df.sparkSession
+    finish_replacement(spark, name)
+    if buckets and not table_exists(spark, name):
+        _write(df.withColumn(BUCKET, F.lit(0)).limit(0), name, "errorifexists", "parquet", BUCKET)
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{BUCKET}' = '{buckets}')")
     table = get_or_create_table(df, name)
-    if _provider(df.sparkSession, name) in _MERGING_PROVIDERS:
+    if _provider(spark, name) in _MERGING_PROVIDERS:
         match = F.col(f"source.{key}") == F.col(f"{name}.{key}")
         df.alias("source").mergeInto(name, match).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    elif BUCKET in _partition_columns(spark, name):
+        _upsert_buckets(df, table, name, key, int(_properties(spark, name)[BUCKET]))
     else:
         overwrite_table(upsert(table, df, key), name)
     return rows
 
 
+def _upsert_buckets(df: DataFrame, table: DataFrame, name: str, key: str, buckets: int) -> None:
+    """Write again the partitions that hold a key of the input; a lost job can be run again."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    source = df.withColumn(BUCKET, bucket).select(*table.columns)
+    # At most ``buckets`` numbers: they prune the partitions that are read.
+    touched = [r[0] for r in source.select(BUCKET).distinct().collect()]
+    merged = upsert(table.where(F.col(BUCKET).isin(touched)), source, key).select(*table.columns)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+
+
 def clear_tables(spark: SparkSession, names: list[str]) -> dict[str, int]:
     """Empty the tables and keep their schema; a missing table counts as cleared."""
     for name in names:
@@ -143,17 +195,20 @@ def clear_tables(spark: SparkSession, names: list[str]) -> dict[str, int]:
 # -- helpers ------------------------------------------------------------------
 
 
-def _write(df: DataFrame, name: str, mode: str, *partition_by: str) -> None:
-    df.write.format("parquet").mode(mode).partitionBy(*partition_by).saveAsTable(name)
+def _counted(df: DataFrame):
+    """The same rows, and a function that gives their number once they were written."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: seen.get.get("rows") or 0
 
 
-def _partition_columns(spark: SparkSession, name: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+def _write(df: DataFrame, name: str, mode: str, provider: str, *partition_by: str) -> int:
+    counted, rows = _counted(df)
+    counted.write.format(provider).mode(mode).partitionBy(*partition_by).saveAsTable(name)
+    return rows()
 
 
-def _swap(spark: SparkSession, beside: str, name: str) -> None:
-    drop_table(spark, name)
-    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
 def _is_staging(name: str) -> bool:
@@ -177,3 +232,8 @@ def _count_and_repeats(df: DataFrame, key: str) -> tuple[int, int]:
 def _provider(spark: SparkSession, name: str) -> str:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Provider'").first()
     return described["data_type"].lower() if described else ""
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return {r["key"]: r["value"] for r in rows if not r["key"].startswith(("spark.", "transient_", "option."))}

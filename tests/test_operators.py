@@ -194,6 +194,10 @@ def test_salary_ranges(spark):
     cases = {
         "up to $2,000 usd": ("usd", 2000.0, 2000.0), "từ 10 đến 20 triệu": ("vnd", 1e7, 2e7),
         "€1.5 to 2.5": ("eur", 1.5, 2.5), "1,5 million": ("vnd", 1.5e6, 1.5e6), "100 - 200": ("unknown", 100.0, 200.0),
+        "15.000.000 - 20.000.000 VND": ("vnd", 15e6, 20e6), "1,234,567 usd": ("usd", 1234567.0, 1234567.0),
+        "$1,500.50": ("usd", 1500.5, 1500.5), "1000 usd - 1.5 million vnd": ("usd", 1000.0, 1.5e6),
+        "15 - 20 million": ("vnd", 15e6, 20e6), "2,000 - 1,000 usd": ("usd", 1000.0, 2000.0),
+        "1,234.5678 usd": ("usd", 1.234, 5678.0),
         "Negotiable": ("unknown", None, None),
     }
     df = marts.with_salary_range(spark.createDataFrame([(s,) for s in cases], "salary string"))

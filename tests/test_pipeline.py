@@ -38,12 +38,12 @@ def test_whole_run(spark, make_lake):
     lake = make_lake()
     raw = fx.raw_jobs(spark, SMALL)
     result = run(lake, "bronze", DAY, postings=raw)
-    assert result["bronze_to_staging"]["scrapped_jobs"] == result["promote_bronze"]["promoted_rows"] == raw.count()
+    assert result["bronze_to_staging"]["jobs_staged"] == result["promote_bronze"]["promoted_rows"] == raw.count()
 
     result = run(lake, "silver", DAY)
     urls = raw.select(F.coalesce("job_url", F.lit("Unknown"))).distinct().count()
     assert result["silver_to_staging"]["jobs_staged"] == result["promote_silver"]["jobs_loaded"] == urls
-    assert result["silver_to_staging"]["duplicate_jobs_removed"] == raw.count() - urls
+    assert result["silver_to_staging"]["jobs_duplicate"] == raw.count() - urls
 
     # the text fields of the file path equal those of the direct path, whatever row of a URL is kept
     stored = spark.table(lake.table("silver.jobs"))
@@ -58,7 +58,10 @@ def test_whole_run(spark, make_lake):
 
     run(lake, "staging", DAY, "clean")
     assert all(count(lake, t) == 0 for t in pipeline.STAGING_TABLES)
-    assert raw_jobs.read_raw_jobs(spark, lake.staged_raw, DAY).count() == 0
+    bronze = raw_jobs.read_raw_jobs(spark, lake.bronze_raw, DAY).count()
+    with pytest.raises(ValueError, match="nothing staged"):
+        run(lake, "bronze", DAY, "promote")
+    assert raw_jobs.read_raw_jobs(spark, lake.bronze_raw, DAY).count() == bronze == raw.count()
     with pytest.raises(ValueError, match="no rows"):
         run(lake, "silver", DAY, "promote")
 

@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobmart.operators import silver
-from jobmart.session import broadcast_if_small
 from jobmart.sources import crawl, html, pages, raw_jobs, tables
 
 
@@ -64,6 +63,10 @@ def test_publish(spark, tmp_path):
     assert raw_jobs.read_raw_jobs(spark, target, "2026-05-21").count() == 2
     with pytest.raises(ValueError, match="nothing staged"):
         raw_jobs.publish_partition(spark, staged, target, "2026-05-22")
+    assert raw_jobs.clear_staged(spark, staged) and not raw_jobs.clear_staged(spark, staged)
+    with pytest.raises(ValueError, match="nothing staged"):  # cleared is not empty: what was published stays
+        raw_jobs.publish_partition(spark, staged, target, "2026-05-21")
+    assert raw_jobs.read_raw_jobs(spark, target, "2026-05-21").count() == 2
 
 
 def test_file_order_keeps_the_first_line(spark, tmp_path):
@@ -149,6 +152,63 @@ def test_partitioned_tables_stay_partitioned(spark, prefix, tmp_path):
     assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["day"]
 
 
+def test_a_replacement_survives_a_crash_at_every_step(spark, prefix, monkeypatch):
+    """Whatever step fails, a retry keeps every row, partitioned or not."""
+    class Crash(Exception):
+        pass
+
+    session = type(spark)
+    real_sql = session.sql
+    for partition_by in (None, "day"):
+        for step in range(6):
+            name = f"{prefix}gold.r{partition_by or 'n'}{step}"
+            rows = spark.range(100).select(F.col("id").cast("int").alias("id"), F.lit("a").alias("day"))
+            tables.append_table(rows, name, partition_by=partition_by)
+            calls = {"n": 0}
+
+            def failing(self, query, *args, **options):
+                if query.startswith(("DROP", "ALTER")):
+                    calls["n"] += 1
+                    if calls["n"] == step + 1:  # noqa: B023
+                        raise Crash
+                return real_sql(self, query, *args, **options)
+
+            more = spark.createDataFrame([(500, "b")], "id int, day string")
+            monkeypatch.setattr(session, "sql", failing)
+            try:
+                tables.upsert_table(more, name, "id")
+            except Crash:
+                pass
+            monkeypatch.setattr(session, "sql", real_sql)
+            tables.upsert_table(more, name, "id")
+            assert sorted(r.id for r in tables.read_table(spark, name).collect()) == [*range(100), 500], (partition_by, step)
+            assert not [t for t in spark.catalog.listTables(prefix + "gold") if "__" in t.name and t.name.startswith(name)]
+
+
+def test_format_partitions_and_properties_survive(spark, prefix):
+    name = prefix + "gold.f"
+    spark.sql(f"CREATE TABLE {name} (id INT, v INT) USING orc TBLPROPERTIES ('owner_team' = 'x''y')".replace("''", ""))
+    tables.upsert_table(numbers(spark, 1, 2), name, "id")
+    tables.overwrite_table(numbers(spark, 3), name)
+    assert ids(spark, name) == [3] and tables._provider(spark, name) == "orc"
+    assert tables._properties(spark, name)["owner_team"] == "xy"
+
+
+def test_upsert_by_buckets_leaves_other_partitions_alone(spark, prefix):
+    name = prefix + "gold.b"
+    assert tables.upsert_table(numbers(spark, *range(200)), name, "id", buckets=16) == 200
+    files = lambda: {r.f for r in spark.table(name).select(F.input_file_name().alias("f")).distinct().collect()}
+    before = files()
+    changed = numbers(spark, 7, 1_000).withColumn("v", F.lit(-1))
+    for _ in range(2):  # a retry changes nothing
+        assert tables.upsert_table(changed, name, "id") == 2
+        rows = {r.id: r.v for r in spark.table(name).collect()}
+        assert rows == {i: i * 10 for i in range(200)} | {7: -1, 1_000: -1}
+    assert len(before & files()) >= 14
+    with pytest.raises(ValueError, match="more than once"):
+        tables.upsert_table(numbers(spark, 5, 5), name, "id")
+
+
 def test_catalog_and_clear(spark, prefix):
     name = prefix + "staging.t"
     tables.get_or_create_table(numbers(spark, 1), name)
@@ -217,38 +277,97 @@ def test_items_and_fields(spark):
     assert [(r.title, r.job_url, r.salary) for r in fields] == [("A", "/1", None), (None, None, None)]
 
 
-def test_pages_are_not_shuffled_by_source(spark):
-    """Also not when the planner cannot know how small the derived source table is."""
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_are_not_shuffled_by_source(spark, tmp_path):
+    """A stored table of sources is broadcast by its size, without a hint; a large one is joined by a splittable join."""
     page_table = spark.range(1000).select(
         F.col("id").alias("page_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise("cold").alias("source_name"),
         F.lit("http://h/").alias("url"), F.lit("<p>x</p>").alias("html"),
     )
-    sources = page_table.select("source_name").distinct().withColumn("entry_point", F.lit("p"))
+    page_table.select("source_name").distinct().withColumn("entry_point", F.lit("p")).write.parquet(str(tmp_path / "s"))
+    sources = spark.read.parquet(str(tmp_path / "s"))
+    items = pages.explode_listing_items(page_table, sources)
+    plan = physical(items)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert items.count() == 1000
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        items = pages.explode_listing_items(page_table, sources)
-        plan = items._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-        assert items.count() == 1000
-        many = broadcast_if_small(page_table.select("page_id"), max_rows=10)
-        assert "ResolvedHint" not in many._jdf.queryExecution().analyzed().toString()
+        # Both sides are exchanged for this join alone, which is what skew splitting asks for.
+        plan = physical(pages.explode_listing_items(page_table, sources))
+        assert "SortMergeJoin" in plan and plan.count("ENSURE_REQUIREMENTS") == 2
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_unsupported_selector_fails(spark):
-    page_table = spark.createDataFrame([(1, "s", "u", "<p>x</p>")], "page_id int, source_name string, url string, html string")
-    sources = spark.createDataFrame([("s", "div:has(p)")], "source_name string, entry_point string")
-    with pytest.raises(Exception, match="unsupported selector"):
-        pages.explode_listing_items(page_table, sources).collect()
+BAD = ["div:has(p)", "a >", "> a", "p:-soup-contains('x')", "a,,b", "a + b", "[x"]
+GOOD = ["p", "*", ".a.b", "#i", "a[href^='/x,y']", "ul > li a", "div.job , p", "[data-id]", "a[ x = \"1\" ]", ""]
+
+
+def test_supported_selectors_are_those_that_compile(spark):
+    df = spark.createDataFrame([(s,) for s in [*BAD, *GOOD, None]], "s string")
+    found = {r.s: r.ok for r in df.select("s", pages.is_supported(F.col("s")).alias("ok")).collect()}
+    assert found == dict.fromkeys(BAD, False) | dict.fromkeys([*GOOD, None], True)
+    for selector in filter(None, GOOD):
+        html.Selector(selector)
+    for selector in BAD:
+        with pytest.raises(ValueError, match="selector"):
+            html.Selector(selector)
+
+
+def test_one_bad_selector_stops_no_other_source(spark):
+    page_table = spark.createDataFrame(
+        [(i, s, "u", "<p>x</p>") for i, s in enumerate("abc")], "page_id int, source_name string, url string, html string"
+    )
+    sources = spark.createDataFrame(
+        [("a", "p", None), ("b", "div:has(p)", None), ("c", "p", "h1"), ("d", None, None)],
+        "source_name string, entry_point string, detail_entry_point string",
+    )
+    found = pages.explode_listing_items(page_table, sources).collect()
+    assert sorted(r.source_name for r in found) == ["a", "c"]
+    configs = [config(source_name=s, title="p", prefix_job_url="http://h", job_url="a@href") for s in "abd"]
+    configs[0]["salary"] = "b:not(i)@text()"
+    table = spark.createDataFrame([tuple(c.values()) for c in configs], crawl.CONFIG_SCHEMA)
+    problems = {(r.source_name, r.field, r.problem) for r in pages.config_problems(sources, table).collect()}
+    assert problems == {
+        ("a", "salary", "unsupported"), ("b", "entry_point", "unsupported"), ("c", None, "missing"),
+        ("d", "entry_point", "missing"),
+    }
+
+
+def test_pages_to_postings(spark):
+    listing = '<ul><li><a href="../job/1">One</a><b>1,000 usd</b></li><li><a href="/job/2">Two</a></li><li>none</li></ul>'
+    listings = spark.createDataFrame(
+        [(1, "s", "http://h/list", listing), (2, "incomplete", "http://h/list", listing)],
+        "page_id int, source_name string, url string, html string",
+    )
+    details = spark.createDataFrame(
+        [("s", "http://h/job/1", "<h1>t</h1><div class=d>Long <i>text</i></div>"), ("s", "http://h/job/9", "<p>unasked")],
+        "source_name string, url string, html string",
+    )
+    sources = spark.createDataFrame(
+        [("s", "ul > li", ".d"), ("incomplete", "li", None)], "source_name string, entry_point string, detail_entry_point string"
+    )
+    configs = [
+        config(source_name="s", title="a", job_url="a@href", prefix_job_url="http://h/jobs/x", salary="b@text()"),
+        config(source_name="incomplete", title="a", job_url="a@href", prefix_job_url=""),
+    ]
+    table = spark.createDataFrame([tuple(c.values()) for c in configs], crawl.CONFIG_SCHEMA)
+    found = pages.extract_postings(listings, details, sources, table).orderBy("item_no").collect()
+    assert [(r.title, r.job_url, r.salary, r.description) for r in found] == [
+        ("One", "http://h/job/1", "1,000 usd", "Long text"), ("Two", "http://h/job/2", None, None), (None, None, None, None),
+    ]
+    assert set(raw_jobs.RAW_COLUMNS) <= set(found[0].asDict())
 
 
 def test_urls(spark):
     from urllib.parse import urljoin
 
     prefixes = ["https://h.example/a/b?q=1#f", "https://h.example", "http://h.example/a/", "", None]
-    links = ["/x", "x/y", "//c.example/z", "https://o.example/p", "?k=v", "#t", "mailto:a@b", "", None]
+    links = ["../x/1", "./y", "..", "../../../z?q=../w", "/a/./b/../c", "a//b/.", ".", "x/..", "/x", "x/y", "//c.example/z", "https://o.example/p", "?k=v", "#t", "mailto:a@b", "", None]
     df = spark.createDataFrame([(p, u) for p in prefixes for u in links], "p string, u string")
     for r in df.select("p", "u", pages.resolve_urls(F.col("u"), F.col("p")).alias("got")).collect():
         wanted = None if not r.u else urljoin(r.p, r.u) if r.p else r.u
