@@ -1,0 +1,75 @@
+import itertools
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from jobmart.llm import transcripts
+from jobmart.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_recovered_turns(spark):
+    found = QUERIES["op8_chat_transcripts"](spark, FOLDER).collect()
+    rows = spark.read.parquet(f"{FOLDER}/conversations.parquet").collect()
+    real = {(r["conv_id"], r["turn"]): r for r in rows}
+    same = [r for r in found if (r["conv_id"], r["turn"]) in real]
+    assert len(same) / len(rows) > 0.98
+    right = [r for r in same if real[r["conv_id"], r["turn"]]["role"] == r["role"]]
+    whole = [r for r in right if real[r["conv_id"], r["turn"]]["text"].strip() == r["text"]]
+    assert len(right) / len(rows) > 0.97 and len(whole) / len(rows) > 0.96
+
+
+def test_markers():
+    cases = {
+        "User: hi": ("user", 6), "### Assistant": ("assistant", 13), "<|system|>x": ("system", 10), "[user] a": ("user", 7),
+        "**Answer:** b": ("assistant", 12), "Q: c": ("user", 3), "Note: d": ("other", 6), "not a marker": ("none", 0),
+        "[link] text": ("none", 0), "http://x": ("none", 0), "time: now": ("none", 0), "": ("none", 0), "### Results": ("none", 0),
+    }
+    assert {line: transcripts.marker(line) for line in cases} == cases
+
+
+def _model(seed):
+    draw = np.random.default_rng(seed)
+    first = np.arange(transcripts.STATES) % 2 == 0
+    start = np.where(first, draw.normal(size=transcripts.STATES), -np.inf)
+    move = draw.normal(size=(transcripts.STATES, transcripts.STATES))
+    for a in range(transcripts.STATES):
+        move[a, [b for b in range(transcripts.STATES) if b % 2 and b // 2 != a // 2]] = -np.inf
+    return transcripts.Model(start, move, tuple(draw.normal(size=(transcripts.STATES, n)) for n in transcripts.SHAPE))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_viterbi_by_brute_force(seed):
+    model, draw = _model(seed), np.random.default_rng(50 + seed)
+    features = np.column_stack([draw.integers(0, n, 4) for n in transcripts.SHAPE])
+
+    def score(path):
+        total = model.start[path[0]] + sum(model.move[a, b] for a, b in itertools.pairwise(path))
+        return total + sum(model.emit[i][s, features[t, i]] for t, s in enumerate(path) for i in range(4))
+
+    best = max(itertools.product(range(transcripts.STATES), repeat=4), key=score)
+    assert model.states(features).tolist() == list(best)
+
+
+def test_canonical_rendering(spark):
+    rows = [("System: Be kind.\n\nUser: One?\nTwo?\n\nAssistant: Yes.\n\n\nUser: Bye\n",), ("",), (None,), ("  \n ",)]
+    written = transcripts.written_out(spark.read.parquet(f"{FOLDER}/conversations.parquet"))
+    model = transcripts.fit(written)
+    df = spark.createDataFrame(rows, "t string")
+    found = [r[0] for r in df.select(transcripts.render(transcripts.parse(F.col("t"), model))).collect()]
+    assert found[0] == (
+        "<|system|>\nBe kind.\n<|end|>\n<|user|>\nOne?\nTwo?\n<|end|>\n<|assistant|>\nYes.\n<|end|>\n<|user|>\nBye\n<|end|>\n"
+    )
+    assert found[1:] == ["", "", ""]
+
+
+def test_long_conversations_are_cut_into_segments(spark):
+    turns = spark.range(1_000).select(
+        F.lit(7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("text "), "id").alias("text"),
+    )
+    written = transcripts.written_out(turns)
+    assert written.select(F.max(F.size("blocks"))).first()[0] == transcripts.SEGMENT
+    assert written.select(F.sum(F.size("blocks"))).first()[0] == 1_000
