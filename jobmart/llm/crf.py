@@ -44,7 +44,7 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 
 
 def train(
-    sequences: list[tuple[list[list[str]], list[int]]], steps: int = 80, rate: float = 0.4, penalty: float = 2e-3,
+    sequences: list[tuple[list[list[str]], list[int]]], steps: int = 150, rate: float = 0.4, penalty: float = 3e-4,
     min_count: int = 2,
 ) -> Field | None:
     """Weights by adaptive gradient steps on the penalised log-likelihood; None without any tagged token.

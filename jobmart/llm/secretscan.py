@@ -139,7 +139,11 @@ def _parts(text: str) -> Iterator[tuple[int, int]]:
 
 
 def examples(text: str) -> list[tuple[list[list[str]], list[int]]]:
-    """Tagged chunks of a text, as the patterns see them; of many, those spread evenly over the text."""
+    """Tagged chunks of a text, as the patterns see them; of many, those spread evenly over the text.
+
+    Each secret found is an example once more as a chunk of its own, without its surroundings: so the field learns what
+    secrets look like, not only which words announce them.
+    """
     values = secret_values(text, base_spans(text))
     found, file = [], file_features(text)
     chunks = list(_parts(text))
@@ -151,6 +155,10 @@ def examples(text: str) -> list[tuple[list[list[str]], list[int]]]:
             continued = inside and tags and tags[-1] != OUTSIDE and spans[len(tags) - 1][0] >= inside[0]
             tags.append(OUTSIDE if not inside else INSIDE if continued else BEGIN)
         found.append((rows[:64], tags[:64]))
+    for x, y in values[:CHUNKS_PER_DOC]:
+        _, rows = chunk_features(text, x, min(y, x + CHUNK), [])
+        bare = [[f for f in row if not f.startswith(("key.", "line.", "next.", "prev"))] for row in rows]
+        found.append((bare[:64], ([BEGIN] + [INSIDE] * len(bare))[: len(bare)][:64]))
     return found
 
 
@@ -202,12 +210,7 @@ def fit(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rows: int =
     each = sample.select("draw", F.posexplode(tagged("text")).alias("place", "e"))
     each = each.withColumn("secret", F.exists("e.tags", lambda t: t > 0))
     found = each.orderBy(F.desc("secret"), "place", "draw").limit(SAMPLE_CHUNKS).collect()
-    learned = []
-    for i, row in enumerate(found):
-        learned.append((row["e"]["rows"], row["e"]["tags"]))
-        if row["secret"] and i % 2:  # the same secret where no telling word is in front
-            learned.append(([[f for f in r if not f.startswith("key.")] for r in row["e"]["rows"]], row["e"]["tags"]))
-    return Scanner(train(learned))
+    return Scanner(train([(row["e"]["rows"], row["e"]["tags"]) for row in found]))
 
 
 def scan(text: Column, scanner: Scanner) -> Column:

@@ -10,7 +10,7 @@ import numpy as np
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[32, *range(9, 14)]] = True
 
-_BLOCK = 1 << 18
+_BLOCK = 1 << 14
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
