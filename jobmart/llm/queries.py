@@ -38,12 +38,10 @@ def op1_language_id(spark, sf_dir):
 @query
 def op2_token_counts(spark, sf_dir):
     """The number of tokens of every document, from a cache that this call starts empty."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_bytes = F.octet_length(tokens.content(F.col("text"))).cast("long")  # before the join, so that no text moves there
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", n_bytes.alias("n_bytes"))
     counted = tokens.count_tokens(docs, work_path(spark, "token-cache"), TOKENIZER)
-    return counted.select(
-        "doc_id", F.octet_length(tokens.content(F.col("text"))).cast("long").alias("n_bytes"), "n_tokens",
-        (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
-    )
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
 @query
