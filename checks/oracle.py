@@ -23,6 +23,7 @@ def _pick(values: list[str | None], index: str = "doc_id") -> str:
     return f"[{', '.join(map(_lit, values))}][1 + ({index}) % {len(values)}]"
 
 
+# What may stand between the words of a phrase, and around a whole one.
 _SEP = r"[\s._/+:-]*"
 _BEFORE, _AFTER = "(^|[^[:alnum:]_])", "([^[:alnum:]_]|$)"
 

@@ -115,7 +115,7 @@ def append_table(spark, sf_dir):
 @query
 def upsert(spark, sf_dir):
     """Remote jobs with one more applicant, and hybrid jobs reposted under a new URL."""
-    jobs = fx.jobs(spark, sf_dir)
+    jobs = fx.stored_tables(spark, sf_dir)["jobs"]
     changed = jobs.where("location_type = 'REMOTE'").withColumn(
         "number_applicants", F.col("number_applicants") + 1
     )
@@ -209,10 +209,18 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.table(spark, sf_dir, "pages").withColumn("source_name", source)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A small table as a stored one, whose size Spark knows."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _page_sources(page_table: DataFrame) -> DataFrame:
-    return page_table.select("source_name").distinct().select(
+    sources = page_table.select("source_name").distinct().select(
         "source_name", F.lit("nav > ul > li").alias("entry_point"), F.lit("article h1").alias("detail_entry_point")
     )
+    return _stored(sources, "page-sources")
 
 
 def _listing_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,14 +230,15 @@ def _listing_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
     page_table = _pages(spark, sf_dir)
+    sources = _page_sources(page_table)
     specs = {
         "title": "li a@text()", "job_url": "a@href", "company": "@text()", "level": "a[href^='/']",
         "salary": "b@text()", "role": "@href",
     }
-    configs = page_table.select("source_name").distinct().select(
+    configs = sources.select(
         "source_name", *[F.lit(specs.get(f)).cast("string").alias(f) for f in pages.LISTING_FIELDS]
     )
-    return pages.extract_fields(_listing_items(spark, sf_dir), configs)
+    return pages.extract_fields(pages.explode_listing_items(page_table, sources), configs)
 
 
 @query
@@ -285,13 +294,12 @@ def resolve_urls(spark, sf_dir):
 def join_details(spark, sf_dir):
     """The heading of the page each item was listed on; items whose text has a comma have no link."""
     page_table = _pages(spark, sf_dir)
-    items = _listing_items(spark, sf_dir).select(
+    sources = _page_sources(page_table)
+    items = pages.explode_listing_items(page_table, sources).select(
         "page_id", "item_no", "source_name",
         F.when(~F.col("item_html").contains(","), F.col("url")).alias("job_url"),
     )
-    joined = pages.join_details(
-        items, page_table.select("source_name", "url", "html"), _page_sources(page_table)
-    )
+    joined = pages.join_details(items, page_table.select("source_name", "url", "html"), sources)
     return joined.select("page_id", "item_no", F.coalesce("description", F.lit("(null)")).alias("description"))
 
 
@@ -311,11 +319,12 @@ def extract_postings(spark, sf_dir):
     )
     prefix = F.when(F.col("source_name") != "org", F.concat(F.lit("https://jobs."), "source_name", F.lit("/list/x?y")))
     specs = {"title": "li > a@text()", "company": "@text()", "job_url": "a@href", "level": "a[href^='/']"}
-    configs = page_table.select("source_name").distinct().select(
+    sources = _page_sources(page_table)
+    configs = sources.select(
         "source_name", *[F.lit(specs.get(f)).cast("string").alias(f) for f in pages.LISTING_FIELDS],
         prefix.alias("prefix_job_url"),
     )
-    postings = pages.extract_postings(page_table, details, _page_sources(page_table), configs)
+    postings = pages.extract_postings(page_table, _stored(details, "details"), sources, configs)
     shown = ["source_name", "title", "company", "job_url", "level", "salary", "description"]
     return postings.select("page_id", "item_no", *[F.coalesce(c, F.lit("(null)")).alias(c) for c in shown])
 

@@ -47,11 +47,11 @@ class Lake:
 
     @property
     def staged_raw(self) -> str:
-        return f"{self.raw_root.rstrip('/')}/staging/bronze/crawler_data/jobs"
+        return f"{self.raw_root.rstrip('/')}/staging/raw_jobs"
 
     @property
     def bronze_raw(self) -> str:
-        return f"{self.raw_root.rstrip('/')}/bronze/crawler_data/jobs"
+        return f"{self.raw_root.rstrip('/')}/bronze/raw_jobs"
 
 
 # -- bronze -------------------------------------------------------------------

@@ -27,6 +27,21 @@ def test_query(spark, name):
     assert compare.compare(spark, compare.duckdb_over(SMALL), entry.queries()[name], ORACLE[name], SMALL) == ""
 
 
+def scans(spark, name, first_column):
+    plan = queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    return plan.count(f"Relation [{first_column}#")
+
+
+def test_documents_and_pages_are_read_once(spark):
+    """The stored star is read by marts and key checks; a query from raw data reads its documents or pages once."""
+    for name in ("build_star", "check_foreign_keys", "mart_tech_demand", "mart_job_analytics", "mart_role_level", "upsert"):
+        assert scans(spark, name, "doc_id") == 0, name
+    for name in ("clean_jobs", "fact_hiring", "bridge_tech_fact", "dim_location", "check_unique", "mart_salary_insights"):
+        assert scans(spark, name, "doc_id") <= 1 + (name == "check_unique"), name
+    for name in ("explode_listing_items", "extract_fields", "resolve_urls"):
+        assert scans(spark, name, "page_id") == 1, name
+
+
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

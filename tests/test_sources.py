@@ -20,6 +20,9 @@ def partition(tmp_path, content, load_date="2026-05-21"):
 # -- raw files --------------------------------------------------------------------
 
 
+# Fixed values in the next two tests: inputs and results that were given.
+
+
 def test_empty_file_gives_empty_tables(spark, tmp_path):
     raw = raw_jobs.read_raw_jobs(spark, partition(tmp_path, ""), "2026-05-21")
     assert silver.clean_jobs(raw).count() == 0
