@@ -4,9 +4,10 @@ Texts are compared as weighted sets of their runs of five words, lower-cased, ea
 text of fewer words is one run. Two texts are linked if the weighted Jaccard similarity of these sets is at least 0.8,
 and a class holds all texts that links connect.
 
-Equal texts are one node from the start. Nodes that share a band are candidates. As only classes are wanted, most
-candidates need no comparison: first each node is compared with the least node of its bands, then only nodes of
-different classes are, until no pair of candidates in different classes is left uncompared.
+Equal texts are one node from the start. Nodes that share a band are candidates, unless two bits of each coordinate of
+their signatures already tell them apart. As only classes are wanted, most candidates need no comparison: first each
+node is compared with the best connected node of its bands, then only candidates still in different classes are, and
+of these only pairs that a longer signature does not tell apart either.
 """
 
 from __future__ import annotations
@@ -27,6 +28,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: 30 bands of 6: a pair of similarity 0.8 shares one at 99.99 %, one of similarity 0.5 at 38 %.
 ROWS, BANDS = 6, 30
+#: Standard deviations by which a sketch may miss the threshold: a pair at the threshold is lost at 1 in a million.
+DEVIATIONS = 4.75
+#: Coordinates of the longer signature, which only nodes with candidates get.
+LONGER = 1_024
+_PER_LONG = 32
 
 
 def shingles(data: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -41,10 +47,18 @@ def _prepared(text: Column) -> Column:
     return F.lower(text).cast("binary")
 
 
+def _sketch(found: np.ndarray) -> np.ndarray:
+    """Two bits of each coordinate, 32 coordinates to a number."""
+    bits = np.zeros(-(-len(found) // _PER_LONG) * _PER_LONG, dtype=np.uint64)
+    bits[: len(found)] = found & np.uint64(3)
+    shifts = np.arange(_PER_LONG, dtype=np.uint64) * np.uint64(2)
+    return np.bitwise_or.reduce(bits.reshape(-1, _PER_LONG) << shifts, axis=1)
+
+
 def signed(text: Column, size: int, rows: int, bands: int) -> Column:
-    """A struct of the content's digest, as two numbers, and the hashes of the bands; no bands without words."""
+    """A struct of the content's digest, as two numbers, the hashes of the bands, and the sketch; both empty without words."""
 
-    @F.pandas_udf("h1 long, h2 long, bands array<long>")
+    @F.pandas_udf("h1 long, h2 long, bands array<long>, sketch array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out, known = [], {}
@@ -53,40 +67,48 @@ def signed(text: Column, size: int, rows: int, bands: int) -> Column:
                 hashed, distinct, counts = shingles(data, size)
                 digest = xxhash.xxh3_128_digest(hashed.tobytes())
                 if digest not in known:
-                    found = np.empty(0, dtype=np.uint64)
+                    found = (np.empty(0, dtype=np.int64),) * 2
                     if len(distinct):
-                        found = darts.bands(darts.signature(distinct, counts.astype(float), rows * bands), rows)
-                    known[digest] = (*np.frombuffer(digest, dtype="<i8").tolist(), found.view(np.int64))
+                        signature = darts.signature(distinct, counts.astype(float), rows * bands)
+                        found = darts.bands(signature, rows).view(np.int64), _sketch(signature).view(np.int64)
+                    known[digest] = (*np.frombuffer(digest, dtype="<i8").tolist(), *found)
                 out.append(known[digest])
-            yield pd.DataFrame(out, columns=["h1", "h2", "bands"])
+            yield pd.DataFrame(out, columns=["h1", "h2", "bands", "sketch"])
 
     return run(_prepared(text))
 
 
+def _alike(a: str, b: str, size: int, similarity: float) -> Column:
+    """Whether two sketches of ``size`` coordinates differ in so few that the pair may be similar enough."""
+    differ = 0.75 * (1 - similarity)  # coordinates that differ agree in both bits one time in four
+    most = size * differ + DEVIATIONS * (size * differ * (1 - differ)) ** 0.5
+    odd, found = 0x5555555555555555, F.lit(0)
+    for i in range(-(-size // _PER_LONG)):
+        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        found = found + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(odd)))
+    return found <= int(most)
+
+
 def elements(text: Column, size: int) -> Column:
-    """The weighted set as a plain one: a number for every occurrence of every shingle."""
+    """A struct of the weighted set as a plain one, a number for every occurrence of a shingle, and the longer sketch."""
 
-    @F.pandas_udf("array<long>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("set array<long>, longer array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for value in batch:
                 _, distinct, counts = shingles(words.as_bytes(value), size)
                 nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-                each = np.repeat(distinct, counts)
-                out.append(words.mixed(each + words.mixed(nth.astype(np.uint64))).view(np.int64))
-            yield pd.Series(out)
+                each = words.mixed(np.repeat(distinct, counts) + words.mixed(nth.astype(np.uint64)))
+                longer = _sketch(darts.signature(distinct, counts.astype(float), LONGER)) if len(distinct) else each
+                out.append((each.view(np.int64), longer.view(np.int64)))
+            yield pd.DataFrame(out, columns=["set", "longer"])
 
     return run(_prepared(text))
 
 
-def _links(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes that are similar enough. ``docs`` has node and text, one row for each node."""
-    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = docs.join(needed, "node", "left_semi").withColumn("hash", F.xxhash64("text"))
-    texts = texts.dropDuplicates(["node", "hash"])  # rows may repeat
-    sets = texts.select("node", elements(F.col("text"), size).alias("set"))
-    sets = stored(sets, "shingles")
+def _links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes that are similar enough."""
     one = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
     two = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
     both = pairs.join(one, "a").join(two, "b")
@@ -94,43 +116,58 @@ def _links(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) -> D
     return both.where(shared >= similarity * (F.size("set_a") + F.size("set_b") - shared)).select("a", "b")
 
 
-def _classes(nodes: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """``node`` and ``class`` of all nodes that are linked to another. ``nodes`` has node and bands."""
-    rows = nodes.select(F.explode("bands").alias("band"), "node")
-    shared = rows.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
-    members = stored(rows.join(shared.select("band", "least"), "band"), "band-members")
+def _classes(nodes: DataFrame, docs: DataFrame, size: int, similarity: float, coordinates: int) -> DataFrame:
+    """``node`` and ``class`` of all nodes that are linked to another.
 
-    # Each node with the least node it shares a band with; then with the other bands' least nodes, where still apart.
-    first = members.groupBy("node").agg(F.min("least").alias("b")).where("node <> b")
-    done = first.select(F.col("node").alias("a"), "b")
-    links = stored(_links(done, docs, size, similarity), "links")
+    ``nodes`` has node, bands and sketch, ``docs`` node and text.
+    """
+    rows = nodes.select(F.explode("bands").alias("band"), "node")
+    shared = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(rows.join(shared, "band"), "band-members")
+    degrees = stored(members.groupBy("node").agg(F.sum("n").alias("degree")), "degrees")
+    texts = docs.join(degrees.select("node"), "node", "left_semi").withColumn("hash", F.xxhash64("text"))
+    texts = texts.dropDuplicates(["node", "hash"])  # rows may repeat
+    sets = stored(texts.select("node", elements(F.col("text"), size).alias("e")).select("node", "e.*"), "shingles")
+    sketches = nodes.select("node", "sketch").join(degrees.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    longer = sets.select("node", "longer").dropDuplicates(["node"])
+    sketches = stored(sketches.join(longer, "node"), "sketches")
+
+    def sketched(df: DataFrame, node: str, name: str) -> DataFrame:
+        return df.join(sketches.select(F.col("node").alias(node), F.col("sketch").alias(name)), node)
+
+    # Each node with the best connected nodes of its bands.
+    best = members.join(degrees, "node").groupBy("band").agg(F.max(F.struct("degree", "node")).alias("best"))
+    pairs = members.join(best.select("band", F.col("best.node").alias("b")), "band").where("node <> b")
+    pairs = pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+    alike = _alike("sketch_a", "sketch_b", coordinates, similarity)
+    pairs = sketched(sketched(pairs, "a", "sketch_a"), "b", "sketch_b").where(alike).select("a", "b")
+    compared = stored(pairs, "compared")
+    links = stored(_links(compared, sets, similarity), "links")
     found = components(links)
-    compared = stored(done, "compared")
-    for step in ("least", "every"):
-        placed = members.join(found, "node", "left").select(
-            "band", "node", "least", F.coalesce("component", "node").alias("class")
-        )
-        if step == "least":
-            other = found.select(F.col("node").alias("least"), F.col("component").alias("other"))
-            met = placed.where("node <> least").join(other, "least", "left")
-            pairs = met.where("class <> coalesce(other, least)").select(F.col("node").alias("a"), F.col("least").alias("b"))
-        else:
-            # Bands with several classes, and in them the classes that each node has still to be compared with.
-            placed = stored(placed, "placed")
-            classes = placed.groupBy("band", "class").agg(F.count("*").alias("n"))
-            mixed = classes.groupBy("band").agg(F.count("*").alias("k")).where("k > 1").select("band")
-            classes = classes.join(mixed, "band", "left_semi")
-            left = classes.select("band", F.col("class").alias("one"))
-            right = classes.select("band", F.col("class").alias("two"))
-            apart = left.join(right, "band").where("one < two")
-            ones = placed.select("band", F.col("class").alias("one"), F.col("node").alias("x"))
-            twos = placed.select("band", F.col("class").alias("two"), F.col("node").alias("y"))
-            met = apart.join(ones, ["band", "one"]).join(twos, ["band", "two"])
-            pairs = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
-        pairs = stored(pairs.distinct().join(compared, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(stored(_links(pairs, docs, size, similarity), "links"))
-        compared = compared.unionByName(pairs)
-        found = components(links)
+
+    # Bands in which several classes meet: all their nodes with those outside of the band's largest class.
+    placed = members.select("band", "node").join(found, "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("class")
+    )
+    placed = stored(placed, "placed")
+    counts = placed.groupBy("band", "class").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("band").agg(F.max(F.struct("n", "class")).alias("most"), F.count("*").alias("k"))
+    largest = largest.where("k > 1").select("band", F.col("most.class").alias("largest"))
+    placed = placed.join(largest, "band").join(sketches, "node")
+
+    def side(df: DataFrame, *names: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(n) for c, n in zip(["node", "class", "sketch", "longer"], names, strict=True)], "band", "largest")
+
+    one = side(placed.where("class <> largest"), "x", "class_x", "sketch_a", "longer_a").drop("largest")
+    two = side(placed, "y", "class_y", "sketch_b", "longer_b").withColumnRenamed("band", "band_y")
+    apart = (F.col("class_x") != F.col("class_y")) & ((F.col("class_y") == F.col("largest")) | (F.col("x") > F.col("y")))
+    alike = alike & _alike("longer_a", "longer_b", LONGER, similarity)
+    met = one.join(two, (F.col("band") == F.col("band_y")) & apart & alike)
+    left = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    left = stored(left.join(compared, ["a", "b"], "left_anti"), "compared")
+    more = stored(_links(left, sets, similarity), "links")
+    # Links among classes join the nodes of both.
+    found = components(links.unionByName(more))
     return found.select("node", F.col("component").alias("class"))
 
 
@@ -139,16 +176,18 @@ def _marked(docs: DataFrame, text: str, doc_id: str, size: int, similarity: floa
     ids = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     signs = ids.select("id", F.xxhash64("text").alias("text_hash"), signed(F.col("text"), size, rows, bands).alias("s"))
     marked = stored(signs.select("id", "text_hash", "s.*"), "signatures")
-    content = marked.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
-    content = content.select("h1", "h2", F.coalesce("id", "h1").alias("node"), F.isnull("id").alias("unnamed"), "bands")
+    content = marked.groupBy("h1", "h2").agg(
+        F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+    )
+    content = content.select("h1", "h2", F.coalesce("id", "h1").alias("node"), F.isnull("id").alias("unnamed"), "bands", "sketch")
     content = stored(content, "contents")
     # One text for each node: of the row that gave the node its number. Rows without an id are found by their content.
     named = ids.where("id is not null").withColumnRenamed("id", "node")
     unnamed = ids.where("id is null").withColumn("s", signed(F.col("text"), size, rows, 1)).select("text", "s.h1", "s.h2")
     unnamed = unnamed.join(content.where("unnamed"), ["h1", "h2"]).select("node", "text")
-    found = _classes(content.select("node", "bands"), named.unionByName(unnamed), size, similarity)
+    found = _classes(content.select("node", "bands", "sketch"), named.unionByName(unnamed), size, similarity, rows * bands)
     classes = content.join(found, "node", "left").select("h1", "h2", F.coalesce("class", "node").alias("class_id"))
-    return marked.drop("bands").join(classes, ["h1", "h2"])
+    return marked.drop("bands", "sketch").join(classes, ["h1", "h2"])
 
 
 def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE,
