@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,23 @@ WORD = rf"[^{SPACES}]+"
 FOLDS = 5
 
 
+#: Texts handed to Python at a time. Whole texts may be long, and Spark's own bound counts rows only.
+BATCH_ROWS = 500
+
+
+def in_small_batches(function: Callable) -> Callable:
+    """Let a job's first argument, the session, hand few texts to Python at a time: memory stays bounded by them."""
+
+    @wraps(function)
+    def run(spark: SparkSession, *arguments):
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if int(spark.conf.get(setting)) not in range(1, BATCH_ROWS + 1):
+            spark.conf.set(setting, BATCH_ROWS)
+        return function(spark, *arguments)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.llm import decontaminate, language, lines, mixing, nearcopies, quality, rules, secretscan, tokens, transcripts
-from jobmart.llm.common import fold, held_out, stored, table
+from jobmart.llm.common import fold, held_out, in_small_batches, stored, table
 from jobmart.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +20,7 @@ TOKEN_LIMIT = 512
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    QUERIES[function.__name__] = in_small_batches(function)
     return function
 
 
