@@ -14,10 +14,10 @@ from collections import deque
 from collections.abc import Mapping, Sequence
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobmart.llm.common import WORD
+from jobmart.llm.common import WORD, stored
 
 MAX_REPEATS = 3
 BINS = 4_096
@@ -134,10 +134,11 @@ def mix(docs: DataFrame, sources: Column, size: Column, seed: int = 0, key: Sequ
     draw = F.xxhash64(F.lit(seed), *key)
     rows = docs.select(*old.columns, members.alias("_members"), size.alias("size"), draw.alias("_draw"))
     rows = rows.withColumn("_pattern", F.to_json("_members")).withColumn("_bin", F.pmod("_draw", F.lit(BINS)))
-    narrow = rows.select("_pattern", "_members", "_bin", "_draw", "size").where("size > 0")
+    # Sizes are worked out once for the plan, from which only these narrow rows are read again.
+    narrow = stored(rows.select("_pattern", "_members", "_bin", "_draw", "size"), "mix-sizes")
+    patterns = narrow.groupBy("_pattern").agg(F.first("_members").alias("members"), F.sum("size").alias("words"))
+    narrow = narrow.where("size > 0")
     bins = narrow.groupBy("_pattern", "_bin").agg(F.sum("size").alias("words"))
-
-    patterns = rows.groupBy("_pattern").agg(F.first("_members").alias("members"), F.sum("size").alias("words"))
     found = sorted(patterns.limit(MAX_PATTERNS + 1).collect())
     if len(found) > MAX_PATTERNS:
         raise ValueError(f"documents have more than {MAX_PATTERNS} patterns of membership")
@@ -158,16 +159,16 @@ def mix(docs: DataFrame, sources: Column, size: Column, seed: int = 0, key: Sequ
     shares = _plan(spark, plan, "_pattern string, passes int, missing long, source_size long, target double")
 
     # The bin in which a pattern's share ends, from sums per bin; only that bin's documents are then put in order.
-    running = bins.join(shares, "_pattern").withColumn(
-        "before", F.expr("coalesce(sum(words) over (partition by _pattern order by _bin rows between unbounded preceding and 1 preceding), 0)")
-    )
+    earlier = Window.partitionBy("_pattern").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    running = bins.join(shares, "_pattern").withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
     ends = running.where("before <= missing and missing < before + words").select(
         "_pattern", F.col("_bin").alias("end_bin"), (F.col("missing") - F.col("before")).alias("left")
     )
     ends = spark.createDataFrame(ends.collect(), "_pattern string, end_bin long, left long")
     last = narrow.join(F.broadcast(ends), "_pattern").where("_bin = end_bin")
     places = last.groupBy("_pattern", "_draw", "left").agg(F.sum("size").alias("words"))
-    upto = places.withColumn("upto", F.expr("sum(words) over (partition by _pattern order by _draw)")).where("upto <= left")
+    in_turn = Window.partitionBy("_pattern").orderBy("_draw")
+    upto = places.withColumn("upto", F.sum("words").over(in_turn)).where("upto <= left")
     cut = upto.groupBy("_pattern").agg(F.max("_draw").alias("end_draw"), F.max("upto").alias("got"))
     cut = ends.join(F.broadcast(cut), "_pattern", "left").select(
         "_pattern", "end_bin", "end_draw", (F.col("left") - F.coalesce("got", F.lit(0))).alias("gap")
