@@ -1,13 +1,15 @@
 """Documents that hold benchmark items, verbatim or with other numbers, names and units.
 
-Both sides become templates. Windows of eight template tokens are joined by hash; matches that lie in line form a
-passage, whose slots must agree: a value of the item is replaced by one value throughout. A bitmap of fixed size lets
-only windows through that some item may have, so what is moved is in proportion to the matches.
+Both sides become templates, in a strict reading and in a loose one, where a value of several words is one token.
+Windows of eight template tokens are joined by hash; matches that lie in line, or nearly so because a value has more or
+fewer words than the item's, form a passage, whose slots must agree: a value of the item is replaced by one value
+throughout. A bitmap of fixed size lets only windows through that some item may have, so what is moved is in proportion to
+the matches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -26,8 +28,12 @@ MIN_TOKENS = 24
 #: Share of an item's slot values that may be replaced in more than one way.
 MAX_INCONSISTENT = 0.25
 BITS = 24
+#: Words by which one replaced value may move what follows it.
+DRIFT = 8
 
-_HITS = "array<struct<at: int, hash: long, size: int, slots: array<long>>>"
+_HITS = (
+    "array<struct<at: int, end: int, hash: long, size: int, strict: boolean, cuts: boolean, slots: array<long>>>"
+)
 
 
 def _windows(text: Column, sizes: list[int] | None, bitmap=None) -> Column:
@@ -36,20 +42,22 @@ def _windows(text: Column, sizes: list[int] | None, bitmap=None) -> Column:
     @F.pandas_udf(f"tokens int, hits {_HITS}")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = None if bitmap is None else bitmap.value
+
+        def only(hashed: np.ndarray) -> np.ndarray:
+            bits = hashed & np.uint64((1 << BITS) - 1)
+            return (known[(bits >> np.uint64(3)).astype(np.int64)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
         for batch in batches:
             out = []
             for value in batch:
                 found, hits = template(value), []
-                for size in sizes or [min(WINDOW, max(1, len(found)))]:
-                    at, hashed = found.windows(size, MIN_PLAIN)
-                    if known is not None:
-                        bits = hashed & np.uint64((1 << BITS) - 1)
-                        hit = (known[(bits >> np.uint64(3)).astype(np.int64)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1
-                        at, hashed = at[hit == 1], hashed[hit == 1]
-                    hits += [
-                        (a, h, size, found.slots(a, size).view(np.int64).tolist())
-                        for a, h in zip(at.tolist(), hashed.view(np.int64).tolist(), strict=True)
-                    ]
+                for strict, cut, n in ((True, found.windows, len(found)), (False, found.loose_windows, found.loose_size())):
+                    for size in sizes or [min(WINDOW, max(1, n))]:
+                        w = cut(size, MIN_PLAIN, only if known is not None else None)
+                        hits += [
+                            (a, e, h, size, strict, c, v.view(np.int64).tolist()) for a, e, h, c, v in
+                            zip(w.at.tolist(), w.end.tolist(), w.hashes.view(np.int64).tolist(), w.cuts.tolist(), w.slots, strict=True)
+                        ]
                 out.append((len(found), hits))
             yield pd.DataFrame(out, columns=["tokens", "hits"])
 
@@ -73,10 +81,102 @@ def item_windows(items: DataFrame, text: str = "text", item_id: str = "item_id")
     distinct = items.where(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.min(item_id).alias("item_id"))
     cut = distinct.select("item_id", _windows(F.col("text"), None).alias("w"))
     cut = cut.select("item_id", F.col("w.tokens").alias("item_tokens"), F.explode("w.hits").alias("hit"))
-    return cut.select("item_id", "item_tokens", F.col("hit.at").alias("item_at"), "hit.hash", "hit.size",
+    return cut.select("item_id", "item_tokens", F.col("hit.at").alias("item_at"), F.col("hit.end").alias("item_end"),
+                      "hit.hash", "hit.size", F.col("hit.strict").alias("item_strict"), F.col("hit.cuts").alias("item_cuts"),
                       F.col("hit.slots").alias("item_slots"))
 
 
+class _Piece:
+    """Matches of one shift, as (first word, first word and end in the item, pairs of values), in order of place."""
+
+    def __init__(self, hits: list[tuple]):
+        self.at, self.item_at = hits[0][:2]
+        self.shift, self.item_end = self.at - self.item_at, max(h[2] for h in hits)
+        self.pairs = frozenset(p for h in hits for p in h[3])
+        self.matched, last = 0, -1
+        for _, start, end, _ in hits:
+            self.matched += max(0, end - max(start, last))
+            last = max(last, end)
+
+    def consistent(self) -> bool:
+        return _consistent(self.pairs)
+
+
+def _consistent(pairs: frozenset) -> bool:
+    distinct = len({p[0] for p in pairs})
+    return len(pairs) - distinct <= distinct * MAX_INCONSISTENT
+
+
+def _value_pairs(item_slots: Sequence[int], slots: Sequence[int]) -> list[tuple[int, int]]:
+    """Pairs of values; those that only the loose reading has and that are the same on both sides tell nothing."""
+    pairs = zip(map(int, item_slots), map(int, slots), strict=True)
+    return [(a & ~1, b & ~1) for a, b in pairs if a | 1 != b | 1 or not (a & 1 or b & 1)]
+
+
+def _best(hits: list[tuple], need: int, length: int) -> tuple[int, bool] | None:
+    """Matched words and whether they are verbatim, of the longest passage of at least ``need`` words, if there is one.
+
+    ``hits`` are (first word, first word and end in the item, pairs, strict, cuts). A passage is either all strict matches
+    of one shift, or a chain of pieces whose shifts differ by ``DRIFT`` at most from one to the next, in the order of the
+    item; parts of values do not take part in chains, where the loose reading has the whole ones.
+    """
+    passed = []
+    by_shift: dict[tuple[bool, int], list[tuple]] = {}
+    for at, item_at, end, pairs, strict, cuts in sorted(hits, key=lambda h: h[:3]):
+        for only_strict in [True] * strict + [False] * (not cuts):
+            by_shift.setdefault((only_strict, at - item_at), []).append((at, item_at, end, pairs))
+    pieces = []
+    for (only_strict, _), own in by_shift.items():
+        if only_strict:
+            whole = _Piece(own)
+            if whole.matched >= need and whole.consistent():
+                passed.append((whole.matched, all(a == b for a, b in whole.pairs)))
+            continue
+        end, start = own[0][2], 0
+        for k, hit in enumerate(own):
+            if hit[1] > end:
+                pieces.append(_Piece(own[start:k]))
+                start = k
+            end = max(end, hit[2])
+        pieces.append(_Piece(own[start:]))
+    pieces = sorted((p for p in pieces if p.consistent()), key=lambda p: (p.at, p.item_at))
+    chains = []
+    for k, piece in enumerate(pieces):
+        matched, joined = piece.matched, piece.pairs
+        for i in range(k - 1, -1, -1):
+            before = pieces[i]
+            if piece.at - before.at > length + DRIFT:
+                break
+            if abs(piece.shift - before.shift) > DRIFT or before.item_at >= piece.item_at or before.at >= piece.at:
+                continue
+            more = chains[i][0] + max(0, min(piece.matched, piece.item_end - before.item_end))
+            if more > matched and _consistent(both := chains[i][1] | piece.pairs):
+                matched, joined = more, both
+        chains.append((matched, joined))
+        if matched >= need:
+            passed.append((matched, all(a == b for a, b in joined)))
+    return max(passed, default=None)
+
+
+def _passage(hits: Column, item_tokens: Column) -> Column:
+    """The longest passage of an item, null where none is long enough."""
+
+    @F.pandas_udf("matched int, verbatim boolean")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for own, n in zip(*batch, strict=True):
+                rows = [
+                    (h["at"], h["item_at"], h["item_end"], _value_pairs(h["item_slots"], h["slots"]), h["strict"], h["cuts"])
+                    for h in own
+                ]
+                need = min(int(np.ceil(n * MIN_SHARE)), MIN_TOKENS)
+                out.append(_best(rows, need, int(n)) or (None, None))
+            yield pd.DataFrame(out, columns=["matched", "verbatim"]).astype({"matched": "Int32", "verbatim": "boolean"})
+
+    return run(hits, item_tokens)
+
+
 def passages(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id",
              item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """A row for each document and item found in it: the longest passage in line.
@@ -94,29 +194,16 @@ def passages(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str
         F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"),
         F.explode(_windows(F.col(text), sizes or [WINDOW], bitmap)["hits"]).alias("hit"),
     )
-    hits = hits.select("doc_id", "text_hash", "hit.at", "hit.hash", "hit.slots")
-    met = hits.join(wanted, "hash").withColumn("shift", F.col("at") - F.col("item_at"))
-    in_line = met.groupBy("doc_id", "text_hash", "item_id", "shift").agg(
-        F.max("item_tokens").alias("item_tokens"), F.max("size").alias("size"),
-        F.array_sort(F.collect_set("item_at")).alias("starts"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs"),
-    )
-    # Tokens covered: each window adds what the one before it has not.
-    covered = F.aggregate(
-        "starts", F.struct(F.lit(0).alias("n"), F.lit(-1_000_000).alias("last")),
-        lambda s, x: F.struct((s["n"] + F.least(F.col("size"), x - s["last"])).alias("n"), x.alias("last")),
-    )["n"]
-    distinct = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
-    scored = in_line.withColumn("matched", covered).where(
-        (F.col("matched") >= F.least(F.ceil(F.col("item_tokens") * MIN_SHARE), F.lit(MIN_TOKENS)))
-        & (F.size("pairs") - distinct <= distinct * MAX_INCONSISTENT)
-    )
-    verbatim = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
-    scored = scored.withColumn("verbatim", verbatim)
-    best = scored.groupBy("doc_id", "text_hash", "item_id").agg(
-        F.max("item_tokens").alias("item_tokens"), F.max(F.struct("matched", "verbatim")).alias("best")
+    hits = hits.select("doc_id", "text_hash", "hit.at", "hit.hash", "hit.strict", "hit.cuts", "hit.slots")
+    met = hits.join(wanted, "hash")
+    strict, cuts = F.col("strict") & F.col("item_strict"), F.col("cuts") | F.col("item_cuts")
+    hit = F.struct("at", "item_at", "item_end", "item_slots", "slots", strict.alias("strict"), cuts.alias("cuts"))
+    met = met.groupBy("doc_id", "text_hash", "item_id").agg(
+        F.max("item_tokens").alias("item_tokens"), F.collect_set(hit).alias("hits")
     )
-    return best.select("doc_id", "text_hash", "item_id", "item_tokens", "best.matched", "best.verbatim")
+    scored = met.select("doc_id", "text_hash", "item_id", "item_tokens", _passage("hits", "item_tokens").alias("best"))
+    scored = scored.where(F.col("best.matched").isNotNull())
+    return scored.select("doc_id", "text_hash", "item_id", "item_tokens", "best.matched", "best.verbatim")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,6 +17,13 @@ minute minutes h hr hrs hour hours day days week weeks month months year years u
 cents percent degree degrees celsius fahrenheit kmh mph hz khz mhz w kw watt watts v volt volts
 """.split()
 
+#: Spelled numbers, and those of them after which an "and" may go on with the number. Fixed values.
+SPELLED = """
+zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen
+eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion
+""".split()
+SCALES = ["hundred", "thousand", "million", "billion"]
+
 NUMBER, NAME, UNIT = 1, 2, 3
 
 _DIGIT, _INSIDE, _END, _UPPER = (np.zeros(256, dtype=bool) for _ in range(4))
@@ -23,6 +31,8 @@ _DIGIT[48:58] = True
 _INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _END[[ord(c) for c in ".!?:;\n"]] = True
 _UPPER[65:91] = True
+_JOINING = np.zeros(256, dtype=bool)  # between the words of one value
+_JOINING[[32, 9, 45]] = True
 _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[65:91] += 32
 
@@ -32,31 +42,102 @@ def _hash_of(text: str) -> int:
     return int(words.hashes(data, np.array([0]), np.array([len(data)]))[0])
 
 
-_UNITS = np.sort(np.array([_hash_of(u) for u in UNITS], dtype=np.uint64))
+def _hashes_of(texts: list[str]) -> np.ndarray:
+    return np.sort(np.array([_hash_of(t) for t in texts], dtype=np.uint64))
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+_UNITS, _SPELLED, _SCALES, _AND = (_hashes_of(t) for t in (UNITS, SPELLED, SCALES, ["and"]))
+_FLAG = np.uint64(1)
 _PLACEHOLDER = words.mixed(np.arange(11, 15, dtype=np.uint64))
 
 
+@dataclass(frozen=True)
+class Windows:
+    """Windows of a template: first word and end in words of the text, hash, and values of the placeholders.
+
+    ``cuts`` tells which windows hold only a part of a value of several words. The last bit of a value tells that only the loose reading has this placeholder.
+    """
+
+    at: np.ndarray
+    end: np.ndarray
+    hashes: np.ndarray
+    slots: list[np.ndarray]
+    cuts: np.ndarray
+
+
 @dataclass(frozen=True)
 class Template:
-    """``tokens`` with placeholders by kind, ``kinds`` (0 for a plain word), and ``values``: what each token was."""
+    """``tokens`` with placeholders by kind, ``kinds`` (0 for a plain word), and ``values``: what each token was.
+
+    ``loose`` has the kinds if doubtful words are placeholders too; ``joined`` tells which tokens only spaces or hyphens
+    part from the one before.
+    """
 
     tokens: np.ndarray
     kinds: np.ndarray
     values: np.ndarray
+    loose: np.ndarray
+    joined: np.ndarray
 
     def __len__(self) -> int:
         return len(self.tokens)
 
-    def windows(self, size: int, min_plain: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and hashes of the windows of ``size`` tokens that hold at least ``min_plain`` plain words."""
-        hashed = words.numbered(words.windows(self.tokens, size), size)
-        plain = np.concatenate([[0], np.cumsum(self.kinds == 0)])
-        at = np.flatnonzero(plain[size:] - plain[:-size] >= min_plain) if len(hashed) else np.empty(0, dtype=np.int64)
-        return at, hashed[at]
-
-    def slots(self, at: int, size: int) -> np.ndarray:
-        """The values of a window's placeholders, in order."""
-        return self.values[at : at + size][self.kinds[at : at + size] > 0]
+    def _goes_on(self) -> np.ndarray:
+        """Which words go on with the value of the word before."""
+        same = self.joined & (self.loose > 0) & (self.loose != UNIT)
+        same[1:] &= self.loose[1:] == self.loose[:-1]
+        return same
+
+    def loose_size(self) -> int:
+        """The number of tokens in the loose reading."""
+        return int((~self._goes_on()).sum())
+
+    def windows(self, size: int, min_plain: int, only: Callable[[np.ndarray], np.ndarray] | None = None) -> Windows:
+        """The windows of ``size`` tokens that hold at least ``min_plain`` plain words.
+
+        ``only`` tells by their hashes which windows are wanted.
+        """
+        at, hashed = _eligible(self.tokens, self.kinds, size, min_plain)
+        if only is not None:
+            wanted = only(hashed)
+            at, hashed = at[wanted], hashed[wanted]
+        values = self.values & ~_FLAG
+        slots = [values[a : a + size][self.kinds[a : a + size] > 0] for a in at.tolist()]
+        goes_on = np.append(self._goes_on(), False)
+        return Windows(at, at + size, hashed, slots, goes_on[at] | goes_on[at + size])
+
+    def loose_windows(self, size: int, min_plain: int, only: Callable[[np.ndarray], np.ndarray] | None = None) -> Windows:
+        """Likewise in the loose reading, where a run of like placeholders is one token; only those that differ."""
+        kinds, first = self.loose, np.flatnonzero(~self._goes_on())
+        if len(first) < size:
+            return Windows(*(np.empty(0, dtype=t) for t in (np.int64, np.int64, np.uint64)), [], np.empty(0, dtype=bool))
+        ends = np.append(first[1:], len(kinds))
+        place = np.arange(len(kinds)) - np.repeat(first, ends - first)
+        values = np.add.reduceat(words.mixed(self.values + place.astype(np.uint64)), first)
+        values = np.where(ends - first > 1, values, self.values[first]) & ~_FLAG
+        new = np.logical_or.reduceat(kinds != self.kinds, first) | (ends - first > 1)
+        values |= new.astype(np.uint64)
+        kinds = kinds[first]
+        tokens = np.where(kinds == 0, self.values[first], _PLACEHOLDER[kinds])
+        at, hashed = _eligible(tokens, kinds, size, min_plain)
+        differ = np.concatenate([[0], np.cumsum(new)])
+        wanted = differ[at + size] > differ[at]
+        if only is not None:
+            wanted &= only(hashed)
+        at, hashed = at[wanted], hashed[wanted]
+        slots = [values[a : a + size][kinds[a : a + size] > 0] for a in at.tolist()]
+        return Windows(first[at], ends[at + size - 1], hashed, slots, np.zeros(len(at), dtype=bool))
+
+
+def _eligible(tokens: np.ndarray, kinds: np.ndarray, size: int, min_plain: int) -> tuple[np.ndarray, np.ndarray]:
+    hashed = words.numbered(words.windows(tokens, size), size)
+    plain = np.concatenate([[0], np.cumsum(kinds == 0)])
+    at = np.flatnonzero(plain[size:] - plain[:-size] >= min_plain) if len(hashed) else np.empty(0, dtype=np.int64)
+    return at, hashed[at]
 
 
 def template(value: bytes | None) -> Template:
@@ -64,11 +145,12 @@ def template(value: bytes | None) -> Template:
 
     A token that starts with a digit is a number, points and commas between digits included; a word that is
     capitalised, and only its first letter, not at the start of a sentence, is a name; a unit is a word of ``UNITS``
-    right after a number.
+    right after a number. In the loose reading a capitalised word at the start of a sentence is a name as well, and a
+    spelled number is a number.
     """
     data = words.as_bytes(value)
     if not len(data):
-        return Template(*(np.empty(0, dtype=t) for t in (np.uint64, np.int8, np.uint64)))
+        return Template(*(np.empty(0, dtype=t) for t in (np.uint64, np.int8, np.uint64, np.int8, bool)))
     digit = _DIGIT[data]
     joint = np.zeros(len(data), dtype=bool)
     joint[1:-1] = ((data[1:-1] == ord(".")) | (data[1:-1] == ord(","))) & digit[:-2] & digit[2:]
@@ -94,11 +176,23 @@ def template(value: bytes | None) -> Template:
     kinds[capital & ~first] = NAME
     number = digit[starts]
     kinds[number] = NUMBER
-    after = np.zeros(len(starts), dtype=bool)
-    after[1:] = number[:-1]
-    if after.any():
-        at = np.flatnonzero(after & ~number)
-        place = np.minimum(np.searchsorted(_UNITS, values[at]), len(_UNITS) - 1)
-        kinds[at[_UNITS[place] == values[at]]] = UNIT
+    kinds[_follows(number) & ~number & _among(values, _UNITS)] = UNIT
     tokens = np.where(kinds == 0, values, _PLACEHOLDER[kinds])
-    return Template(tokens, kinds, values)
+
+    spelled = (kinds == 0) & _among(values, _SPELLED)
+    ahead = np.append(spelled[1:], False)
+    spelled |= _among(values, _AND) & ahead & _follows(spelled & _among(values, _SCALES))
+    loose = np.where((kinds == 0) & capital, NAME, kinds).astype(np.int8)
+    loose[spelled] = NUMBER
+    loose[(kinds == 0) & ~spelled & _follows(spelled) & _among(values, _UNITS)] = UNIT
+    parting = np.concatenate([[0], np.cumsum(~_JOINING[data])])
+    joined = np.zeros(len(starts), dtype=bool)
+    joined[1:] = parting[starts[1:]] == parting[ends[:-1]]
+    return Template(tokens, kinds, values, loose, joined)
+
+
+def _follows(marked: np.ndarray) -> np.ndarray:
+    """Which tokens come right after a marked one."""
+    out = np.zeros(len(marked), dtype=bool)
+    out[1:] = marked[:-1]
+    return out

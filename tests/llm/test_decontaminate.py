@@ -61,3 +61,28 @@ def test_the_query_finds_every_planted_passage(spark):
     whole = {(i, j) for i, t in docs.items() for j, x in items.items() if x in t}
     found = {(r["doc_id"], r["item_id"]) for r in QUERIES["op6_decontamination"](spark, folder).collect()}
     assert whole and whole <= found <= near
+
+
+def test_values_may_change_their_number_of_words(spark):
+    item = ("the old coach to the port of Paris left the yard with 12 crates of fresh plums for the fair while the "
+            "young clerk from the town of Lyon wrote every crate down in a long green book")
+    changed = item.replace("Paris", "New York").replace("12", "one hundred and five").replace("Lyon", "San Jose Del Cabo")
+    found = _found(spark, [PLAIN + changed + " " + PLAIN, PLAIN + item], [item])
+    assert set(found) == {(0, 0), (1, 0)}
+    assert not found[0, 0]["verbatim"] and found[1, 0]["verbatim"]
+    assert found[0, 0]["matched"] == found[0, 0]["item_tokens"]
+
+
+def test_names_at_the_start_of_sentences_are_replaced(spark):
+    item = "Anna has 5 red apples now. Anna gives 2 of them away. Anna eats 1 at noon. Anna sells the rest today."
+    changed = item.replace("Anna", "Boris")
+    mixed = changed.replace("Boris gives", "Carla gives").replace("Boris eats", "Dora eats").replace("Boris sells", "Emil sells")
+    found = _found(spark, [PLAIN + ". " + changed, PLAIN + ". " + mixed, PLAIN + ". " + item + " Rose met Anna"], [item])
+    assert set(found) == {(0, 0), (2, 0)}
+    assert found[2, 0]["verbatim"] and not found[0, 0]["verbatim"]
+
+
+def test_pieces_of_different_places_are_not_added_up(spark):
+    words = [f"w{i}x" for i in range(40)]
+    doc = " ".join(words[:9]) + " " + PLAIN * 4 + " ".join(words[20:29])
+    assert not _found(spark, [doc, " ".join(words[20:30] + words[:10])], [" ".join(words)])
