@@ -4,7 +4,7 @@ Both sides become templates, in a strict reading and in a loose one, where a val
 Windows of eight template tokens are joined by hash; matches that lie in line, or nearly so because a value has more or
 fewer words than the item's, form a passage, whose slots must agree: a value of the item is replaced by one value
 throughout. A bitmap of fixed size lets only windows through that some item may have, so what is moved is in proportion to
-the matches.
+the matches. Items that hardly have such windows (short ones, tables of numbers) are found as a whole, as they are written.
 """
 
 from __future__ import annotations
@@ -13,11 +13,12 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmart.llm.common import stored
-from jobmart.llm.templates import template
+from jobmart.llm.templates import Template, Windows, template
 
 WINDOW = 8
 #: Plain words a window needs, so that placeholders alone never match.
@@ -32,33 +33,57 @@ BITS = 24
 DRIFT = 8
 
 _HITS = (
-    "array<struct<at: int, end: int, hash: long, size: int, strict: boolean, cuts: boolean, slots: array<long>>>"
+    "array<struct<at: int, end: int, hash: long, size: int, exact: boolean, strict: boolean, cuts: boolean, "
+    "slots: array<long>>>"
 )
 
 
-def _windows(text: Column, sizes: list[int] | None, bitmap=None) -> Column:
-    """The windows of a text: of the given sizes, or of an item's own size; with a bitmap, only those it has."""
+def _needed(tokens: int) -> int:
+    return min(int(np.ceil(tokens * MIN_SHARE)), MIN_TOKENS)
+
+
+def _windows(text: Column, sizes: list[tuple[bool, int]] | None = None, bitmap: Broadcast | None = None) -> Column:
+    """The windows of a text that have one of ``sizes`` (exact or not, tokens) and are in the bitmap.
+
+    Without sizes, those of an item in its own size; exact ones if the others cover less than a passage needs.
+    """
 
     @F.pandas_udf(f"tokens int, hits {_HITS}")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = None if bitmap is None else bitmap.value
 
-        def only(hashed: np.ndarray) -> np.ndarray:
+        def listed(hashed: np.ndarray) -> np.ndarray:
             bits = hashed & np.uint64((1 << BITS) - 1)
             return (known[(bits >> np.uint64(3)).astype(np.int64)] >> (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
+        only = None if bitmap is None else listed
+
+        def rows(w: Windows, size: int, exact: bool = False, strict: bool = False) -> list[tuple]:
+            parts = (w.at.tolist(), w.end.tolist(), w.hashes.view(np.int64).tolist(), w.cuts.tolist(), w.slots)
+            return [(a, e, h, size, exact, strict, c, v.view(np.int64).tolist()) for a, e, h, c, v in zip(*parts, strict=True)]
+
+        def of_item(found: Template) -> list[tuple]:
+            size, loose_size = (min(WINDOW, max(1, n)) for n in (len(found), found.loose_size()))
+            strict = found.windows(size, MIN_PLAIN)
+            hits = rows(strict, size, strict=True) + rows(found.loose_windows(loose_size, MIN_PLAIN), loose_size)
+            covered = np.zeros(len(found) + 1, dtype=np.int64)
+            np.add.at(covered, strict.at, 1)
+            np.add.at(covered, strict.end, -1)
+            if (np.cumsum(covered) > 0).sum() < _needed(len(found)):
+                hits += rows(found.exact_windows(size), size, exact=True)
+            return hits
+
         for batch in batches:
             out = []
             for value in batch:
                 found, hits = template(value), []
-                for strict, cut, n in ((True, found.windows, len(found)), (False, found.loose_windows, found.loose_size())):
-                    for size in sizes or [min(WINDOW, max(1, n))]:
-                        w = cut(size, MIN_PLAIN, only if known is not None else None)
-                        hits += [
-                            (a, e, h, size, strict, c, v.view(np.int64).tolist()) for a, e, h, c, v in
-                            zip(w.at.tolist(), w.end.tolist(), w.hashes.view(np.int64).tolist(), w.cuts.tolist(), w.slots, strict=True)
-                        ]
-                out.append((len(found), hits))
+                for exact, size in sizes or ():
+                    if exact:
+                        hits += rows(found.exact_windows(size, only), size, exact=True)
+                        continue
+                    hits += rows(found.windows(size, MIN_PLAIN, only), size, strict=True)
+                    hits += rows(found.loose_windows(size, MIN_PLAIN, only), size)
+                out.append((len(found), of_item(found) if sizes is None else hits))
             yield pd.DataFrame(out, columns=["tokens", "hits"])
 
     return run(text.cast("binary"))
@@ -79,10 +104,10 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
 def item_windows(items: DataFrame, text: str = "text", item_id: str = "item_id") -> DataFrame:
     """A row for each window of each distinct item; items of equal text are represented by the least id."""
     distinct = items.where(F.col(text).isNotNull()).groupBy(F.col(text).alias("text")).agg(F.min(item_id).alias("item_id"))
-    cut = distinct.select("item_id", _windows(F.col("text"), None).alias("w"))
+    cut = distinct.select("item_id", _windows(F.col("text")).alias("w"))
     cut = cut.select("item_id", F.col("w.tokens").alias("item_tokens"), F.explode("w.hits").alias("hit"))
     return cut.select("item_id", "item_tokens", F.col("hit.at").alias("item_at"), F.col("hit.end").alias("item_end"),
-                      "hit.hash", "hit.size", F.col("hit.strict").alias("item_strict"), F.col("hit.cuts").alias("item_cuts"),
+                      "hit.hash", "hit.size", "hit.exact", F.col("hit.strict").alias("item_strict"), F.col("hit.cuts").alias("item_cuts"),
                       F.col("hit.slots").alias("item_slots"))
 
 
@@ -168,10 +193,15 @@ def _passage(hits: Column, item_tokens: Column) -> Column:
             for own, n in zip(*batch, strict=True):
                 rows = [
                     (h["at"], h["item_at"], h["item_end"], _value_pairs(h["item_slots"], h["slots"]), h["strict"], h["cuts"])
-                    for h in own
+                    for h in own if not h["exact"]
                 ]
-                need = min(int(np.ceil(n * MIN_SHARE)), MIN_TOKENS)
-                out.append(_best(rows, need, int(n)) or (None, None))
+                whole: dict[int, list[tuple]] = {}
+                for h in sorted((h for h in own if h["exact"]), key=lambda h: h["item_at"]):
+                    whole.setdefault(h["at"] - h["item_at"], []).append((h["at"], h["item_at"], h["item_end"], []))
+                if any(_Piece(hits).matched == n for hits in whole.values()):
+                    out.append((n, True))
+                    continue
+                out.append(_best(rows, _needed(n), int(n)) or (None, None))
             yield pd.DataFrame(out, columns=["matched", "verbatim"]).astype({"matched": "Int32", "verbatim": "boolean"})
 
     return run(hits, item_tokens)
@@ -182,22 +212,22 @@ def passages(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str
     """A row for each document and item found in it: the longest passage in line.
 
     Columns: ``doc_id``, ``text_hash`` (which tells rows of one id apart), ``item_id``, ``item_tokens``, ``matched``
-    (tokens of the item that the passage covers), ``verbatim`` (all slots hold the item's values). Items with fewer
-    than ``MIN_PLAIN`` plain words in every window cannot be found. Null and empty texts, and an empty table on either
-    side, match nothing.
+    (tokens of the item that the passage covers), ``verbatim`` (all slots hold the item's values). Where the windows
+    with ``MIN_PLAIN`` plain words are too few for a passage, the whole item is looked for, values as they are. Null and
+    empty texts, texts without a letter or digit, and an empty table on either side, match nothing.
     """
     spark = docs.sparkSession
     wanted = stored(item_windows(items, item_text, item_id), "item-windows")
-    sizes = sorted(r[0] for r in wanted.select("size").distinct().collect())  # at most WINDOW values
+    sizes = sorted(tuple(r) for r in wanted.select("exact", "size").distinct().collect())  # at most 2 * WINDOW values
     bitmap = spark.sparkContext.broadcast(_bitmap(wanted))
     hits = docs.where(F.col(text).isNotNull()).select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-        F.explode(_windows(F.col(text), sizes or [WINDOW], bitmap)["hits"]).alias("hit"),
+        F.explode(_windows(F.col(text), sizes, bitmap)["hits"]).alias("hit"),
     )
     hits = hits.select("doc_id", "text_hash", "hit.at", "hit.hash", "hit.strict", "hit.cuts", "hit.slots")
     met = hits.join(wanted, "hash")
     strict, cuts = F.col("strict") & F.col("item_strict"), F.col("cuts") | F.col("item_cuts")
-    hit = F.struct("at", "item_at", "item_end", "item_slots", "slots", strict.alias("strict"), cuts.alias("cuts"))
+    hit = F.struct("at", "item_at", "item_end", "item_slots", "slots", "exact", strict.alias("strict"), cuts.alias("cuts"))
     met = met.groupBy("doc_id", "text_hash", "item_id").agg(
         F.max("item_tokens").alias("item_tokens"), F.collect_set(hit).alias("hits")
     )

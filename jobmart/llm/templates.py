@@ -33,10 +33,37 @@ _END[[ord(c) for c in ".!?:;\n"]] = True
 _UPPER[65:91] = True
 _JOINING = np.zeros(256, dtype=bool)  # between the words of one value
 _JOINING[[32, 9, 45]] = True
+#: Ranges of code points: punctuation, and letters of scripts without spaces.
+_MARKS = [(0x2000, 0x200A), (0x2010, 0x205F), (0x3000, 0x3004), (0x3008, 0x3020), (0x30FB, 0x30FB), (0xFF01, 0xFF0F),
+          (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65)]
+_UNSPACED = [(0x0E01, 0x0E4F), (0x0E81, 0x0EDF), (0x0F40, 0x0FBC), (0x1000, 0x109F), (0x1780, 0x17D3), (0x2E80, 0x2FDF),
+             (0x3005, 0x3007), (0x3021, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F)]
 _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[65:91] += 32
 
 
+def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes begin a letter of a script without spaces, and which belong to punctuation beyond ASCII.
+
+    Such scripts are Thai, Lao, Tibetan, Burmese, Khmer, kana, and Chinese characters.
+    """
+    letter, mark = np.zeros(len(data), dtype=bool), np.zeros(len(data), dtype=bool)
+    at = np.flatnonzero(data >= 0xE0)
+    at = at[at + 2 < len(data)]
+    if not len(at):
+        return letter, mark
+    code = ((data[at].astype(np.int64) & 15) << 12) | ((data[at + 1].astype(np.int64) & 63) << 6) | (data[at + 2] & 63)
+    three = data[at] < 0xF0
+    marks = three & np.logical_or.reduce([(code >= a) & (code <= b) for a, b in _MARKS])
+    letters = three & ~marks & np.logical_or.reduce([(code >= a) & (code <= b) for a, b in _UNSPACED])
+    # Characters beyond the basic plane: 0x20000 to 0x3FFFF.
+    letters |= (data[at] == 0xF0) & (data[at + 1] >= 0xA0)
+    letter[at[letters]] = True
+    for k in range(3):
+        mark[at[marks] + k] = True
+    return letter, mark
+
+
 def _hash_of(text: str) -> int:
     data = words.as_bytes(text.encode())
     return int(words.hashes(data, np.array([0]), np.array([len(data)]))[0])
@@ -52,6 +79,7 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 _UNITS, _SPELLED, _SCALES, _AND = (_hashes_of(t) for t in (UNITS, SPELLED, SCALES, ["and"]))
 _FLAG = np.uint64(1)
+_EXACT = 1_000  # numbers the hashes of windows without placeholders apart from those with
 _PLACEHOLDER = words.mixed(np.arange(11, 15, dtype=np.uint64))
 
 
@@ -110,6 +138,15 @@ class Template:
         goes_on = np.append(self._goes_on(), False)
         return Windows(at, at + size, hashed, slots, goes_on[at] | goes_on[at + size])
 
+    def exact_windows(self, size: int, only: Callable[[np.ndarray], np.ndarray] | None = None) -> Windows:
+        """All windows of ``size`` tokens as they are written, without placeholders."""
+        hashed = words.numbered(words.windows(self.values, size), size + _EXACT)
+        at = np.arange(len(hashed))
+        if only is not None:
+            at = np.flatnonzero(only(hashed))
+        none = np.empty(0, dtype=np.uint64)
+        return Windows(at, at + size, hashed[at], [none] * len(at), np.ones(len(at), dtype=bool))
+
     def loose_windows(self, size: int, min_plain: int, only: Callable[[np.ndarray], np.ndarray] | None = None) -> Windows:
         """Likewise in the loose reading, where a run of like placeholders is one token; only those that differ."""
         kinds, first = self.loose, np.flatnonzero(~self._goes_on())
@@ -143,6 +180,8 @@ def _eligible(tokens: np.ndarray, kinds: np.ndarray, size: int, min_plain: int)
 def template(value: bytes | None) -> Template:
     """Tokens are runs of letters and digits, lower-cased in ASCII and Latin-1; punctuation and spacing do not count.
 
+    In scripts without spaces each letter is a token.
+
     A token that starts with a digit is a number, points and commas between digits included; a word that is
     capitalised, and only its first letter, not at the start of a sentence, is a name; a unit is a word of ``UNITS``
     right after a number. In the loose reading a capitalised word at the start of a sentence is a name as well, and a
@@ -155,9 +194,17 @@ def template(value: bytes | None) -> Template:
     joint = np.zeros(len(data), dtype=bool)
     joint[1:-1] = ((data[1:-1] == ord(".")) | (data[1:-1] == ord(","))) & digit[:-2] & digit[2:]
     inside = np.zeros(len(data) + 2, dtype=np.int8)
-    inside[1:-1] = _INSIDE[data] | joint
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
+    letter, mark = _unspaced(data)
+    inside[1:-1] = (_INSIDE[data] & ~mark) | joint
+    # A letter of an unspaced script is a token; what stands right after it is another.
+    border = letter.copy()
+    after = np.flatnonzero(letter)
+    after += np.where(data[after] < 0xF0, 3, 4)
+    border[after[after < len(data)]] = True
+    first = (inside[1:-1] > 0) & ((inside[:-2] == 0) | border)
+    starts = np.flatnonzero(first)
+    last = (inside[1:-1] > 0) & ((inside[2:] == 0) | np.append(border[1:], True))
+    ends = np.flatnonzero(last) + 1
     if not len(starts):
         return template(None)
     latin = np.zeros(len(data), dtype=bool)  # second bytes of capital letters in Latin-1

@@ -86,3 +86,19 @@ def test_pieces_of_different_places_are_not_added_up(spark):
     words = [f"w{i}x" for i in range(40)]
     doc = " ".join(words[:9]) + " " + PLAIN * 4 + " ".join(words[20:29])
     assert not _found(spark, [doc, " ".join(words[20:30] + words[:10])], [" ".join(words)])
+
+
+def test_items_without_plain_windows_are_found_as_a_whole(spark):
+    table_item = "Berlin 12 17 Paris 40 41 Rome 5 6 7 8 Oslo 9 10 11 12"
+    items = ["Who wrote it?", "12 + 17 * 3 = ?", table_item, "今天北京有多少人？", "小明有十二个苹果，他给了小红三个苹果，还剩下多少个苹果？"]
+    docs = [PLAIN + x + " " + PLAIN for x in items] + [PLAIN + "Who wrote 12 17 4 今天北京有多少", PLAIN + table_item[:-3]]
+    found = _found(spark, docs, items)
+    assert set(found) == {(i, i) for i in range(len(items))}
+    assert all(r["verbatim"] and r["matched"] == r["item_tokens"] for r in found.values())
+
+
+def test_letters_of_unspaced_scripts_are_tokens():
+    found = template("小明有12个apple，「苹果」。ภาษา 𠀀𠀁x".encode())
+    assert len(found) == 3 + 1 + 1 + 1 + 2 + 4 + 3
+    assert found.kinds.tolist().count(NUMBER) == 1
+    assert template("苹果，明".encode()).tokens.tolist() == template("苹果 明。".encode()).tokens.tolist()
