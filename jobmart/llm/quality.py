@@ -8,7 +8,7 @@ are then told apart by a quantile of the scores.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmart.llm import linear, rules, words
-from jobmart.llm.common import labelled_sample
+from jobmart.llm.common import fold, labelled_sample, stored
 
 #: The score that stands for the quantile's threshold.
 THRESHOLD = 0.3
 SAMPLE_ROWS = 700
 PAIRS = 20_000
+#: Parts into which a range of scores is cut at a time, to find a rank.
+PARTS = 4_096
 
 _UPPER, _LETTER, _DIGIT, _MARK = (np.zeros(256, dtype=bool) for _ in range(4))
 _UPPER[65:91] = True
@@ -102,9 +104,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
         rows: int = SAMPLE_ROWS, pairs: int = PAIRS) -> PreferenceModel | None:
     """A model from ``pairs`` pairs out of about ``rows`` labelled documents of each class; None without both classes.
 
-    The threshold is the quantile of the scores at the share of label 0 among all labels.
+    The threshold is the quantile at the share of label 0, of the scores of all labelled documents that are not held out.
     """
-    sample, counts = labelled_sample(docs, labels, label, rows, feature_column(F.col(text)), doc_id)
+    sample, _ = labelled_sample(docs, labels, label, rows, feature_column(F.col(text)), doc_id)
     classes = np.array([c for c, _ in sample])
     if len(set(classes)) < 2:
         return None
@@ -115,14 +117,50 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     good, bad = np.flatnonzero(classes == 1), np.flatnonzero(classes == 0)
     weights = fit_pairs(z[draw.choice(good, pairs)], z[draw.choice(bad, pairs)])
     scores = z @ weights
-    # Each class weighs as much as it has labels, not as it was sampled.
-    share = np.where(classes == 1, counts[1] / len(good), counts[0] / len(bad))
-    order = np.argsort(scores, kind="stable")
-    below = np.cumsum(share[order]) / share.sum()
-    at = min(int(np.searchsorted(below, counts[0] / (counts[0] + counts[1]))), len(order) - 2)
-    threshold = float((scores[order[at]] + scores[order[at + 1]]) / 2)
     slope, _ = linear.calibrate(scores, classes)
-    return PreferenceModel(mean, scale, weights, threshold, slope)
+    model = PreferenceModel(mean, scale, weights, 0.0, slope)
+
+    usable = labels.where(F.col(label).isin(0, 1)).where(fold(doc_id) != 0)
+    known = usable.groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
+    # Scored before the join, so that no text moves there.
+    scored = docs.where(fold(doc_id) != 0).select(F.col(doc_id).alias("_id"), raw_score(F.col(text), model).alias("_score"))
+    found = stored(scored.join(known, "_id").select("_label", "_score"), "label-scores")
+    low, high = ranked(found, "_score", found.where("_label = 0").count())
+    return replace(model, threshold=(low + high) / 2)
+
+
+def ranked(df: DataFrame, column: str, rank: int) -> tuple[float, float]:
+    """The ``rank``-th least number of a column and the one after it, exactly: the range that holds it is cut until it is
+    one number, so no more than ``PARTS`` counts are ever in one place. The rank is from 1 to one less than the rows.
+    """
+    x = F.col(column)
+    low, high = df.agg(F.min(x), F.max(x)).first()
+    after = high
+    while low < high:
+        part = F.least(F.floor((x - low) / (high - low) * PARTS), F.lit(PARTS - 1))
+        counts = df.where(x.between(low, high)).groupBy(part.alias("part")).agg(
+            F.count(x).alias("n"), F.min(x).alias("low"), F.max(x).alias("high")
+        )
+        parts = sorted(counts.collect(), key=lambda r: r["low"])
+        below = df.where(x < low).count()
+        for k, r in enumerate(parts):
+            if below + r["n"] >= rank:
+                break
+            below += r["n"]
+        low, high = r["low"], r["high"]
+        after = parts[k + 1]["low"] if k + 1 < len(parts) else after
+    return low, low if df.where(x <= low).count() > rank else after
+
+
+def raw_score(text: Column, model: PreferenceModel) -> Column:
+    """The score itself, of any size."""
+
+    @F.pandas_udf("double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(model.scores(np.array([features(value) for value in batch]).reshape(-1, N_FEATURES)))
+
+    return run(text.cast("binary"))
 
 
 def score(text: Column, model: PreferenceModel | None) -> Column:

@@ -76,3 +76,22 @@ def test_calibration():
     labels = (draw.random(20_000) < linear.sigmoid(3 * scores - 1)).astype(int)
     slope, intercept = linear.calibrate(scores, labels)
     assert abs(slope - 3) < 0.15 and abs(intercept + 1) < 0.1
+
+
+def test_the_threshold_is_a_quantile_of_all_labelled_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    # Labels that are often wrong, so that many scores lie about the threshold.
+    wrong = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
+    labels = labels.select("doc_id", F.when(wrong, 1 - F.col("quality")).otherwise(F.col("quality")).alias("quality"))
+    found = quality.classify(docs, quality.fit(docs, labels, rows=40)).join(labels, "doc_id")
+    rows = [r for r in found.select("doc_id", "predicted", "quality").collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5]
+    assert sum(r["predicted"] == 0 for r in rows) == sum(r["quality"] == 0 for r in rows)
+
+
+def test_ranks_are_exact(spark):
+    draw = np.random.default_rng(4)
+    values = np.concatenate([draw.normal(size=3_000), np.zeros(500), draw.normal(size=500) * 1e-12])
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    ordered = np.sort(values).tolist()
+    for rank in (1, 1_700, 2_000, 2_300, 3_999):
+        assert quality.ranked(df, "x", rank) == (ordered[rank - 1], ordered[rank])
