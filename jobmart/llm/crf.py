@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,7 @@ class Field:
     emit: np.ndarray
     move: np.ndarray
 
-    def tags(self, sequence: list[list[str]]) -> list[int]:
+    def tags(self, sequence: Iterable[list[str]]) -> list[int]:
         """The best tags by Viterbi; the tokens before and after the sequence are outside."""
         rows = [self.emit[[i for f in features if (i := self.index.get(f)) is not None]].sum(0) for features in sequence]
         move = self.move + _ALLOWED

@@ -4,8 +4,8 @@ The patterns find assignments, access keys and long hexadecimal runs. The field
 outside of a secret by their shape, their neighbours and the look of line and file; it learns from what the patterns
 find, often without the telling word in front, so that it also finds values the patterns have no rule for.
 
-Only tokens of a chunk between separators that has a digit or a long run of key characters can be in a secret; all
-others are outside. Such chunks are therefore decoded one after the other, which gives the best tags of the whole text.
+A secret has no separator inside, so chunks between separators are decoded one after the other, whatever their length;
+only those shorter than any secret are passed by.
 """
 
 from __future__ import annotations
@@ -31,11 +31,11 @@ LEAST = {"assign": 8, "access": 16, "hex": 32, "crf": 8}
 _WORDS = ("passw", "secret", "token", "apikey", "api_key")
 
 _LONG = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_CHUNK = re.compile(r"[^\x20\x09-\x0D]{8,}")
 _LONG_HEX = re.compile(r"[0-9a-f]{32,}")
 _DIGIT = re.compile(r"[0-9]")
-_SPACE = re.compile(r"[\x20\x09-\x0D]")
 _TOKEN = re.compile(r"[A-Za-z]+[0-9]*(?:[A-Za-z0-9]+)*|[0-9][A-Za-z0-9]*|[^\W]+|[^\w\x20\x09-\x0D]|_+")
-#: A chunk longer than this is decoded in parts of as many characters.
+#: A chunk longer than this is learned from in parts of as many characters; it is decoded as a whole.
 CHUNK = 2_000
 
 SAMPLE_DOCS = 12_000
@@ -64,21 +64,8 @@ def secret_values(text: str, spans: list[Span]) -> list[tuple[int, int]]:
 
 
 def open_chunks(text: str) -> Iterator[tuple[int, int]]:
-    """Runs between separators that may hold a secret."""
-    at = 0
-    digit, long = _DIGIT.search(text), _LONG.search(text)
-    while digit or long:
-        place = min(m.start() for m in (digit, long) if m)
-        start = place
-        while start > at and not _SPACE.match(text, start - 1):
-            start -= 1
-        stop = _SPACE.search(text, place)
-        end = stop.start() if stop else len(text)
-        if end - start >= LEAST["crf"]:
-            yield start, end
-        at = end
-        digit = _DIGIT.search(text, at) if digit else None
-        long = _LONG.search(text, at) if long else None
+    """Runs between separators that may hold a secret: all that are long enough for one."""
+    return (m.span() for m in _CHUNK.finditer(text))
 
 
 def _size(n: int) -> str:
@@ -98,8 +85,10 @@ def file_features(text: str) -> list[str]:
             f"doc.at{min(2, 1000 * text.count('@') // n)}"]
 
 
-def chunk_features(text: str, start: int, end: int, file: list[str]) -> tuple[list[tuple[int, int]], list[list[str]]]:
-    """The chunk's tokens and their features; those of the telling words before it begin with ``key``."""
+def chunk_features(
+    text: str, start: int, end: int, file: list[str]
+) -> tuple[list[tuple[int, int]], Iterator[list[str]]]:
+    """The chunk's tokens and their features, one token's at a time; those of the telling words before it begin with ``key``."""
     before = text[max(0, start - 40) : start].split()[-2:]
     ahead = text[end : end + 24].split()[:1]
     line = text[text.rfind("\n", max(0, start - 200), start) + 1 : start]
@@ -108,28 +97,31 @@ def chunk_features(text: str, start: int, end: int, file: list[str]) -> tuple[li
     context += [f"next.shape={_shape(ahead[0]) if ahead else 'none'}", f"line.eq={'=' in line}"]
     spans = [m.span() for m in _TOKEN.finditer(text, start, end)]
     names = [text[a:b] for a, b in spans]
-    rows = []
-    for i, name in enumerate(names):
-        shape, mixed = _shape(name), any(c.isdigit() for c in name) and any(c.isalpha() for c in name)
-        low = name.lower()
-        row = [
-            "bias", f"shape={shape}", f"size={_size(len(name))}", f"shape.size={shape[:4]}.{_size(len(name))}",
-            f"mixed={mixed}.{_size(len(name))}", f"hex={all(c in '0123456789abcdef' for c in low)}.{_size(len(name))}",
-            f"varied={len(set(low)) * 8 // len(low)}.{_size(len(name))}", f"start={name[:4] if len(name) > 7 else ''}",
-            f"first={i == 0}", f"last={i == len(names) - 1}",
-            f"left.shape={_shape(names[i - 1]) if i else 'none'}",
-            f"right.shape={_shape(names[i + 1]) if i + 1 < len(names) else 'none'}",
-        ]
-        if i:
-            row.append(f"key.left={names[i - 1].lower() if len(names[i - 1]) < 12 else ''}")
-        if i > 1:
-            row.append(f"key.left2={names[i - 2].lower() if len(names[i - 2]) < 12 else ''}")
-        if "@" in names:
-            row.append("chunk.at")
-        if "/" in names and ":" in names:
-            row.append("chunk.url")
-        rows.append(row + context + file)
-    return spans, rows
+    at, url = "@" in names, "/" in names and ":" in names
+
+    def rows() -> Iterator[list[str]]:
+        for i, name in enumerate(names):
+            shape, mixed = _shape(name), any(c.isdigit() for c in name) and any(c.isalpha() for c in name)
+            low = name.lower()
+            row = [
+                "bias", f"shape={shape}", f"size={_size(len(name))}", f"shape.size={shape[:4]}.{_size(len(name))}",
+                f"mixed={mixed}.{_size(len(name))}", f"hex={all(c in '0123456789abcdef' for c in low)}.{_size(len(name))}",
+                f"varied={len(set(low)) * 8 // len(low)}.{_size(len(name))}", f"start={name[:4] if len(name) > 7 else ''}",
+                f"first={i == 0}", f"last={i == len(names) - 1}",
+                f"left.shape={_shape(names[i - 1]) if i else 'none'}",
+                f"right.shape={_shape(names[i + 1]) if i + 1 < len(names) else 'none'}",
+            ]
+            if i:
+                row.append(f"key.left={names[i - 1].lower() if len(names[i - 1]) < 12 else ''}")
+            if i > 1:
+                row.append(f"key.left2={names[i - 2].lower() if len(names[i - 2]) < 12 else ''}")
+            if at:
+                row.append("chunk.at")
+            if url:
+                row.append("chunk.url")
+            yield row + context + file
+
+    return spans, rows()
 
 
 def _parts(text: str) -> Iterator[tuple[int, int]]:
@@ -147,8 +139,15 @@ def examples(text: str) -> list[tuple[list[list[str]], list[int]]]:
     values = secret_values(text, base_spans(text))
     found, file = [], file_features(text)
     chunks = list(_parts(text))
-    for a, b in chunks[:: max(1, len(chunks) // CHUNKS_PER_DOC)][:CHUNKS_PER_DOC]:
+    # Words without a digit or a long run are by far the most: they are half of the examples at most.
+    telling = [bool(_DIGIT.search(text, a, b) or _LONG.search(text, a, b)) for a, b in chunks]
+    picked = []
+    for kind, n in ((True, CHUNKS_PER_DOC), (False, CHUNKS_PER_DOC // 2)):
+        own = [c for c, t in zip(chunks, telling, strict=True) if t == kind]
+        picked += own[:: max(1, len(own) // n)][:n]
+    for a, b in sorted(picked):
         spans, rows = chunk_features(text, a, b, file)
+        rows = list(rows)
         tags = []
         for x, y in spans:
             inside = next((v for v in values if v[0] <= x and y <= v[1]), None)
@@ -172,10 +171,10 @@ class Scanner:
         if self.field is None:
             return base
         taken, found, file = [(a, b) for a, _, b in base], [], None
-        for a, b in _parts(text):
+        for a, b in open_chunks(text):
             file = file or file_features(text)
             spans, rows = chunk_features(text, a, b, file)
-            if not rows:
+            if not spans:
                 continue
             runs: list[list[int]] = []
             for (x, y), tag in zip(spans, self.field.tags(rows), strict=True):

@@ -112,3 +112,11 @@ def test_training_learns_a_rule():
     good = sum(field.tags(rows) == tags for rows, tags in data)
     assert good / len(data) > 0.98
     assert crf.train([([["a"]], [0])]) is None
+
+
+def test_the_field_reads_all_chunks_and_long_ones_as_a_whole():
+    after_word = crf.Field({"bias": 0, "key.prev=pwd:": 1}, np.array([[1.0, 0, 0], [0, 5, 0]]), np.zeros((3, 3)))
+    assert secretscan.Scanner(after_word).spans("the pwd: correcthorsebattery is old") == [(9, 3, 28)]
+    long_token = crf.Field({"bias": 0, "size=5": 1}, np.array([[1.0, 0, 0], [0, 5, 0]]), np.zeros((3, 3)))
+    text = "x=1;" * 498 + "q7w8e9r0t1y2u3i4o5p6a7s8" + ";y=2" * 900
+    assert secretscan.Scanner(long_token).spans(text) == [(1992, 3, 2016)]
