@@ -48,9 +48,12 @@ def _prepared(text: Column) -> Column:
 
 
 def _sketch(found: np.ndarray) -> np.ndarray:
-    """Two bits of each coordinate, 32 coordinates to a number."""
+    """Two bits of what each coordinate holds, 32 coordinates to a number.
+
+    A dart's last bits tell only its coordinate, so these are the first ones.
+    """
     bits = np.zeros(-(-len(found) // _PER_LONG) * _PER_LONG, dtype=np.uint64)
-    bits[: len(found)] = found & np.uint64(3)
+    bits[: len(found)] = found >> np.uint64(62)
     shifts = np.arange(_PER_LONG, dtype=np.uint64) * np.uint64(2)
     return np.bitwise_or.reduce(bits.reshape(-1, _PER_LONG) << shifts, axis=1)
 

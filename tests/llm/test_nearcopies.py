@@ -1,9 +1,10 @@
 import random
 from collections import Counter
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from jobmart.llm import nearcopies
+from jobmart.llm import darts, nearcopies, words
 from jobmart.llm.graph import components
 
 
@@ -88,3 +89,11 @@ def test_small_documents_by_brute_force(spark, small_docs):
     texts = {r["doc_id"]: r["text"] for r in small_docs.collect()}
     found = nearcopies.near_copies(small_docs.select("doc_id", F.col("text")))
     assert {r["doc_id"]: r["class_id"] for r in found.collect()} == brute_classes(texts)
+
+
+def test_sketches_tell_unlike_texts_apart():
+    pools = [words.mixed(np.arange(1 + 500 * k, 401 + 500 * k, dtype=np.uint64)) for k in range(2)]
+    for size in (180, nearcopies.LONGER):
+        a, b = (nearcopies._sketch(darts.signature(x, np.ones(len(x)), size)) for x in pools)
+        pairs = (a[:, None] ^ b[:, None]) >> np.arange(0, 64, 2, dtype=np.uint64) & np.uint64(3)
+        assert abs((pairs.ravel()[:size] == 0).mean() - 0.25) < 0.12
