@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.llm import decontaminate, language, lines, mixing, nearcopies, quality, rules, secretscan, tokens, transcripts
+from jobmart.llm import (
+    decontaminate, language, lines, mixing, nearcopies, periodic, quality, rules, secretscan, tokens, transcripts,
+)
 from jobmart.llm.common import fold, held_out, in_small_batches, stored, table
 from jobmart.session import work_path
 
@@ -109,3 +111,16 @@ def op9_quality_rules(spark, sf_dir):
 def op10_near_copies(spark, sf_dir):
     """The class of near copies of every document."""
     return nearcopies.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    """The periodic runs of every document, some of which get a periodic end first, and the text without repetitions."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", periodic.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic.collapse_text(docs)
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period",
+        F.expr("1000 * length div period").alias("exponent_milli"),
+        F.sha2("runs", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
