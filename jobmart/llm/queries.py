@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.llm import (
-    decontaminate, language, lines, mixing, nearcopies, periodic, quality, rules, secretscan, tokens, transcripts,
+    decontaminate, language, lines, manifest, mixing, nearcopies, periodic, quality, rules, secretscan, tokens, transcripts,
 )
 from jobmart.llm.common import fold, held_out, in_small_batches, stored, table
 from jobmart.session import work_path
@@ -124,3 +124,15 @@ def op12_periodic_runs(spark, sf_dir):
         F.expr("1000 * length div period").alias("exponent_milli"),
         F.sha2("runs", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
     )
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    """The manifest of all documents, and whether a copy of each, some tampered with, is proved by it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    size = F.col("n_chars").cast("long")
+    claimed = F.when(tampered, size + 1).otherwise(size)
+    leaf, claim = (manifest.digest(F.col("doc_id"), F.col("source"), F.col("lang"), n, F.col("text")) for n in (size, claimed))
+    found = manifest.build(docs, leaf, claim)
+    return found.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified", "slot")
