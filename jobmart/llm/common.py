@@ -76,16 +76,17 @@ def bounded_sample(df: DataFrame, groups: str, rows: int, by: Sequence[str], col
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, rows: int, features: Column, doc_id: str = "doc_id"
+    docs: DataFrame, labels: DataFrame, label: str, rows: int, features: Column, doc_id: str = "doc_id",
+    usable: Column | None = None,
 ) -> tuple[list[tuple[int, tuple]], dict[int, int]]:
     """(label, features) of about ``rows`` labelled documents of each class 0 and 1, and the rows of each class.
 
     The sample is drawn from the narrow label table; the few ids drawn, at most one and a half times ``rows`` a class,
     are then met with the documents, so that no text moves but the features of the sample. Held-out documents are
-    never drawn. A document labelled twice counts once, with its greatest label.
+    never drawn: those of fold 0, or the rows of ``labels`` that ``usable`` leaves out. A document labelled twice counts once, with its greatest label.
     """
-    usable = labels.where(F.col(label).isin(0, 1)).where(fold(doc_id) != 0)
-    known = usable.groupBy(doc_id).agg(F.max(label).cast("int").alias("_label"))
+    usable = fold(doc_id) != 0 if usable is None else usable
+    known = labels.where(F.col(label).isin(0, 1)).where(usable).groupBy(doc_id).agg(F.max(label).cast("int").alias("_label"))
     counts = {r["_label"]: r["count"] for r in known.groupBy("_label").count().collect()}
     drawn = bounded_sample(known, "_label", rows, [doc_id], [F.col(doc_id).alias("_id")])
     ids = docs.sparkSession.createDataFrame([(r["_id"], r["_group"]) for r in drawn], "_id long, _label int")

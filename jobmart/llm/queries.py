@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.llm import (
-    decontaminate, language, lines, manifest, mixing, nearcopies, periodic, quality, rules, secretscan, tokens, transcripts,
+    decontaminate, language, lines, manifest, mixing, nearcopies, periodic, quality, rules, secretscan, tokens,
+    toxicity, transcripts,
 )
 from jobmart.llm.common import fold, held_out, in_small_batches, stored, table
 from jobmart.session import work_path
@@ -113,6 +114,15 @@ def op10_near_copies(spark, sf_dir):
     return nearcopies.near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_toxicity(spark, sf_dir):
+    """The toxicity of every document, by a recurrent network over all its windows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    apart = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), usable=~apart)
+    return toxicity.classify(docs, model).select("doc_id", apart.alias("held_out"), "score", "predicted")
+
+
 @query
 def op12_periodic_runs(spark, sf_dir):
     """The periodic runs of every document, some of which get a periodic end first, and the text without repetitions."""
