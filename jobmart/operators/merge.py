@@ -15,7 +15,12 @@ def upsert(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """
     if key not in source.columns:
         raise ValueError(f"key column {key!r} is not in the source")
+    return replace_keys(target, source, source.select(key), key)
+
+
+def replace_keys(target: DataFrame, source: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Target without its rows of any of ``keys``, and all rows of the source; null keys as in ``upsert``."""
     keyed = target.where(F.col(key).isNotNull())
     unkeyed = target.where(F.col(key).isNull())
-    kept = keyed.join(source.select(key).where(F.col(key).isNotNull()), key, "left_anti").select(*target.columns)
+    kept = keyed.join(keys.select(key).where(F.col(key).isNotNull()), key, "left_anti").select(*target.columns)
     return kept.unionByName(unkeyed).unionByName(source.select(*target.columns))

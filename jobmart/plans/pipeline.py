@@ -24,6 +24,8 @@ DIMENSIONS = [
     "dim_company", "dim_location", "dim_date", "dim_source", "dim_role", "dim_level", "dim_working_model",
     "dim_techstack",
 ]
+#: Dimensions that grow with the postings; the others have a row per value of a fixed list.
+LARGE_DIMENSIONS = ["dim_company"]
 FACTS = ["fact_hiring", "bridge_tech_fact"]
 STAGING_TABLES = [*SILVER_STAGING.values(), *[f"staging.gold_{t}" for t in DIMENSIONS + FACTS]]
 
@@ -41,6 +43,7 @@ class Lake:
     fix_onsite: bool = False
     keep_null_urls: bool = False
     idempotent_facts: bool = False
+    key_buckets: int = 16  # partitions of the tables that are upserted by key; one should hold a few GB
 
     def table(self, name: str) -> str:
         return self.prefix + name
@@ -107,7 +110,7 @@ def promote_silver(lake: Lake, load_date: str) -> dict:
         staged = tables.read_table(lake.spark, lake.table(SILVER_STAGING[kind]))
         if kind == "jobs" and lake.keep_null_urls:
             staged = _without_stored_null_keys(lake, staged)
-        result[f"{kind}_loaded"] = tables.upsert_table(staged, lake.table(table), SILVER_KEYS[kind])
+        result[f"{kind}_loaded"] = tables.upsert_table(staged, lake.table(table), SILVER_KEYS[kind], lake.key_buckets)
     return result
 
 
@@ -117,7 +120,7 @@ def _without_stored_null_keys(lake: Lake, staged: DataFrame) -> DataFrame:
     if not tables.table_exists(lake.spark, name):
         return staged
     unkeyed = F.col("job_url").isNull()
-    stored = lake.spark.table(name).where(unkeyed)
+    stored = tables.read_table(lake.spark, name, allow_empty=True).where(unkeyed)
     return staged.where(~unkeyed).unionByName(staged.where(unkeyed).exceptAll(stored))
 
 
@@ -137,7 +140,8 @@ def dimensions_to_staging(lake: Lake, load_date: str) -> dict:
 def promote_dimensions(lake: Lake, load_date: str) -> dict:
     return {
         t: tables.upsert_table(
-            tables.read_table(lake.spark, lake.table(f"staging.gold_{t}")), lake.table(f"gold.{t}"), "id"
+            tables.read_table(lake.spark, lake.table(f"staging.gold_{t}")), lake.table(f"gold.{t}"), "id",
+            lake.key_buckets if t in LARGE_DIMENSIONS else None,
         )
         for t in DIMENSIONS
     }
@@ -152,29 +156,21 @@ def promote_fact(lake: Lake, load_date: str) -> dict:
     """Append facts and bridge rows, or replace those of the staged facts with ``idempotent_facts``.
 
     Facts are built from all of silver, so appending adds every known job again
-    on every run.
+    on every day.  Each day's rows are kept apart: promoting a day once more
+    replaces what it appended before.
     """
-    result = {}
-    for t in FACTS:
-        staged = tables.read_table(lake.spark, lake.table(f"staging.gold_{t}"), allow_empty=True)
-        name = lake.table(f"gold.{t}")
-        if not lake.idempotent_facts:
-            result[t] = tables.append_table(staged, name)
-        elif t == "fact_hiring":
-            result[t] = tables.upsert_table(staged, name, "id")
-        else:
-            result[t] = _replace_bridge(lake, staged, name)
-    return result
-
-
-def _replace_bridge(lake: Lake, staged: DataFrame, name: str) -> int:
-    """Replace the bridge rows of the staged facts; facts without technology lose theirs."""
-    facts = tables.read_table(lake.spark, lake.table("staging.gold_fact_hiring"), allow_empty=True)
-    stored = tables.get_or_create_table(staged, name)
-    kept = stored.join(facts.select(F.col("id").alias("fact_id")), "fact_id", "left_anti")
-    distinct = staged.distinct()
-    tables.overwrite_table(kept.select(*staged.columns).unionByName(distinct), name, allow_empty=True)
-    return distinct.count()
+    staged = {t: tables.read_table(lake.spark, lake.table(f"staging.gold_{t}"), allow_empty=True) for t in FACTS}
+    names = {t: lake.table(f"gold.{t}") for t in FACTS}
+    if not lake.idempotent_facts:
+        return {t: tables.append_table(staged[t], names[t], run=load_date) for t in FACTS}
+    facts = staged["fact_hiring"]
+    # Facts without technology lose their bridge rows.
+    keys = facts.select(F.col("id").alias("fact_id"))
+    bridge = staged["bridge_tech_fact"].distinct()
+    return {
+        "fact_hiring": tables.upsert_table(facts, names["fact_hiring"], "id", lake.key_buckets),
+        "bridge_tech_fact": tables.replace_by_key(bridge, keys, names["bridge_tech_fact"], "fact_id", lake.key_buckets),
+    }
 
 
 # -- entry point --------------------------------------------------------------

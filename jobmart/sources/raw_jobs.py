@@ -28,8 +28,10 @@ def read_raw_jobs(spark: SparkSession, base: str, load_date: str, *, with_order:
     The schema is forced, so empty files and missing fields do not change it.  A
     line that is no JSON object becomes a row of nulls and blank lines vanish.
     ``with_order`` adds the columns of ``FILE_ORDER``: file, position of the
-    split in it, and the row within the task.
+    split in it, and the row within the task.  A load date whose publishing was
+    interrupted after it was complete is put into its place first.
     """
+    finish_publishing(spark, base, load_date)
     lines = (
         spark.read.schema(RAW_SCHEMA).option("mode", "PERMISSIVE").json(partition_path(base, load_date))
     )
@@ -56,9 +58,12 @@ def publish_partition(spark: SparkSession, staged: str, target: str, load_date:
     """Copy a staged load date to the target and return its rows; an unstaged date is an error.
 
     Lines are copied as text, so published files hold exactly what was staged.
-    Publishing replaces the load date, so it can simply be run again after a
-    lost job.  Staging is cleared last and leaves no folder, so a load date that
-    was cleared is an error and never an empty day.
+    They are written beside the target first and moved into place when they are
+    complete, so a job that fails leaves the published day as it was; a failure
+    between moves is made good by the next reader or publisher.  Publishing
+    replaces the load date, so it can simply be run again.  Staging is cleared
+    last and leaves no folder, so a load date that was cleared is an error and
+    never an empty day.
     """
     try:
         lines = spark.read.text(partition_path(staged, load_date))
@@ -68,10 +73,35 @@ def publish_partition(spark: SparkSession, staged: str, target: str, load_date:
         raise ValueError(f"nothing staged for {load_date} under {staged}") from error
     seen = Observation()
     counted = lines.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").text(partition_path(target, load_date))
+    counted.write.mode("overwrite").text(_incoming(target, load_date))
+    if not finish_publishing(spark, target, load_date):
+        raise OSError(f"the writer left no mark that {load_date} is complete under {target}")
     return seen.get.get("rows") or 0
 
 
+def _incoming(target: str, load_date: str) -> str:
+    # Readers of the target pass by folders whose names begin with an underscore.
+    return f"{target.rstrip('/')}/_incoming/load_date={load_date}"
+
+
+def finish_publishing(spark: SparkSession, target: str, load_date: str) -> bool:
+    """Move a load date that was completely written into its place, if there is one; whether there was.
+
+    The writer leaves ``_SUCCESS`` as its last file, which marks the folder as complete.  The old day goes only then,
+    and the new one is moved as a whole.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    incoming, place = path(_incoming(target, load_date)), path(partition_path(target, load_date))
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path(incoming, "_SUCCESS")):
+        return False
+    files.mkdirs(place.getParent())
+    files.delete(place, True)
+    if not files.rename(incoming, place):
+        raise OSError(f"could not move {incoming} to {place}")
+    return True
+
+
 def clear_staged(spark: SparkSession, staged: str) -> bool:
     """Remove all staged load dates, so that none of them can be published any more; whether there were any."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(staged)

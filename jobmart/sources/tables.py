@@ -1,17 +1,26 @@
-"""Named tables through the session catalog: read, stage, append, upsert, clear."""
+"""Named tables through the session catalog: read, stage, append, upsert, clear.
+
+A table of a plain file format is an external one in a folder of its own version, ``<namespace>/<table>-<id>``.  New
+contents are always written to a new folder; then the catalog is told the new place, of the whole table or of single
+partitions.  No job overwrites files that exist, so results do not depend on the session's mode of overwriting.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from jobmart.operators.merge import upsert
+from jobmart.operators.merge import replace_keys
 
 NAMESPACES = ["bronze", "silver", "gold", "staging"]
 # New contents beside their table, and the property that marks them as complete.
 _NEXT, _READY = "__next", "replacement_is_complete"
-# Partition of a table that is upserted by key.
-BUCKET = "key_bucket"
+# Partition of a table that is upserted by key, and of one that is appended to by run.
+BUCKET, RUN = "key_bucket", "load_run"
+# Folder of switched partitions in their table's folder.
+_PARTS = "_parts"
 # Providers that can merge in place; for others an upsert rewrites the table.
 _MERGING_PROVIDERS = ("iceberg", "delta")
 
@@ -36,14 +45,19 @@ def get_or_create_table(
     """The table, created empty with the schema of ``df`` if it does not exist."""
     finish_replacement(df.sparkSession, name)
     if not table_exists(df.sparkSession, name):
-        _write(df.limit(0), name, "errorifexists", provider, *filter(None, [partition_by]))
+        _write(df.limit(0), name, provider, *filter(None, [partition_by]))
     return df.sparkSession.table(name)
 
 
 def drop_table(spark: SparkSession, name: str) -> bool:
-    existed = table_exists(spark, name)
+    """Drop the table and its folder; files of external tables that others made stay."""
+    if not table_exists(spark, name):
+        return False
+    folder = _described(spark, name).get("Location", "")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return existed
+    if folder.rstrip("/").split("/")[-1].startswith(f"{name.split('.')[-1]}-"):
+        _delete(spark, folder)
+    return True
 
 
 def recreate_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -61,18 +75,18 @@ def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, name: str, allow_empty: bool = False) -> DataFrame:
-    """A table that must exist and, unless allowed, hold rows."""
+    """A table that must exist and, unless allowed, hold rows; without the columns that keep its partitions apart."""
     finish_replacement(spark, name)
     if not table_exists(spark, name):
         raise ValueError(f"table {name} does not exist")
-    table = spark.table(name)
+    table = spark.table(name).drop(BUCKET, RUN)
     if not allow_empty and table.isEmpty():
         raise ValueError(f"table {name} has no rows")
     return table
 
 
 def overwrite_table(df: DataFrame, name: str, allow_empty: bool = False) -> int:
-    """Replace the contents of a table and return its rows.
+    """Replace the contents of a table, of all its partitions too, and return its rows.
 
     The new contents are written beside the table, so ``df`` may read the table
     it replaces, a failed job leaves the old contents, and an empty result is
@@ -96,20 +110,20 @@ def overwrite_table(df: DataFrame, name: str, allow_empty: bool = False) -> int:
             partition_by = _partition_columns(spark, name)
         if not _is_staging(name):
             _require_same_schema(df, table, name)
-    rows = _write(df, beside, "overwrite", provider, *partition_by)
+    rows = _write(df, beside, provider, *partition_by)
     if rows == 0 and not allow_empty:
         drop_table(spark, beside)
         raise ValueError(f"refusing to store an empty result in {name}")
-    for key, value in properties.items():
-        quoted = [x.replace("'", "\\'") for x in (key, value)]
-        spark.sql(f"ALTER TABLE {beside} SET TBLPROPERTIES ('{quoted[0]}' = '{quoted[1]}')")
-    spark.sql(f"ALTER TABLE {beside} SET TBLPROPERTIES ('{_READY}' = 'true')")
+    _set_properties(spark, beside, properties | {_READY: "true"})
     finish_replacement(spark, name)
     return rows
 
 
 def finish_replacement(spark: SparkSession, name: str) -> bool:
-    """Bring complete new contents into place, if a replacement of the table was interrupted after it had them."""
+    """Bring complete new contents into place, if a replacement of the table was interrupted after it had them.
+
+    Both tables are entries of the catalog; renaming one moves no file, and its partitions keep their places.
+    """
     beside = name + _NEXT
     if not table_exists(spark, beside):
         if table_exists(spark, name) and _READY in _properties(spark, name):
@@ -117,29 +131,69 @@ def finish_replacement(spark: SparkSession, name: str) -> bool:
         return False
     if _READY not in _properties(spark, beside):
         return False
-    partition_by = _partition_columns(spark, beside)
-    same = table_exists(spark, name) and set(spark.table(name).columns) == set(spark.table(beside).columns)
-    if partition_by and same:
-        # Renaming would leave the catalog's partition locations behind, so a
-        # partitioned table is filled from the complete copy, which goes last.
-        copy = spark.table(beside).select(*spark.table(name).columns)
-        copy.write.mode("overwrite").option("partitionOverwriteMode", "static").insertInto(name)
-        drop_table(spark, beside)
-    else:
-        drop_table(spark, name)
-        spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
-        spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{_READY}')")
+    drop_table(spark, name)
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES ('{_READY}')")
     return True
 
 
-def append_table(df: DataFrame, name: str, partition_by: str | None = None) -> int:
-    """Append rows, creating the table if needed, and return how many the input held."""
+def append_table(df: DataFrame, name: str, partition_by: str | None = None, run: str | None = None) -> int:
+    """Append rows, creating the table if needed, and return how many the input held.
+
+    With ``run`` the rows are a partition of that name, in a column ``load_run``
+    after the table's own: appending again under the same name replaces them, so
+    that a lost append can simply be run again, and other runs' rows stay.
+    """
+    if run is not None:
+        return _append_run(df, name, run)
     table = get_or_create_table(df, name, partition_by)
     counted, rows = _counted(df.select(*table.columns))
     counted.write.insertInto(name)
     return rows()
 
 
+def _append_run(df: DataFrame, name: str, run: str) -> int:
+    tagged = df.withColumn(RUN, F.lit(run))
+    table = get_or_create_table(tagged, name, RUN)
+    if RUN not in _partition_columns(df.sparkSession, name):
+        raise ValueError(f"table {name} is not kept by run")
+    return switch_partitions(tagged.select(*table.columns), name, RUN, [run])
+
+
+def switch_partitions(df: DataFrame, name: str, column: str, values: list) -> int:
+    """Replace the partitions of these values by the rows of ``df``, which has no others; returns its rows.
+
+    The rows are written to a folder of their own, so ``df`` may read what it
+    replaces.  Then one partition after the other gets its new place, and old
+    files go last: a failure in between leaves each partition either old or new,
+    and files of other partitions are never touched.  A value without rows loses
+    its partition.  Values are as many catalog calls, so their number must be bounded.
+    """
+    spark = df.sparkSession
+    folder = f"{_described(spark, name)['Location']}/{_PARTS}/{uuid.uuid4().hex}"
+    counted, rows = _counted(df)
+    counted.write.format(_provider(spark, name)).partitionBy(column).save(folder)
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    old, new = [], []
+    for value in values:
+        spec = f"PARTITION ({column} = {_literal(value)})"
+        path = f"{folder}/{column}={value}"
+        if f"{column}={value}" in known:
+            old.append(_described(spark, name, spec)["Location"])
+            if _exists(spark, path):
+                spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {_literal(path)}")
+            else:
+                spark.sql(f"ALTER TABLE {name} DROP {spec}")
+        elif _exists(spark, path):
+            new.append(f"{spec} LOCATION {_literal(path)}")
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(new)}")
+    spark.catalog.refreshTable(name)
+    for path in old:
+        _delete(spark, path)
+    return rows()
+
+
 def upsert_table(df: DataFrame, name: str, key: str, buckets: int | None = None) -> int:
     """Update rows of equal key and insert the others; returns the rows of the input.
 
@@ -160,28 +214,37 @@ def upsert_table(df: DataFrame, name: str, key: str, buckets: int | None = None)
         return 0
     spark = df.sparkSession
     finish_replacement(spark, name)
-    if buckets and not table_exists(spark, name):
-        _write(df.withColumn(BUCKET, F.lit(0)).limit(0), name, "errorifexists", "parquet", BUCKET)
-        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{BUCKET}' = '{buckets}')")
-    table = get_or_create_table(df, name)
-    if _provider(spark, name) in _MERGING_PROVIDERS:
+    if table_exists(spark, name) and _provider(spark, name) in _MERGING_PROVIDERS:
         match = F.col(f"source.{key}") == F.col(f"{name}.{key}")
         df.alias("source").mergeInto(name, match).whenMatched().updateAll().whenNotMatched().insertAll().merge()
-    elif BUCKET in _partition_columns(spark, name):
-        _upsert_buckets(df, table, name, key, int(_properties(spark, name)[BUCKET]))
     else:
-        overwrite_table(upsert(table, df, key), name)
+        replace_by_key(df, df.select(key), name, key, buckets)
     return rows
 
 
-def _upsert_buckets(df: DataFrame, table: DataFrame, name: str, key: str, buckets: int) -> None:
-    """Write again the partitions that hold a key of the input; a lost job can be run again."""
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    source = df.withColumn(BUCKET, bucket).select(*table.columns)
+def replace_by_key(df: DataFrame, keys: DataFrame, name: str, key: str, buckets: int | None = None) -> int:
+    """Replace all stored rows of ``keys`` by those of ``df``, which has no other keys; returns the rows of ``df``.
+
+    A key may have any number of rows.  Without ``buckets``, or if the table was
+    created without, all of it is rewritten; see ``upsert_table``.
+    """
+    spark = df.sparkSession
+    finish_replacement(spark, name)
+    if buckets and not table_exists(spark, name):
+        _write(df.withColumn(BUCKET, F.lit(0)).limit(0), name, "parquet", BUCKET)
+        _set_properties(spark, name, {BUCKET: str(buckets)})
+    table = get_or_create_table(df, name)
+    if BUCKET not in _partition_columns(spark, name):
+        written, rows = _counted(df.select(*table.columns))
+        overwrite_table(replace_keys(table, written, keys, key), name, allow_empty=True)
+        return rows()
+    bucket = F.pmod(F.xxhash64(key), F.lit(int(_properties(spark, name)[BUCKET]))).cast("int")
     # At most ``buckets`` numbers: they prune the partitions that are read.
-    touched = [r[0] for r in source.select(BUCKET).distinct().collect()]
-    merged = upsert(table.where(F.col(BUCKET).isin(touched)), source, key).select(*table.columns)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    touched = [r[0] for r in keys.select(bucket.alias("bucket")).distinct().collect()]
+    source, rows = _counted(df.withColumn(BUCKET, bucket).select(*table.columns))
+    stored = table.where(F.col(BUCKET).isin(touched))
+    switch_partitions(replace_keys(stored, source, keys, key).select(*table.columns), name, BUCKET, touched)
+    return rows()
 
 
 def clear_tables(spark: SparkSession, names: list[str]) -> dict[str, int]:
@@ -201,9 +264,15 @@ def _counted(df: DataFrame):
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: seen.get.get("rows") or 0
 
 
-def _write(df: DataFrame, name: str, mode: str, provider: str, *partition_by: str) -> int:
+def _write(df: DataFrame, name: str, provider: str, *partition_by: str) -> int:
+    """A new table; of a plain format in a folder of its own."""
     counted, rows = _counted(df)
-    counted.write.format(provider).mode(mode).partitionBy(*partition_by).saveAsTable(name)
+    writer = counted.write.format(provider).partitionBy(*partition_by)
+    if provider not in _MERGING_PROVIDERS:
+        namespace, table = name.split(".") if "." in name else (df.sparkSession.catalog.currentDatabase(), name)
+        base = df.sparkSession.catalog.getDatabase(namespace).locationUri
+        writer = writer.option("path", f"{base}/{table.removesuffix(_NEXT)}-{uuid.uuid4().hex}")
+    writer.saveAsTable(name)
     return rows()
 
 
@@ -229,9 +298,38 @@ def _count_and_repeats(df: DataFrame, key: str) -> tuple[int, int]:
     return row["rows"], row["repeated"]
 
 
+def _described(spark: SparkSession, name: str, partition: str = "") -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition}").collect()
+    # What a partition says of itself comes before what the table says.
+    return {r["col_name"]: r["data_type"] for r in reversed(rows)}
+
+
 def _provider(spark: SparkSession, name: str) -> str:
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Provider'").first()
-    return described["data_type"].lower() if described else ""
+    return _described(spark, name).get("Provider", "").lower()
+
+
+def _literal(value) -> str:
+    return str(value) if isinstance(value, int) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _files(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _files(spark, path)
+    return files.exists(folder)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder, files = _files(spark, path)
+    files.delete(folder, True)
+
+
+def _set_properties(spark: SparkSession, name: str, properties: dict[str, str]) -> None:
+    pairs = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
 def _properties(spark: SparkSession, name: str) -> dict[str, str]:

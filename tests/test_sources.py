@@ -1,6 +1,8 @@
 """Raw files, tables, pages and selector configurations."""
 
 import json
+import os
+import shutil
 import uuid
 
 import pytest
@@ -58,12 +60,29 @@ def test_write_keeps_nulls_and_replaces_only_its_date(spark, tmp_path):
     assert json.loads(line) == {c: ("a" if c == "title" else None) for c in raw_jobs.RAW_COLUMNS}
 
 
-def test_publish(spark, tmp_path):
+def test_publish(spark, tmp_path, monkeypatch):
     staged = partition(tmp_path / "staged", '{"title": "a"}\n{"title": "b"}\n')
     target = str(tmp_path / "target")
     for _ in range(2):  # a retry does not duplicate
         assert raw_jobs.publish_partition(spark, staged, target, "2026-05-21") == 2
     assert raw_jobs.read_raw_jobs(spark, target, "2026-05-21").count() == 2
+    # A job that fails on its way leaves the published day readable.
+    day = tmp_path / "staged" / "load_date=2026-05-21"
+    (day / "bad.json.gz").write_bytes(b"not compressed at all")
+    with pytest.raises(Exception):  # noqa: B017
+        raw_jobs.publish_partition(spark, staged, target, "2026-05-21")
+    assert raw_jobs.read_raw_jobs(spark, target, "2026-05-21").count() == 2
+    (day / "bad.json.gz").unlink()
+    # A failure after the new day was complete, the old one being gone already: the next reader finishes.
+    (day / "more.json").write_text('{"title": "c"}\n')
+    with monkeypatch.context() as patch:
+        patch.setattr(raw_jobs, "finish_publishing", lambda *_: False)
+        with pytest.raises(OSError):
+            raw_jobs.publish_partition(spark, staged, target, "2026-05-21")
+    shutil.rmtree(tmp_path / "target" / "load_date=2026-05-21")
+    assert raw_jobs.read_raw_jobs(spark, target, "2026-05-21").count() == 3
+    (day / "more.json").unlink()
+    assert raw_jobs.publish_partition(spark, staged, target, "2026-05-21") == 2
     with pytest.raises(ValueError, match="nothing staged"):
         raw_jobs.publish_partition(spark, staged, target, "2026-05-22")
     assert raw_jobs.clear_staged(spark, staged) and not raw_jobs.clear_staged(spark, staged)
@@ -82,11 +101,16 @@ def test_file_order_keeps_the_first_line(spark, tmp_path):
 # -- tables -----------------------------------------------------------------------
 
 
-@pytest.fixture
-def prefix(spark, tmp_path):
+@pytest.fixture(params=["dynamic", "static"])
+def prefix(spark, tmp_path, request):
+    """Namespaces of its own; tests of tables run under both modes of overwriting that a session may have."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, request.param)
     name = f"t{uuid.uuid4().hex[:8]}_"
     tables.ensure_namespaces(spark, str(tmp_path / "warehouse"), name)
-    return name
+    yield name
+    spark.conf.set(mode, before)
 
 
 def numbers(spark, *values):
@@ -212,6 +236,88 @@ def test_upsert_by_buckets_leaves_other_partitions_alone(spark, prefix):
         tables.upsert_table(numbers(spark, 5, 5), name, "id")
 
 
+def test_a_replaced_table_has_no_old_partitions(spark, prefix):
+    rows = spark.range(100).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("d"), F.col("id") % 4).alias("day"))
+    for layer in ("gold", "staging"):
+        name = f"{prefix}{layer}.parts"
+        tables.append_table(rows, name, partition_by="day")
+        assert tables.overwrite_table(spark.table(name).where("day = 'd1'"), name) == 25
+        assert spark.table(name).count() == 25 and [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["day=d1"]
+        assert tables.append_table(rows, name) == 100 and spark.table(name).count() == 125
+        tables.clear_tables(spark, [name])
+        assert spark.table(name).count() == 0 and tables._partition_columns(spark, name) == ["day"]
+
+
+def test_an_upsert_survives_a_crash_at_every_step(spark, prefix, monkeypatch):
+    """Whatever call of the catalog fails, stored rows are old or new, and a retry makes all of them new."""
+    session = type(spark)
+    real_sql = session.sql
+    for step in (0, 1, 3):
+        name = f"{prefix}gold.c{step}"
+        tables.upsert_table(numbers(spark, *range(100)), name, "id", buckets=4)
+        changed = numbers(spark, 1, 2, 3, 4, 5, 6, 7, 500).withColumn("v", F.lit(-1))
+        calls = {"n": 0}
+
+        def failing(self, query, *args, **options):
+            if query.startswith("ALTER"):
+                calls["n"] += 1
+                if calls["n"] == step + 1:  # noqa: B023
+                    raise RuntimeError("crash")
+            return real_sql(self, query, *args, **options)
+
+        monkeypatch.setattr(session, "sql", failing)
+        try:
+            tables.upsert_table(changed, name, "id")
+        except RuntimeError:
+            pass
+        monkeypatch.setattr(session, "sql", real_sql)
+        spark.catalog.refreshTable(name)
+        rows = {r.id: r.v for r in spark.table(name).collect()}
+        assert set(rows) - {500} == set(range(100)) and all(v in (i * 10, -1) for i, v in rows.items()), step
+        assert tables.upsert_table(changed, name, "id") == 8
+        rows = {r.id: r.v for r in spark.table(name).collect()}
+        assert rows == {i: i * 10 for i in range(100)} | dict.fromkeys([1, 2, 3, 4, 5, 6, 7, 500], -1)
+
+
+def test_rows_of_a_key_are_replaced_together(spark, prefix):
+    name = prefix + "gold.k"
+    rows = spark.createDataFrame([(i % 10, i) for i in range(40)], "id int, v int")
+    for buckets in (8, None):
+        tables.drop_table(spark, name)
+        assert tables.replace_by_key(rows, rows.select("id"), name, "id", buckets) == 40
+        fewer = spark.createDataFrame([(1, -1), (2, -2), (2, -3)], "id int, v int")
+        gone = spark.createDataFrame([(1,), (2,), (3,), (77,)], "id int")
+        for _ in range(2):
+            assert tables.replace_by_key(fewer, gone, name, "id", buckets) == 3
+            found = sorted((r.id, r.v) for r in spark.table(name).collect())
+            assert found == sorted([(1, -1), (2, -2), (2, -3), *[(i % 10, i) for i in range(40) if i % 10 not in (1, 2, 3)]])
+
+
+def test_runs_are_appended_once_each(spark, prefix):
+    name = prefix + "gold.runs"
+    for run, values in (("2026-05-21", (1, 2)), ("2026-05-22", (2, 3)), ("2026-05-21", (1, 9)), ("2026-05-21", (1, 9))):
+        assert tables.append_table(numbers(spark, *values), name, run=run) == 2
+    assert ids(spark, name) == [1, 2, 3, 9] and tables.read_table(spark, name).columns == ["id", "v"]
+    assert tables.append_table(numbers(spark, 1).limit(0), name, run="2026-05-22") == 0
+    assert ids(spark, name) == [1, 9]
+    tables.append_table(numbers(spark, 1), prefix + "gold.plain")
+    with pytest.raises(ValueError, match="run"):
+        tables.append_table(numbers(spark, 1), prefix + "gold.plain", run="x")
+
+
+def test_dropping_leaves_foreign_files(spark, prefix, tmp_path):
+    path = str(tmp_path / "foreign")
+    numbers(spark, 1, 2).write.parquet(path)
+    spark.sql(f"CREATE TABLE {prefix}gold.foreign USING parquet LOCATION '{path}'")
+    tables.drop_table(spark, prefix + "gold.foreign")
+    assert spark.read.parquet(path).count() == 2
+    tables.overwrite_table(numbers(spark, 1), prefix + "gold.own")
+    folder = tables._described(spark, prefix + "gold.own")["Location"].removeprefix("file:")
+    assert os.path.exists(folder)
+    tables.drop_table(spark, prefix + "gold.own")
+    assert not os.path.exists(folder)
+
+
 def test_catalog_and_clear(spark, prefix):
     name = prefix + "staging.t"
     tables.get_or_create_table(numbers(spark, 1), name)
