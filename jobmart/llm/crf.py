@@ -25,6 +25,25 @@ class Field:
     def tags(self, sequence: Iterable[list[str]]) -> list[int]:
         """The best tags by Viterbi; the tokens before and after the sequence are outside."""
         rows = [self.emit[[i for f in features if (i := self.index.get(f)) is not None]].sum(0) for features in sequence]
+        return self.best(rows)
+
+    def gains(self, scores: np.ndarray) -> list[float]:
+        """By how much the best tags with 1, 2, ... tokens in secrets beat those with none; the last is for all tokens."""
+        move = self.move + _ALLOWED
+        n = len(scores)
+        # best[k, tag]: of the tokens so far, k of them in secrets.
+        best = np.full((n + 1, TAGS), -np.inf)
+        best[0, OUTSIDE] = 0.0
+        for row in scores:
+            ways = (best[:, :, None] + move).max(1) + row
+            best = np.full_like(best, -np.inf)
+            best[:, OUTSIDE] = ways[:, OUTSIDE]
+            best[1:, BEGIN], best[1:, INSIDE] = ways[:-1, BEGIN], ways[:-1, INSIDE]
+        ended = (best + move[:, OUTSIDE]).max(1)
+        return (ended[1:] - ended[0]).tolist()
+
+    def best(self, rows: np.ndarray | list[np.ndarray]) -> list[int]:
+        """The best tags by Viterbi, of the tokens' scores for each tag."""
         move = self.move + _ALLOWED
         best, back = rows[0] + move[OUTSIDE], []
         for row in rows[1:]:
@@ -50,8 +69,9 @@ def train(
 ) -> Field | None:
     """Weights by adaptive gradient steps on the penalised log-likelihood; None without any tagged token.
 
-    All sequences are worked on together, sorted by length and padded.
+    All sequences are worked on together, the longest first, so that those that reach a place are the first ones.
     """
+    sequences = sorted(sequences, key=lambda x: -len(x[1]))
     if not any(t != OUTSIDE for _, tags in sequences for t in tags):
         return None
     counts: dict[str, int] = {}
@@ -73,6 +93,7 @@ def train(
             feature += known
     at, feature = np.array(at), np.array(feature)
     lengths = live.sum(1)
+    reach = live.sum(0)  # sequences that have a token at each place
     emit, move = np.zeros((len(index), TAGS)), np.zeros((TAGS, TAGS))
     seen_emit, seen_move = np.full_like(emit, 1e-8), np.full_like(move, 1e-8)
     every = np.arange(n)
@@ -82,20 +103,21 @@ def train(
         forward = np.zeros((n, longest, TAGS))
         forward[:, 0] = scores[:, 0] + ways[OUTSIDE]
         for t in range(1, longest):
-            nxt = _logsum(forward[:, t - 1, :, None] + ways, 1) + scores[:, t]
-            forward[:, t] = np.where(live[:, t, None], nxt, forward[:, t - 1])
+            k = reach[t]
+            forward[:k, t] = _logsum(forward[:k, t - 1, :, None] + ways, 1) + scores[:k, t]
         backward = np.zeros((n, longest, TAGS))
-        backward[:, -1] = ways[:, OUTSIDE]
+        backward[:, :] = ways[:, OUTSIDE]
         for t in range(longest - 2, -1, -1):
-            nxt = _logsum(ways + (scores[:, t + 1] + backward[:, t + 1])[:, None, :], 2)
-            backward[:, t] = np.where(live[:, t + 1, None], nxt, ways[:, OUTSIDE])
+            k = reach[t + 1]
+            backward[:k, t] = _logsum(ways + (scores[:k, t + 1] + backward[:k, t + 1])[:, None, :], 2)
         total = _logsum(forward[every, lengths - 1] + ways[:, OUTSIDE], 1)
         single = np.exp(forward + backward - total[:, None, None]) * live[:, :, None]
         moves = np.zeros((TAGS, TAGS))
         moves[OUTSIDE] += single[:, 0].sum(0)
         for t in range(1, longest):
-            pair = forward[:, t - 1, :, None] + ways + (scores[:, t] + backward[:, t])[:, None, :]
-            moves += (np.exp(pair - total[:, None, None]) * live[:, t, None, None]).sum(0)
+            k = reach[t]
+            pair = forward[:k, t - 1, :, None] + ways + (scores[:k, t] + backward[:k, t])[:, None, :]
+            moves += np.exp(pair - total[:k, None, None]).sum(0)
         moves[:, OUTSIDE] += single[every, lengths - 1].sum(0)
         return single, moves
 

@@ -39,7 +39,7 @@ def test_base_spans_by_brute_force(pieces):
     assert secretscan.base_spans(text) == brute_base(text)
 
 
-def test_the_query_keeps_the_base_and_finds_more_by_the_method(spark):
+def test_the_query_keeps_the_base(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
     rows = QUERIES["op4_secrets"](spark, FOLDER).collect()
     assert len(rows) == len(docs)
@@ -68,6 +68,83 @@ def test_the_field_finds_what_no_pattern_covers(spark):
     assert scanner.spans("call 100-555-1234 or write to a77@mail.example about 123456789 in all") == []
 
 
+PLANTED = [
+    ("pwd: {}", "correcthorsebattery"), ("Authorization: Bearer {}", "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9"),
+    ("use {} to push", "ghp_16C7e42F292c6912E7710c838347Ae178B4a"), ("passphrase={}", "mountainriverstone"),
+    ("aws_secret_access_key = {}", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"), ("credentials: {}", "x9Kq2mVw7Lp4ZtRb"),
+    ("the key was {} in there", "AB12CD34EF56GH78IJ90"),
+]
+
+
+@pytest.fixture(scope="module")
+def scanner(spark):
+    return secretscan.fit(spark.read.parquet(f"{FOLDER}/documents.parquet"))
+
+
+def test_secrets_of_unknown_kinds_are_found_in_documents(spark, scanner):
+    """The field, learned as in the query, finds planted secrets and hardly anything else."""
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()]
+    hosts = [t for t in texts if len(t.split()) > 60 and not brute_base(t)]
+    found = 0
+    for k, (form, secret) in enumerate(PLANTED):
+        words = hosts[k].split(" ")
+        text = " ".join([*words[:20], form.format(secret), *words[20:]])
+        at = text.index(secret)
+        found += any(x <= at and at + len(secret) <= y for x, kind, y in scanner.spans(text) if kind == 3)
+    assert found >= 6
+    harmless = "call 100-555-1234 or write to a77@mail.example about 123456789 in all the international organisations"
+    assert scanner.spans(harmless) == []
+    assert sum(len(scanner.field_spans(t)) for t in hosts) <= len(hosts) / 100
+
+
+def test_passing_chunks_by_changes_nothing(spark, scanner):
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").limit(150).collect()]
+    texts += [" ".join(form.format(secret) for form, secret in PLANTED), "(Password): «Überraschung»!! ,,abcdefgh.. @@LongName??? x/y"]
+    for text in texts:
+        assert scanner.field_spans(text) == scanner.field_spans(text, skip=False)
+
+
+@given(st.lists(st.sampled_from([*PIECES.elements, "pwd", "Bearer", "Wörterbuch", "correcthorse", "XkcdWords", "ghp_", "q7w8e9r0t1", "/", "@", ","]), max_size=30))
+@settings(max_examples=150, deadline=None)
+def test_passing_chunks_by_changes_nothing_on_odd_texts(scanner, pieces):
+    text = "".join(pieces)
+    assert scanner.field_spans(text) == scanner.field_spans(text, skip=False)
+
+
+def test_forms_of_prose_hold_all_that_features_depend_on():
+    draw, seen = random.Random(4), {}
+    for _ in range(4_000):
+        word = "".join(draw.choices("abcdefABÉéñxyz", k=draw.randrange(1, 20)))
+        chunk = draw.choice(["", "(", "«"]) + word + draw.choice(["", ".", ",", "!!", ")."])
+        form = secretscan.prose_signature(*secretscan._PROSE.fullmatch(chunk).groups())
+        rows = secretscan.token_features(chunk)[1]
+        assert seen.setdefault(form, rows) == rows
+
+
+@pytest.mark.parametrize("kind", range(3))
+def test_a_pattern_that_is_left_out_is_found_by_the_field(kind):
+    draw = random.Random(kind)
+    prose = "some words that go on and on without anything of note in them until here".split()
+
+    def made(k):
+        secret = {
+            0: lambda: draw.choice(["password=", "token: ", "api_key = "]) + "".join(draw.choices("abcdefghjkmnpqrstuvw23456789XYZ", k=18)),
+            1: lambda: "AKIA" + "".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)),
+            2: lambda: "".join(draw.choices("0123456789abcdef", k=32)),
+        }[k]()
+        around = draw.sample(prose, 8)
+        return " ".join([*around[:4], secret, *around[4:]])
+
+    learned = [e for i in range(300) for e in secretscan.examples(made([k for k in range(3) if k != kind][i % 2]))]
+    scanner = secretscan.Scanner(crf.train(learned + secretscan.made_examples()))
+    hits = 0
+    for _ in range(100):
+        text = made(kind)
+        (a, b), = secretscan.secret_values(text, secretscan.base_spans(text))
+        hits += any(x <= a and b <= y for x, y in scanner.field_spans(text))
+    assert hits >= 80
+
+
 def test_long_and_odd_texts():
     scanner = secretscan.Scanner(None)
     assert scanner.spans("") == [] and scanner.spans("a" * 100_000) == [(0, 2, 100_000)]
