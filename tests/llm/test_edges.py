@@ -73,7 +73,8 @@ def test_defined_results_of_odd_texts(spark, edge_docs):
     of = {}
     for r in classes:
         of.setdefault(r["doc_id"], set()).add(r["class_id"])
-    assert of[0] == of[1] == of[2] == {0} and of[8] == of[9] == {8} and of[3] == {3}
+    assert of[0] == of[1] == of[2] == {0} and of[8] == of[9] == {8}
+    assert len(of[3]) == 2 and 3 not in of[3]  # the least id of two texts names neither
     assert len(of[None]) == 2 and 0 in of[None]
     kept = nearcopies.keep_one(edge_docs)
     assert kept.count() == len(set().union(*of.values()))

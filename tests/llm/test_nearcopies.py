@@ -93,7 +93,51 @@ def test_small_documents_by_brute_force(spark, small_docs):
 
 def test_sketches_tell_unlike_texts_apart():
     pools = [words.mixed(np.arange(1 + 500 * k, 401 + 500 * k, dtype=np.uint64)) for k in range(2)]
-    for size in (180, nearcopies.LONGER):
+    for size in (180, 1_024):
         a, b = (nearcopies._sketch(darts.signature(x, np.ones(len(x)), size)) for x in pools)
         pairs = (a[:, None] ^ b[:, None]) >> np.arange(0, 64, 2, dtype=np.uint64) & np.uint64(3)
         assert abs((pairs.ravel()[:size] == 0).mean() - 0.25) < 0.12
+
+
+def _varied(draw, words, edits, name):
+    copy = list(words)
+    for k, at in enumerate(draw.sample(range(len(words)), edits)):
+        copy[at] = f"{name}x{k}"
+    return " ".join(copy)
+
+
+def test_many_that_stray_from_one_original_meet_seldom(spark):
+    """Half of the variants are near their original and half are not; as sets they are alike, and no two are near."""
+    draw = random.Random(3)
+    words = [f"w{draw.randrange(10_000)}" for _ in range(200)]
+    texts = {0: " ".join(words)} | {i: _varied(draw, words, 3 + i % 7, f"v{i}") for i in range(1, 160)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in nearcopies.near_copies(docs).collect()} == brute_classes(texts)
+
+
+def test_pairs_by_rarest_elements_miss_none(spark):
+    draw = random.Random(5)
+    sets = {}
+    for base in range(12):
+        core = [draw.randrange(5_000) for _ in range(draw.choice([1, 2, 5, 40, 90]))]
+        for _ in range(6):
+            kept = [x for x in core if draw.random() > draw.choice([0, 0.05, 0.2])] or core[:1]
+            sets[len(sets)] = sorted({*kept, *(draw.randrange(200) for _ in range(draw.choice([0, 0, 1, 4])))})
+    table = spark.createDataFrame(list(sets.items()), "node long, set array<long>")
+    classes = table.select("node", (F.col("node") % 50).alias("class"))
+    found = {(r["a"], r["b"]) for r in nearcopies._meeting(table, classes, 0.8).collect()}
+    wanted = {
+        (a, b) for a in sets for b in sets
+        if a > b and a % 50 != b % 50 and len({*sets[a]} & {*sets[b]}) >= 0.8 * len({*sets[a]} | {*sets[b]})
+    }
+    assert wanted <= found and len(wanted) > 30 and len(found) < 3 * len(wanted)
+
+
+def test_ids_with_several_texts(spark):
+    a, b, c = ("one two three four five six " * 3, "seven eight nine ten eleven " * 4, "red green blue black white " * 5)
+    rows = [(1, a), (1, b), (2, a), (1, b), (5, c), (6, c), (None, c), (None, "x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(nearcopies.near_copies(docs).groupBy("class_id").count().collect())
+    assert sorted(r["count"] for r in found) == [1, 2, 2, 3]
+    kept = [tuple(r) for r in nearcopies.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(1, a), (1, b), (5, c), (None, "x y z")], key=str)
