@@ -90,14 +90,10 @@ def op7_line_dedup(spark, sf_dir):
 
 @query
 def op8_chat_transcripts(spark, sf_dir):
-    """The turns recovered from all conversations, written out as transcripts in mixed styles."""
+    """The turns recovered from all conversations, written out as transcripts in mixed styles, in canonical form."""
     written = transcripts.written_out(table(spark, sf_dir, "conversations"))
     model = transcripts.fit(written.where(fold("conv_id") != 0))
-    parsed = written.select("conv_id", "segment", transcripts.parse(F.col("transcript"), model).alias("turns"))
-    turns = parsed.select("conv_id", "segment", F.posexplode("turns").alias("place", "t"))
-    return turns.select(
-        "conv_id", (F.col("segment") * transcripts.SEGMENT + F.col("place")).alias("turn"), "t.role", "t.text"
-    )
+    return transcripts.whole_turns(written.select("conv_id", "segment", "transcript"), model)
 
 
 @query

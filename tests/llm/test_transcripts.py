@@ -73,3 +73,55 @@ def test_long_conversations_are_cut_into_segments(spark):
     written = transcripts.written_out(turns)
     assert written.select(F.max(F.size("blocks"))).first()[0] == transcripts.SEGMENT
     assert written.select(F.sum(F.size("blocks"))).first()[0] == 1_000
+
+
+def _undivided(written, model):
+    """(conversation, number, role, text) by decoding each whole transcript at once."""
+    whole = {}
+    for r in written.orderBy("segment").collect():
+        whole.setdefault(r["conv_id"], []).append(r["transcript"] or "")
+    found = []
+    for conv, parts in whole.items():
+        text = "\n\n".join(parts)
+        turns = transcripts.turns_of(text, model) if text.strip() else []
+        found += [(conv, k, role, own) for k, (role, own) in enumerate(turns)]
+    return found
+
+
+def _key(row):
+    return tuple(str(x) for x in row)
+
+
+def test_long_conversations_are_decoded_as_a_whole(spark):
+    """Pairs of turns of one role, quoted markers and lost ones; several segments each."""
+    draw, rows = np.random.default_rng(2), []
+    lines = ["Yes.", "User: she wrote that", "what now?", "Assistant: no", "it goes on", "", "### Human", "a: b"]
+    for conv in range(12):
+        role = 1
+        for turn in range(150 + 30 * conv):
+            role = role if draw.random() < 0.2 else 3 - role
+            text = "\n".join(draw.choice(lines, draw.integers(1, 5)))
+            rows.append((conv if conv else None, turn if draw.random() < 0.98 else None, transcripts.ROLES[role], text))
+    rows += [(77, t, "user", " ") for t in range(200)] + [(78, 5, None, None), (79, -3, "bot", "x"), (79, -300, "bot", "y")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    written = transcripts.written_out(turns).persist()
+    assert written.count() > 50
+    learned = transcripts.fit(transcripts.written_out(spark.read.parquet(f"{FOLDER}/conversations.parquet")))
+    for model in (learned, _model(3), _model(4)):
+        found = transcripts.whole_turns(written, model).collect()
+        got = [(r["conv_id"], r["turn"], r["role"], r["text"]) for r in found]
+        wanted = _undivided(written, model)
+        # Lines that look alike give ties between equally likely paths, where the two may choose differently.
+        apart = {_key(g) for g in got} ^ {_key(w) for w in wanted}
+        assert len(got) == len(wanted) and len(apart) <= (len(got) / 500 if model is learned else 0)
+        assert len({g[:2] for g in got}) == len(got)
+        assert all(r["rendered"] == f"<|{r['role']}|>\n{r['text']}\n<|end|>\n" for r in found)
+    assert transcripts.whole_turns(written.where("1 = 0"), learned).collect() == []
+    written.unpersist()
+
+
+def test_the_query_by_the_undivided_decoder(spark):
+    written = transcripts.written_out(spark.read.parquet(f"{FOLDER}/conversations.parquet"))
+    model = transcripts.fit(written.where(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 5 != 0))
+    found = [(r["conv_id"], r["turn"], r["role"], r["text"]) for r in QUERIES["op8_chat_transcripts"](spark, FOLDER).collect()]
+    assert sorted(found) == sorted(_undivided(written, model))
