@@ -32,7 +32,7 @@ POSTED = [
     "2026-05-01", "1-5-2026", "01/05/2026", "2026/5/1", "5 minutes ago", "3 hours ago", "đăng 2 ngày trước",
     "30+ days ago", "1 week ago", "yesterday", "hôm nay", "2 months ago", "31-02-2026", None,
 ]
-APPLICANTS = ["12", " 7 ", "12.6", "1,234", "abc", "", None, "1e3", "-3.5"]
+APPLICANTS = ["12", " 7 ", "12.6", "1,234", "abc", "", None, "1e3", "-3.5", "2.4999999"]
 SALARIES = [
     None, "  1000 USD ", "unknown", "Negotiable", "n/a", "15.000.000 - 20.000.000 VND", "1,234,567 usd", "$1,500.50",
     "15 - 20 million", "2,000 - 1,000 usd", "1.5 million vnd",
@@ -43,6 +43,7 @@ PHRASES = [
     "scalable opportunity", "React Native", "3-5 years experience", "0-1 year of experience", "kinh nghiệm 2 năm",
     "up to $2,000 usd", "từ 10 đến 20 triệu", "work from home", "thực tập", "fresher", "nothing",
 ]
+SHORT_PAIRS = ["of a", "la y", "de", "de la", "to be", "zu", "in", "in zu", "et le", "a on", "on a"]
 COMPANY_TEXTS = [None, "  ACME, Inc. ", "acme inc", "Công ty Đá", "---"]
 
 

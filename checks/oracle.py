@@ -367,18 +367,24 @@ def oracle_sql() -> dict[str, str]:
         ),
         "daily_run": f"""
             WITH {RAW_JOBS},
-            first AS (SELECT * FROM prepared WHERE job_url IS NOT NULL AND doc_id % 10 <> 3),
+            first AS (SELECT *, coalesce(job_url, 'Unknown') AS kept FROM prepared),
+            changed AS (SELECT DISTINCT kept FROM first WHERE doc_id % 3 = 0),
             known AS (
-              SELECT job_url, CASE WHEN doc_id % 3 = 0 THEN 777 ELSE {_APPLICANTS} END AS applicants FROM first
-              UNION ALL SELECT job_url || '/new', {_APPLICANTS} FROM first WHERE doc_id % 7 = 0
+              SELECT kept FROM first UNION SELECT coalesce(job_url || '/new', 'Unknown') FROM first WHERE doc_id % 7 = 0
             )
-            SELECT 'job' AS kind, job_url AS name, CAST(applicants AS BIGINT) AS value FROM known
-            UNION ALL SELECT 'table', 'dim_role', count(DISTINCT r) FROM
-              (SELECT {_ROLE} AS r FROM first UNION ALL SELECT 'Unknown')
-            UNION ALL SELECT 'table', 'dim_level', count(DISTINCT l) FROM
-              (SELECT {_LEVEL} AS l FROM first UNION ALL SELECT 'Unknown')
+            SELECT 'job' AS kind, kept AS name,
+              CASE WHEN kept <> 'Unknown' THEN CAST(kept IN (SELECT kept FROM changed) AS BIGINT) END AS value FROM known
             UNION ALL SELECT 'table', 'dim_company', count(DISTINCT {_SLUG}) + 1 FROM first
-            UNION ALL SELECT 'table', 'fact_hiring', (SELECT count(*) FROM first) + (SELECT count(*) FROM known)""",
+            UNION ALL SELECT 'table', 'dim_date', 365
+            UNION ALL SELECT 'table', 'dim_location', 4
+            UNION ALL SELECT 'table', 'fact_hiring',
+              (SELECT count(DISTINCT kept) FROM first) + (SELECT count(*) FROM known)""",
+        "promotion_gate": _with_star(
+            "SELECT 'fact_hiring.company_id without dim_company' AS finding, count(*) AS rows FROM fact "
+            "WHERE location_id = 'LOC_REMOTE' "
+            "UNION ALL SELECT 'fact_hiring.id is null', count(*) FROM fact WHERE location_id = 'LOC_HYBRID' "
+            "UNION ALL SELECT 'facts in gold', count(*) FROM fact"
+        ),
         # pages
         "crawl_frontier": f"""
             WITH role AS (SELECT unnest([{', '.join(map(_lit, vocab.CRAWL_ROLE_SLUGS))}]) AS slug),
@@ -419,6 +425,8 @@ def oracle_sql() -> dict[str, str]:
                 origin || coalesce(nullif(regexp_replace(regexp_extract(path, '^.*/'), '[^/]*/$', ''), ''), '/') || 'x/'
                 || href[2:] FROM base
               UNION ALL SELECT page_id, item_no, 'dots', '/a/b/../.' || href, origin || '/a' || href FROM base
+              UNION ALL SELECT page_id, item_no, 'blank', ' ' || chr(9) || href, origin || href FROM base
+              UNION ALL SELECT page_id, item_no, 'empty segments', '/a//b/' || href, origin || '/a//b/' || href FROM base
             )
             SELECT page_id, item_no, form, resolved, link AS unresolved FROM form""",
         "extract_postings": f"""
@@ -453,6 +461,12 @@ def oracle_sql() -> dict[str, str]:
               coalesce(company, '(null)') AS company, '(null)' AS salary FROM config""",
         # text
         "keyword_match_all": _raw(f"SELECT doc_id, array_to_string({_TECHS}, ',') AS keywords FROM prepared"),
+        "keyword_match_separators": "SELECT doc_id, array_to_string(list_filter(["
+        + ", ".join(
+            f"CASE WHEN regexp_matches(lower(text), '(^|[^A-Za-z0-9_]){word.replace(' ', '[ \\t\\n\\x0B\\f\\r]+')}([^A-Za-z0-9_]|$)') "
+            f"THEN {_lit(word)} END" for word in fx.SHORT_PAIRS
+        )
+        + "], lambda x: x IS NOT NULL), ',') AS keywords FROM documents WHERE text IS NOT NULL",
         "keyword_match_first": _raw(f"SELECT doc_id, coalesce({_TECHS}[1], 'Unknown') AS keyword FROM prepared"),
         "canonical_role": _raw(f"SELECT doc_id, {_ROLE} AS role FROM prepared"),
         "employment_type": _raw(f"SELECT doc_id, {_EMPLOYMENT} AS employment_type FROM prepared"),
@@ -559,7 +573,7 @@ def oracle_sql() -> dict[str, str]:
             "count(*) AS total_jobs, GROUPING(role, level) AS grain FROM jobs GROUP BY CUBE (role, level)"
         ),
         "mart_job_analytics": _with_star(
-            f"""SELECT strftime(g.d, '%Y-%m-%d') AS date, name AS company_name, g.job_title, g.location_type,
+            f"""SELECT strftime(g.d, '%Y-%m-%d') AS date, coalesce(name, 'Unknown') AS company_name, g.job_title, g.location_type,
                   g.employment_type, g.seniority_level, total_jobs, total_applicants, avg_applicants_per_job,
                   coalesce(top_technologies, '') AS top_technologies, coalesce(tech_count, 0) AS tech_count
                 FROM (
@@ -569,7 +583,7 @@ def oracle_sql() -> dict[str, str]:
                     round(avg(number_applicants), 4) AS avg_applicants_per_job
                   FROM jobs GROUP BY ALL
                 ) g
-                JOIN companies ON companies.id = g.company_id
+                LEFT JOIN companies ON companies.id = g.company_id
                 LEFT JOIN (
                   SELECT d, company_id, title, location_type, employment_type, level,
                     CAST(count(*) AS INTEGER) AS tech_count,

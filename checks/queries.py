@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import fixture as fx
 from jobmart.functions import dates, vocab
 from jobmart.functions import text as tx
-from jobmart.functions.matching import compact_text, tech_keywords
+from jobmart.functions.matching import KeywordSet, compact_text, tech_keywords
 from jobmart.operators import dedup, marts, merge, quality, silver, star
 from jobmart.plans import pipeline
 from jobmart.session import work_path
@@ -177,12 +177,13 @@ def upsert_table(spark, sf_dir):
 
 @query
 def daily_run(spark, sf_dir):
-    """Two days from postings to gold: the jobs known then, and the rows of the gold tables.
+    """Two days of all postings to gold: the jobs known then, whether the second day changed each, and rows of gold tables.
 
-    The postings have distinct URLs, so the result does not depend on which of several equal ones is kept.
+    Which of several postings of one URL is kept is not asked: all of a URL's postings on the second day have the same
+    number of applicants, but for those without any URL, whose job says nothing here.
     """
-    lake = pipeline.Lake(spark, work_path(spark, "lake"), f"run_{uuid.uuid4().hex[:12]}_", fx.PROCESSED_AT, fx.CALENDAR_START)
-    first = fx.raw_jobs(spark, sf_dir).where("job_url is not null and doc_id % 10 <> 3")
+    lake = pipeline.Lake(spark, work_path(spark, "lake"), f"run_{uuid.uuid4().hex[:12]}_", fx.PROCESSED_AT, fx.CALENDAR_START, key_buckets=4)
+    first = fx.raw_jobs(spark, sf_dir)
     second = first.where("doc_id % 3 = 0").withColumn("number_applicants", F.lit("777")).unionByName(
         first.where("doc_id % 7 = 0").withColumn("job_url", F.concat("job_url", F.lit("/new")))
     )
@@ -191,15 +192,40 @@ def daily_run(spark, sf_dir):
         pipeline.run(lake, "silver", day)
         pipeline.run(lake, "gold", day)
         pipeline.run(lake, "staging", day, "clean")
-    found = spark.table(lake.table("silver.jobs")).select(
-        F.lit("job").alias("kind"), F.col("job_url").alias("name"), F.col("number_applicants").cast("long").alias("value")
+    changed = F.when(F.col("job_url") != "Unknown", (F.col("number_applicants") == 777).cast("long"))
+    found = tables.read_table(spark, lake.table("silver.jobs")).select(
+        F.lit("job").alias("kind"), F.col("job_url").alias("name"), changed.alias("value")
     )
-    for table in ("dim_role", "dim_level", "dim_company", "fact_hiring"):
+    for table in ("dim_company", "dim_date", "dim_location", "fact_hiring"):
         rows = spark.table(lake.table(f"gold.{table}")).agg(F.count(F.lit(1)).alias("value"))
         found = found.unionAll(rows.select(F.lit("table"), F.lit(table), "value"))
     return found
 
 
+@query
+def promotion_gate(spark, sf_dir):
+    """What is refused of a day whose facts have companies that no dimension knows and jobs without a key; the gold facts stay."""
+    lake = pipeline.Lake(spark, work_path(spark, "gate"), f"gate_{uuid.uuid4().hex[:12]}_", fx.PROCESSED_AT, fx.CALENDAR_START)
+    tables.ensure_namespaces(spark, work_path(spark, "gate-tables"), lake.prefix)
+    star_tables = fx.star_tables(spark, sf_dir)
+    for name in pipeline.DIMENSIONS:
+        tables.overwrite_table(star_tables[name], lake.table(f"gold.{name}"))
+    built = {t: star_tables[t] for t in pipeline.FACTS}
+    pipeline.stage_facts(lake, built)
+    pipeline.promote_fact(lake, "2026-05-21")
+    facts = built["fact_hiring"]
+    planted = facts.where("location_id = 'LOC_REMOTE'").withColumn("company_id", F.lit("nobody"))
+    unkeyed = facts.where("location_id = 'LOC_HYBRID'").withColumn("id", F.lit(None).cast("string"))
+    pipeline.stage_facts(lake, built | {"fact_hiring": facts.unionByName(planted).unionByName(unkeyed)})
+    try:
+        pipeline.promote_fact(lake, "2026-05-22")
+        refused = []
+    except pipeline.PromotionRefused as error:
+        refused = sorted(error.findings.items())
+    stored = spark.table(lake.table("gold.fact_hiring")).agg(F.count(F.lit(1)).alias("rows"))
+    return spark.createDataFrame(refused, "finding string, rows long").unionAll(stored.select(F.lit("facts in gold"), "rows"))
+
+
 # -- pages ------------------------------------------------------------------------
 
 
@@ -278,6 +304,8 @@ def resolve_urls(spark, sf_dir):
         "empty": F.lit(""),
         "up": F.concat(F.lit("../x/./"), F.substr(href, F.lit(2))),
         "dots": F.concat(F.lit("/a/b/../."), href),
+        "blank": F.concat(F.lit(" \t"), href),
+        "empty segments": F.concat(F.lit("/a//b/"), href),
     }
     links = _extracted(spark, sf_dir).select(
         "page_id", "item_no", "url",
@@ -372,6 +400,14 @@ def keyword_match_all(spark, sf_dir):
     return _with_description(spark, sf_dir).select("doc_id", F.array_join(found, ",").alias("keywords"))
 
 
+@query
+def keyword_match_separators(spark, sf_dir):
+    """Pairs of short words, whatever white space is between them."""
+    found = KeywordSet(fx.SHORT_PAIRS, separators=True).match_all(F.lower("text"))
+    docs = fx.table(spark, sf_dir, "documents").where("text is not null")
+    return docs.select("doc_id", F.array_join(found, ",").alias("keywords"))
+
+
 @query
 def keyword_match_first(spark, sf_dir):
     found = tech_keywords().match_first(F.col("text"), compact=F.col("compact"))

@@ -65,8 +65,8 @@ def starting_with(characters: str) -> str:
     return "(?=[" + "".join(re.escape(c) for c in sorted(set(characters))) + "])"
 
 
-def _prefix_tree_pattern(words: Sequence[str]) -> str:
-    """One pattern for all words; at a position it prefers the longest."""
+def _prefix_tree_pattern(words: Sequence[str], separators: bool = False) -> str:
+    """One pattern for all words; at a position it prefers the longest. With ``separators`` a space is any run of them."""
     tree: dict = {}
     for word in words:
         node = tree
@@ -75,7 +75,9 @@ def _prefix_tree_pattern(words: Sequence[str]) -> str:
         node[""] = {}
 
     def render(node: dict) -> str:
-        branches = [re.escape(c) + render(child) for c, child in sorted(node.items()) if c]
+        branches = [
+            (r"\s++" if separators and c == " " else re.escape(c)) + render(child) for c, child in sorted(node.items()) if c
+        ]
         if not branches:
             return ""
         if len(branches) == 1 and "" not in node:
@@ -89,11 +91,14 @@ class KeywordSet:
     """An ordered keyword list compiled for Spark.
 
     A keyword that contains a backslash is a regular expression and is emitted
-    as written; any other keyword is literal text.
+    as written; any other keyword is literal text.  With ``separators`` a space
+    in it stands for any run of white space; else it is that one character, and
+    only keywords with long compact forms are found across other separators.
     """
 
-    def __init__(self, keywords: Sequence[str]):
+    def __init__(self, keywords: Sequence[str], separators: bool = False):
         self.keywords = list(keywords)
+        self.separators = separators
         self._patterns: dict[str, list[int]] = {}  # pattern -> list positions
         self._long: dict[str, list[int]] = {}  # compact form -> list positions
         short: dict[str, list[int]] = {}
@@ -117,9 +122,12 @@ class KeywordSet:
             forms = constant(list(self._long), "array<string>")
             parts.append(let(compact, lambda whole: F.filter(forms, lambda form: whole.contains(form))))
         if self._short:
-            tree = _prefix_tree_pattern(sorted(self._short))
+            tree = _prefix_tree_pattern(sorted(self._short), self.separators)
             pattern = f"{starting_with([w[0] for w in self._short])}{BOUNDARY_BEFORE}(?=({tree}){BOUNDARY_AFTER})"
-            parts.append(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1))))
+            found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+            if self.separators and any(" " in w for w in self._short):
+                found = F.array_distinct(F.transform(found, lambda hit: F.regexp_replace(hit, r"\s+", " ")))
+            parts.append(found)
         if self._patterns:
             found = [
                 F.when(text.rlike(f"{BOUNDARY_BEFORE}(?:{p}){BOUNDARY_AFTER}"), F.lit(p)) for p in self._patterns
@@ -155,8 +163,8 @@ class KeywordSet:
 
 
 @cache
-def tech_keywords(fix_cpp: bool = False) -> KeywordSet:
-    """The technology vocabulary; ``fix_cpp`` makes C++ and ASP.NET ordinary literals."""
-    if not fix_cpp:
-        return KeywordSet(TECH_KEYWORDS)
-    return KeywordSet([TECH_KEYWORD_FIXES.get(k, k) for k in TECH_KEYWORDS])
+def tech_keywords(fix_cpp: bool = False, fix_separators: bool = False) -> KeywordSet:
+    """The technology vocabulary; ``fix_cpp`` makes C++ and ASP.NET ordinary literals, ``fix_separators`` a space in a
+    keyword any run of white space."""
+    fixes = TECH_KEYWORD_FIXES if fix_cpp else {}
+    return KeywordSet([fixes.get(k, k) for k in TECH_KEYWORDS], fix_separators)

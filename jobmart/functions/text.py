@@ -236,5 +236,7 @@ def lenient_int(text: Column, default: int = 0) -> Column:
 
     A plain ``try_cast`` to int would turn fractions and exponents into null.
     """
-    number = F.round(text.try_cast("decimal(38,6)")).try_cast("int")
+    # Digits after the first of a fraction do not change how it is rounded, but could be rounded up to one that does.
+    short = F.when(text.rlike("[eE]"), text).otherwise(F.regexp_replace(text, r"(\.[0-9])[0-9]+", "$1"))
+    number = F.round(short.try_cast("decimal(38,18)")).try_cast("int")
     return F.coalesce(number, F.lit(default))

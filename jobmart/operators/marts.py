@@ -149,10 +149,10 @@ def job_analytics(jobs: DataFrame, companies: DataFrame, top: int = 5) -> DataFr
     names = companies.select(F.col("id").alias("company_id"), F.col("name").alias("company_name"))
     return (
         totals.join(leading, _JOB_KEYS, "left")
-        .join(names, "company_id")
+        .join(names, "company_id", "left")
         .select(
             "date",
-            "company_name",
+            F.coalesce("company_name", F.lit("Unknown")).alias("company_name"),
             *_JOB_KEYS[2:],
             "total_jobs",
             "total_applicants",

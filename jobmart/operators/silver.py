@@ -25,6 +25,7 @@ def clean_jobs(
     *,
     carry: Sequence[str] = (),
     fix_cpp: bool = False,
+    fix_separators: bool = False,
     keep_null_urls: bool = False,
 ) -> DataFrame:
     """One curated row per raw posting; row-wise, so it never shuffles.
@@ -54,7 +55,7 @@ def clean_jobs(
         "location_type": tx.location_type(F.col("location_working_type"), description),
         "employment_type": tx.employment_type(F.col("working_type"), description),
         "date_posted": posted_date(F.col("date_posted"), moment),
-        "techstacks": tech_keywords(fix_cpp).match_all(description, F.col("_compact")),
+        "techstacks": tech_keywords(fix_cpp, fix_separators).match_all(description, F.col("_compact")),
         "job_url": F.col("job_url") if keep_null_urls else or_unknown("job_url"),
         "salary": tx.salary_phrase(F.col("salary"), description),
         "level": tx.seniority_level(F.col("level"), description),

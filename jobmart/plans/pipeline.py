@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.operators import silver, star
@@ -57,6 +57,29 @@ class Lake:
         return f"{self.raw_root.rstrip('/')}/bronze/raw_jobs"
 
 
+class PromotionRefused(ValueError):
+    """Staged rows that must not be promoted: ``findings`` has the number of rows for each."""
+
+    def __init__(self, table: str, findings: dict[str, int]):
+        super().__init__(f"{table} is not promoted: " + ", ".join(f"{k} ({n} rows)" for k, n in findings.items()))
+        self.findings = findings
+
+
+def _stage(lake: Lake, df: DataFrame, table: str, keys: list[str], allow_empty: bool = False, **counts: Column) -> int:
+    """Replace a staging table; rows without one of ``keys`` and those of ``counts`` are counted while they are written."""
+    short = table.split(".")[-1].removeprefix("gold_").removeprefix("silver_")
+    wanted = {f"{short}.{k} is null": F.col(k).isNull() for k in keys} | {f"{short}.{k}": c for k, c in counts.items()}
+    return tables.overwrite_table(df, lake.table(table), allow_empty, wanted)
+
+
+def _gate(lake: Lake, *staged: str) -> None:
+    """Refuse to promote if the write of one of the staging tables counted rows that it should not have."""
+    for table in staged:
+        found = {k: n for k, n in tables.observed(lake.spark, lake.table(table)).items() if n}
+        if found:
+            raise PromotionRefused(table, found)
+
+
 # -- bronze -------------------------------------------------------------------
 
 
@@ -91,7 +114,8 @@ def silver_to_staging(lake: Lake, load_date: str) -> dict:
     seen = Observation()
     jobs = build_silver(lake, raw.observe(seen, F.count(F.lit(1)).alias("rows")))["jobs"]
     batch = {"jobs": jobs, "companies": build_silver(lake, raw)["companies"]}
-    staged = {k: tables.overwrite_table(df, lake.table(SILVER_STAGING[k])) for k, df in batch.items()}
+    keys = {k: [] if k == "jobs" and lake.keep_null_urls else [SILVER_KEYS[k]] for k in batch}
+    staged = {k: _stage(lake, df, SILVER_STAGING[k], keys[k]) for k, df in batch.items()}
     read = seen.get.get("rows") or 0
     return {
         "jobs_read": read,
@@ -105,6 +129,9 @@ def silver_to_staging(lake: Lake, load_date: str) -> dict:
 
 
 def promote_silver(lake: Lake, load_date: str) -> dict:
+    for table in SILVER_STAGING.values():
+        tables.read_table(lake.spark, lake.table(table))
+    _gate(lake, *SILVER_STAGING.values())
     result: dict = {"load_date": load_date}
     for kind, table in SILVER_TABLES.items():
         staged = tables.read_table(lake.spark, lake.table(SILVER_STAGING[kind]))
@@ -134,10 +161,13 @@ def _silver(lake: Lake, kind: str) -> DataFrame:
 def dimensions_to_staging(lake: Lake, load_date: str) -> dict:
     bounds = star.date_bounds(lake.spark, lake.calendar_start)
     built = star.build_dimensions(_silver(lake, "jobs"), _silver(lake, "companies"), bounds)
-    return {t: tables.overwrite_table(built[t], lake.table(f"staging.gold_{t}")) for t in DIMENSIONS}
+    return {t: _stage(lake, built[t], f"staging.gold_{t}", ["id"]) for t in DIMENSIONS}
 
 
 def promote_dimensions(lake: Lake, load_date: str) -> dict:
+    for t in DIMENSIONS:
+        tables.read_table(lake.spark, lake.table(f"staging.gold_{t}"))
+    _gate(lake, *[f"staging.gold_{t}" for t in DIMENSIONS])
     return {
         t: tables.upsert_table(
             tables.read_table(lake.spark, lake.table(f"staging.gold_{t}")), lake.table(f"gold.{t}"), "id",
@@ -149,17 +179,42 @@ def promote_dimensions(lake: Lake, load_date: str) -> dict:
 
 def fact_to_staging(lake: Lake, load_date: str) -> dict:
     built = star.build_facts(_silver(lake, "jobs"), fix_onsite=lake.fix_onsite)
-    return {t: tables.overwrite_table(built[t], lake.table(f"staging.gold_{t}"), allow_empty=True) for t in FACTS}
+    return stage_facts(lake, built)
+
+
+def stage_facts(lake: Lake, built: dict[str, DataFrame]) -> dict:
+    """Stage facts and bridge rows. Keys that the gold dimensions do not know are counted while the rows are written.
+
+    Each dimension is joined by its key alone, which it has once, so no row is lost or doubled.
+    """
+    keys = {
+        "fact_hiring": (["id"], star.FACT_FOREIGN_KEYS),
+        "bridge_tech_fact": (["fact_id"], {"techstack_id": "dim_techstack"}),
+    }
+    result = {}
+    for t in FACTS:
+        checked, orphans = built[t], {}
+        for key, dimension in keys[t][1].items():
+            mark = f"{tables.CHECKED}{key}"
+            known = tables.read_table(lake.spark, lake.table(f"gold.{dimension}"), allow_empty=True)
+            known = known.select(F.col("id").alias(key), F.lit(True).alias(mark))
+            checked = checked.join(known, key, "left")
+            orphans[f"{key} without {dimension}"] = F.col(mark).isNull()
+        columns = [*built[t].columns, *[c for c in checked.columns if c.startswith(tables.CHECKED)]]
+        result[t] = _stage(lake, checked.select(*columns), f"staging.gold_{t}", keys[t][0], True, **orphans)
+    return result
 
 
 def promote_fact(lake: Lake, load_date: str) -> dict:
     """Append facts and bridge rows, or replace those of the staged facts with ``idempotent_facts``.
 
-    Facts are built from all of silver, so appending adds every known job again
+    Refused with ``PromotionRefused`` if staging counted rows without key or with
+    a key that no dimension has.  Facts are built from all of silver, so appending adds every known job again
     on every day.  Each day's rows are kept apart: promoting a day once more
     replaces what it appended before.
     """
     staged = {t: tables.read_table(lake.spark, lake.table(f"staging.gold_{t}"), allow_empty=True) for t in FACTS}
+    _gate(lake, *[f"staging.gold_{t}" for t in FACTS])
     names = {t: lake.table(f"gold.{t}") for t in FACTS}
     if not lake.idempotent_facts:
         return {t: tables.append_table(staged[t], names[t], run=load_date) for t in FACTS}

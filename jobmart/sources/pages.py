@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -162,8 +163,11 @@ def resolve_urls(url: Column, prefix: Column) -> Column:
     """A link made absolute against a prefix URL.
 
     Null and empty links are null, and without a prefix the link stays as it is.
-    Dot segments of links without a host of their own are resolved.
+    Blanks and control characters before a link do not count.  Dot segments of
+    links without a host of their own are resolved; empty segments go from
+    relative links and stay in those from the root.
     """
+    given, url = url, F.regexp_replace(url, r"^[\x00-\x20]+", "")
     scheme = F.regexp_extract(prefix, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1)
     origin = F.regexp_extract(prefix, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
     path = F.regexp_extract(prefix, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
@@ -171,30 +175,33 @@ def resolve_urls(url: Column, prefix: Column) -> Column:
     folder = F.when(path.contains("/"), F.regexp_extract(path, "^(.*/)", 1)).otherwise(F.lit("/"))
     own_path, rest = F.regexp_extract(url, "^([^?#]*)", 1), F.regexp_extract(url, "^[^?#]*(.*)$", 1)
     return (
-        F.when(F.coalesce(F.length(url), F.lit(0)) == 0, F.lit(None).cast("string"))
-        .when(F.coalesce(F.length(prefix), F.lit(0)) == 0, url)
+        F.when(F.coalesce(F.length(given), F.lit(0)) == 0, F.lit(None).cast("string"))
+        .when(F.coalesce(F.length(prefix), F.lit(0)) == 0, given)
+        .when(F.length(url) == 0, prefix)
         .when(url.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), url)
         .when(url.startswith("//"), F.concat(scheme, url))
-        .when(url.startswith("/"), F.concat(origin, _without_dots(own_path), rest))
+        .when(url.startswith("/"), F.concat(origin, _without_dots(own_path, r"(?:^|/)\.{1,2}(?:/|$)", lambda x: F.lit(True)), rest))
         .when(url.startswith("?"), F.concat(origin, path, url))
         .when(url.startswith("#"), F.concat(origin, path, query, url))
-        .otherwise(F.concat(origin, _without_dots(F.concat(folder, own_path)), rest))
+        .otherwise(F.concat(
+            origin, _without_dots(F.concat(folder, own_path), r"(?:^|/)\.{1,2}(?:/|$)|//", lambda x: x != ""), rest
+        ))
     )
 
 
-def _without_dots(path: Column) -> Column:
-    """A path from the root without ``.``, ``..`` and empty segments; one at its end leaves a folder."""
-    segments = F.slice(F.split(path, "/"), 2, 1_000_000)
-    last = F.element_at(segments, -1)
-    inner = F.filter(F.slice(segments, 1, F.greatest(F.size(segments) - 1, F.lit(0))), lambda x: x != "")
+def _without_dots(path: Column, odd: str, keeps: Callable[[Column], Column]) -> Column:
+    """A path from the root without ``.`` and ``..``, and of its inner segments those it ``keeps``; a dot at its end
+    leaves a folder.  Paths without a match of ``odd`` stay as they are."""
+    split = F.split(path, "/")
+    last = F.element_at(split, -1)
+    inner = F.filter(F.slice(split, 2, F.greatest(F.size(split) - 2, F.lit(0))), keeps)
     walked = F.aggregate(
         F.concat(inner, F.array(last)), F.array().cast("array<string>"),
         lambda done, x: F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
         .when(x == ".", done).otherwise(F.concat(done, F.array(x))),
     )
     ended = F.when(last.isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
-    plain = ~path.rlike(r"(?:^|/)\.{1,2}(?:/|$)|//")
-    return F.when(plain, path).otherwise(F.concat(F.lit("/"), F.array_join(ended, "/")))
+    return F.when(~path.rlike(odd), path).otherwise(F.concat(F.lit("/"), F.array_join(ended, "/")))
 
 
 # -- detail pages -------------------------------------------------------------
@@ -231,16 +238,48 @@ def detail_texts(details: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
+#: Bits of the filter of asked pages; its size bounds what is sent to every task (1 MB).
+ASKED_BITS = 1 << 23
+
+
+def asked_filter(items: DataFrame, bits: int = ASKED_BITS) -> Callable[[Column, Column], Column]:
+    """A test of (source_name, url) that all pages pass that an item asks for, and few others while these are few.
+
+    It is a bitmap with a bit for the hash of each key: of a fixed size, so more
+    keys let more pages pass and never make it greater.
+    """
+    def place(source: Column, url: Column) -> Column:
+        return F.pmod(F.xxhash64(source, url), F.lit(bits))
+
+    keys = items.where("job_url is not null").select(place(F.col("source_name"), F.col("job_url")).alias("place"))
+    # Spark's bitmaps have 2 to the power of 15 bits.
+    parts = keys.groupBy(F.shiftright("place", 15).alias("part")).agg(
+        F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits")
+    )
+    bitmap = bytearray(bits // 8)
+    for part, found in parts.collect():  # at most as many as the filter has bits
+        bitmap[part << 12 : (part << 12) + len(found)] = found
+    sent = items.sparkSession.sparkContext.broadcast(bytes(bitmap))
+
+    @F.pandas_udf("boolean")
+    def asked(places: pd.Series) -> pd.Series:
+        held, at = np.frombuffer(sent.value, dtype=np.uint8), places.to_numpy()
+        return pd.Series((held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+
+    return lambda source, url: asked(F.coalesce(place(source, url), F.lit(0).cast("long")))
+
+
 def join_details(items: DataFrame, details: DataFrame, sources: DataFrame) -> DataFrame:
     """Adds to every item the description from the detail page at its job_url.
 
-    Pages that no item asks for are left out first; the others are parsed once
-    each, before the join, so only text moves.  Items without URL get a key of
-    their own: they match nothing, and they spread over all tasks.  ``details``
-    holds a page (source_name, url, html) at most once.
+    Pages that no item asks for are left out where they are read, by a filter of
+    bounded size; the others are parsed there, and only their text is shuffled to
+    the items.  Items without URL get a key of their own: they match nothing, and
+    they spread over all tasks.  ``details`` holds a page (source_name, url, html)
+    at most once.
     """
-    asked = items.select("source_name", F.col("job_url").alias("url")).where("url is not null").distinct()
-    texts = detail_texts(details.join(asked, ["source_name", "url"], "left_semi"), sources).select(
+    asked = asked_filter(items)
+    texts = detail_texts(details.where(asked(F.col("source_name"), F.col("url"))), sources).select(
         F.col("source_name"), F.col("url").alias("_detail_url"), "description"
     )
     key = F.coalesce(

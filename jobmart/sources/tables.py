@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jobmart.operators.merge import replace_keys
@@ -17,6 +17,8 @@ from jobmart.operators.merge import replace_keys
 NAMESPACES = ["bronze", "silver", "gold", "staging"]
 # New contents beside their table, and the property that marks them as complete.
 _NEXT, _READY = "__next", "replacement_is_complete"
+# Property that holds a count of the rows written; columns that only such counts use begin with the second.
+_OBSERVED, CHECKED = "observed.", "_checked_"
 # Partition of a table that is upserted by key, and of one that is appended to by run.
 BUCKET, RUN = "key_bucket", "load_run"
 # Folder of switched partitions in their table's folder.
@@ -85,7 +87,9 @@ def read_table(spark: SparkSession, name: str, allow_empty: bool = False) -> Dat
     return table
 
 
-def overwrite_table(df: DataFrame, name: str, allow_empty: bool = False) -> int:
+def overwrite_table(
+    df: DataFrame, name: str, allow_empty: bool = False, counts: dict[str, Column] | None = None
+) -> int:
     """Replace the contents of a table, of all its partitions too, and return its rows.
 
     The new contents are written beside the table, so ``df`` may read the table
@@ -95,6 +99,10 @@ def overwrite_table(df: DataFrame, name: str, allow_empty: bool = False) -> int:
     so neither the old nor the new rows can be lost by a crash in between.
     Outside ``staging`` the schema must not change; columns may come in any
     order.  Format, partitioning and properties of the table stay.
+
+    ``counts`` names conditions, which may use columns of ``df`` that the table
+    has not: rows that meet each are counted while they are written, and
+    ``observed`` tells the numbers as long as these contents are in place.
     """
     spark = df.sparkSession
     beside = name + _NEXT
@@ -104,7 +112,12 @@ def overwrite_table(df: DataFrame, name: str, allow_empty: bool = False) -> int:
     if table_exists(spark, name):
         table = spark.table(name)
         provider, properties = _provider(spark, name), _properties(spark, name)
-        properties.pop(_READY, None)
+        properties = {k: v for k, v in properties.items() if k != _READY and not k.startswith(_OBSERVED)}
+    if counts:
+        seen = Observation()
+        met = [F.count_if(condition).alias(f"c{i}") for i, condition in enumerate(counts.values())]
+        df = df.observe(seen, *met).drop(*[c for c in df.columns if c.startswith(CHECKED)])
+    if table_exists(spark, name):
         if set(df.columns) == set(table.columns):
             df = df.select(*table.columns)
             partition_by = _partition_columns(spark, name)
@@ -114,11 +127,20 @@ def overwrite_table(df: DataFrame, name: str, allow_empty: bool = False) -> int:
     if rows == 0 and not allow_empty:
         drop_table(spark, beside)
         raise ValueError(f"refusing to store an empty result in {name}")
+    if counts:
+        # Names in hexadecimal: Spark hides properties with words like ``url`` in them.
+        properties |= {f"{_OBSERVED}{k.encode().hex()}": str(seen.get[f"c{i}"]) for i, k in enumerate(counts)}
     _set_properties(spark, beside, properties | {_READY: "true"})
     finish_replacement(spark, name)
     return rows
 
 
+def observed(spark: SparkSession, name: str) -> dict[str, int]:
+    """What ``overwrite_table`` counted while it wrote the present contents; empty if nothing."""
+    found = {k.removeprefix(_OBSERVED): v for k, v in _properties(spark, name).items() if k.startswith(_OBSERVED)}
+    return {bytes.fromhex(k).decode(): int(v) for k, v in found.items()}
+
+
 def finish_replacement(spark: SparkSession, name: str) -> bool:
     """Bring complete new contents into place, if a replacement of the table was interrupted after it had them.
 

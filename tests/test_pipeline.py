@@ -19,7 +19,7 @@ DAY = fx.LOAD_DATE
 def make_lake(spark, tmp_path):
     def make(**options):
         prefix = f"p{uuid.uuid4().hex[:8]}_"
-        return Lake(spark, str(tmp_path / prefix), prefix, fx.PROCESSED_AT, fx.CALENDAR_START, **options)
+        return Lake(spark, str(tmp_path / prefix), prefix, fx.PROCESSED_AT, fx.CALENDAR_START, **{"key_buckets": 4} | options)
 
     return make
 
@@ -113,6 +113,34 @@ def test_kept_null_urls_are_not_stored_twice_by_a_retry(spark, make_lake):
     assert spark.table(lake.table("silver.jobs")).where("job_url is null").count() == missing
 
 
+def test_rows_that_must_not_be_promoted_are_refused(spark, make_lake):
+    """Counted while they are staged; after a proper day is staged, promotion goes on."""
+    lake = make_lake()
+    load(lake, fx.raw_jobs(spark, SMALL))
+    before = count(lake, "gold.fact_hiring")
+    built = {t: tables.read_table(spark, lake.table(f"staging.gold_{t}")) for t in pipeline.FACTS}
+    built = {t: spark.createDataFrame(df.collect(), df.schema) for t, df in built.items()}
+    facts = built["fact_hiring"]
+    for bad, finding in (
+        (facts.withColumn("level_id", F.lit("none of them")), "fact_hiring.level_id without dim_level"),
+        (facts.withColumn("id", F.lit(None).cast("string")), "fact_hiring.id is null"),
+    ):
+        pipeline.stage_facts(lake, built | {"fact_hiring": bad})
+        with pytest.raises(pipeline.PromotionRefused) as refused:
+            run(lake, "gold", "2026-05-22", "promote_fact")
+        assert refused.value.findings == {finding: before} and count(lake, "gold.fact_hiring") == before
+    pipeline.stage_facts(lake, built)
+    run(lake, "gold", "2026-05-22", "promote_fact")
+    assert count(lake, "gold.fact_hiring") == 2 * before
+    jobs = tables.read_table(spark, lake.table("silver.jobs")).withColumn("job_url", F.lit(None).cast("string")).limit(1)
+    pipeline._stage(lake, jobs, pipeline.SILVER_STAGING["jobs"], ["job_url"])
+    with pytest.raises(pipeline.PromotionRefused, match="job_url is null"):
+        run(lake, "silver", DAY, "promote")
+    # The write without counts drops what was counted of other contents.
+    tables.overwrite_table(jobs, lake.table(pipeline.SILVER_STAGING["jobs"]))
+    assert tables.observed(spark, lake.table(pipeline.SILVER_STAGING["jobs"])) == {}
+
+
 def test_a_day_without_postings_is_refused_by_silver(spark, make_lake):
     lake = make_lake()
     result = run(lake, "bronze", DAY, postings=fx.raw_jobs(spark, SMALL).limit(0))

@@ -476,7 +476,7 @@ def test_urls(spark):
     from urllib.parse import urljoin
 
     prefixes = ["https://h.example/a/b?q=1#f", "https://h.example", "http://h.example/a/", "", None]
-    links = ["../x/1", "./y", "..", "../../../z?q=../w", "/a/./b/../c", "a//b/.", ".", "x/..", "/x", "x/y", "//c.example/z", "https://o.example/p", "?k=v", "#t", "mailto:a@b", "", None]
+    links = ["../x/1", "./y", "..", "../../../z?q=../w", "/a/./b/../c", "a//b/.", ".", "x/..", "/x", "x/y", "/a//b", "/a//../b", "/a//", "//a/b/../c", " /lead", "\t x/y", "\x01..", "a//../b", "/.//x", "//c.example/z", "https://o.example/p", "?k=v", "#t", "mailto:a@b", "", None]
     df = spark.createDataFrame([(p, u) for p in prefixes for u in links], "p string, u string")
     for r in df.select("p", "u", pages.resolve_urls(F.col("u"), F.col("p")).alias("got")).collect():
         wanted = None if not r.u else urljoin(r.p, r.u) if r.p else r.u
@@ -502,6 +502,26 @@ def test_details(spark):
     ], key=repr)
 
 
+def test_detail_pages_stay_where_they_are_read(spark, tmp_path):
+    """No shuffle carries markup, and pages that nobody asks for are not parsed."""
+    details = spark.createDataFrame([("s", f"u{i}", f"<h1>T{i}</h1>") for i in range(300)], "source_name string, url string, html string")
+    details.write.parquet(str(tmp_path / "details"))
+    sources = spark.createDataFrame([("s", "h1")], "source_name string, detail_entry_point string")
+    sources.write.parquet(str(tmp_path / "sources"))
+    details, sources = (spark.read.parquet(str(tmp_path / n)) for n in ("details", "sources"))
+    items = spark.createDataFrame([(i, "s", f"u{i}" if i % 3 else None) for i in range(0, 60)], "i int, source_name string, job_url string")
+    joined = pages.join_details(items, details, sources)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInPandas") :]
+    assert "Exchange hashpartitioning" not in below and "Sort" not in below
+    assert {r.i: r.description for r in joined.collect()} == {i: f"T{i}" if i % 3 else None for i in range(60)}
+    passed = details.where(pages.asked_filter(items)(F.col("source_name"), F.col("url"))).select("url").collect()
+    assert {f"u{i}" for i in range(60) if i % 3} <= {r.url for r in passed} and len(passed) < 50
+    # A filter of few bits lets more pages pass, and the result is the same.
+    few = details.where(pages.asked_filter(items, 1 << 15)(F.col("source_name"), F.col("url")))
+    assert few.count() >= len(passed)
+
+
 # -- crawl ------------------------------------------------------------------------
 
 

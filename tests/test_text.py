@@ -262,3 +262,22 @@ def test_fallbacks(spark):
     check(spark, {None: "fb", "none": "fb", " x ": " x "}, lambda v: tx.known_value_or(v, other))
     check(spark, {"n/a": "fb", "x": "label"}, lambda v: tx.known_label_or(v, F.lit("label"), other))
     check(spark, {"x": "fb"}, lambda v: tx.known_label_or(v, F.lit(""), other))
+
+
+def test_separators_in_keywords(spark):
+    """With the flag, white space of any length stands for the space of a keyword; by plain patterns on random text."""
+    words = ["go", "ci cd", "go ci", "r", "r go", "ci", "c d e"]
+    draw, texts = random.Random(6), []
+    for _ in range(300):
+        texts.append("".join(draw.choice(["go", "ci", "cd", "r", "c", "d", "e", " ", "  ", "\n", "\t ", "x", ".", "_"]) for _ in range(draw.randrange(1, 14))))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for separators in (True, False):
+        found = KeywordSet(words, separators).match_all(F.col("t"))
+        for r in df.select("t", found.alias("got")).collect():
+            wanted = [
+                w for w in words
+                if re.search(rf"(?<![A-Za-z0-9_]){w.replace(' ', r'[ \t\n\x0b\f\r]+') if separators else w}(?![A-Za-z0-9_])", r.t)
+            ]
+            assert r.got == wanted, (r.t, separators)
+    assert "spring boot" in spark.createDataFrame([("spring\n boot",)], "t string").select(
+        tech_keywords(fix_separators=True).match_all(F.col("t"))).first()[0]
