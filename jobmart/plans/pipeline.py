@@ -129,12 +129,11 @@ def silver_to_staging(lake: Lake, load_date: str) -> dict:
 
 
 def promote_silver(lake: Lake, load_date: str) -> dict:
-    for table in SILVER_STAGING.values():
-        tables.read_table(lake.spark, lake.table(table))
+    batch = {kind: tables.read_table(lake.spark, lake.table(table)) for kind, table in SILVER_STAGING.items()}
     _gate(lake, *SILVER_STAGING.values())
     result: dict = {"load_date": load_date}
     for kind, table in SILVER_TABLES.items():
-        staged = tables.read_table(lake.spark, lake.table(SILVER_STAGING[kind]))
+        staged = batch[kind]
         if kind == "jobs" and lake.keep_null_urls:
             staged = _without_stored_null_keys(lake, staged)
         result[f"{kind}_loaded"] = tables.upsert_table(staged, lake.table(table), SILVER_KEYS[kind], lake.key_buckets)
@@ -165,13 +164,11 @@ def dimensions_to_staging(lake: Lake, load_date: str) -> dict:
 
 
 def promote_dimensions(lake: Lake, load_date: str) -> dict:
-    for t in DIMENSIONS:
-        tables.read_table(lake.spark, lake.table(f"staging.gold_{t}"))
+    staged = {t: tables.read_table(lake.spark, lake.table(f"staging.gold_{t}")) for t in DIMENSIONS}
     _gate(lake, *[f"staging.gold_{t}" for t in DIMENSIONS])
     return {
         t: tables.upsert_table(
-            tables.read_table(lake.spark, lake.table(f"staging.gold_{t}")), lake.table(f"gold.{t}"), "id",
-            lake.key_buckets if t in LARGE_DIMENSIONS else None,
+            staged[t], lake.table(f"gold.{t}"), "id", lake.key_buckets if t in LARGE_DIMENSIONS else None,
         )
         for t in DIMENSIONS
     }
