@@ -9,7 +9,7 @@ the matches. Items that hardly have such windows (short ones, tables of numbers)
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobmart.llm.common import stored
-from jobmart.llm.templates import Template, Windows, template
+from jobmart.llm.templates import Template, Windows, template, templates
 
 WINDOW = 8
 #: Plain words a window needs, so that placeholders alone never match.
@@ -31,6 +31,8 @@ MAX_INCONSISTENT = 0.25
 BITS = 24
 #: Words by which one replaced value may move what follows it.
 DRIFT = 8
+#: Bytes of texts whose templates are worked out together; a longer text is worked out alone, as a whole.
+BLOCK = 1 << 17
 
 _HITS = (
     "array<struct<at: int, end: int, hash: long, size: int, exact: boolean, strict: boolean, cuts: boolean, "
@@ -38,6 +40,20 @@ _HITS = (
 )
 
 
+def blocks(texts: Iterable[bytes | None], size: int) -> Iterator[list[bytes]]:
+    """The texts in order, nulls as empty ones, in lists of ``size`` bytes at most or of one text."""
+    block, held = [], 0
+    for text in texts:
+        text = text or b""
+        if block and held + len(text) > size:
+            yield block
+            block, held = [], 0
+        block.append(text)
+        held += len(text)
+    if block:
+        yield block
+
+
 def _needed(tokens: int) -> int:
     return min(int(np.ceil(tokens * MIN_SHARE)), MIN_TOKENS)
 
@@ -73,17 +89,27 @@ def _windows(text: Column, sizes: list[tuple[bool, int]] | None = None, bitmap:
                 hits += rows(found.exact_windows(size), size, exact=True)
             return hits
 
+        def of_texts(texts: list[bytes]) -> list[tuple]:
+            found, hits = templates(texts), [[] for _ in texts]
+            size_of = np.bincount(found.owner, minlength=len(texts))
+            first = np.cumsum(size_of) - size_of
+            for exact, size in sizes or ():
+                kinds = [(found.exact_windows(size, only), True, False)] if exact else [
+                    (found.windows(size, MIN_PLAIN, only), False, True),
+                    (found.loose_windows(size, MIN_PLAIN, only), False, False),
+                ]
+                for w, as_written, strict in kinds:
+                    for a, e, *rest in rows(w, size, as_written, strict):
+                        text = found.owner[a]
+                        hits[text].append((a - first[text], e - first[text], *rest))
+            return list(zip(size_of.tolist(), hits, strict=True))
+
         for batch in batches:
-            out = []
-            for value in batch:
-                found, hits = template(value), []
-                for exact, size in sizes or ():
-                    if exact:
-                        hits += rows(found.exact_windows(size, only), size, exact=True)
-                        continue
-                    hits += rows(found.windows(size, MIN_PLAIN, only), size, strict=True)
-                    hits += rows(found.loose_windows(size, MIN_PLAIN, only), size)
-                out.append((len(found), of_item(found) if sizes is None else hits))
+            if sizes is None:
+                items = [template(value) for value in batch]
+                out = [(len(found), of_item(found)) for found in items]
+            else:
+                out = [row for block in blocks(batch, BLOCK) for row in of_texts(block)]
             yield pd.DataFrame(out, columns=["tokens", "hits"])
 
     return run(text.cast("binary"))

@@ -40,6 +40,10 @@ _UNSPACED = [(0x0E01, 0x0E4F), (0x0E81, 0x0EDF), (0x0F40, 0x0FBC), (0x1000, 0x10
              (0x3005, 0x3007), (0x3021, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F)]
 _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[65:91] += 32
+#: Code points of one to three bytes whose case is known, from the Unicode tables of Python.
+_CASED = 0x2000
+_SMALL = np.array([ord(c) if len(c) == 1 else k for k, c in enumerate(chr(k).lower() for k in range(_CASED))])
+_CAPITAL = np.array([chr(k).lower() != chr(k) for k in range(_CASED)])
 
 
 def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,6 +68,32 @@ def _unspaced(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return letter, mark
 
 
+def _cases(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes with small letters for capital ones, and which bytes begin a capital letter.
+
+    A letter whose small form has another number of bytes is a capital, but stays as it is.
+    """
+    small, capital = _LOWERED[data], _UPPER[data]
+    at = np.flatnonzero((data >= 0xC3) & (data <= 0xE1))
+    if not len(at):
+        return small, capital
+    two, three = at[data[at] <= 0xDF], at[data[at] == 0xE1]
+    code = ((data[two].astype(np.int64) & 31) << 6) | (data[two + 1] & 63)
+    new = _SMALL[code]
+    capital[two] = _CAPITAL[code]
+    change = (new != code) & (new >= 0x80) & (new < 0x800)
+    small[two[change]] = 0xC0 | (new[change] >> 6)
+    small[two[change] + 1] = 0x80 | (new[change] & 63)
+    code = 0x1000 | ((data[three + 1].astype(np.int64) & 63) << 6) | (data[three + 2] & 63)
+    new = _SMALL[code]
+    capital[three] = _CAPITAL[code]
+    change = (new != code) & (new >= 0x800)
+    small[three[change]] = 0xE0 | (new[change] >> 12)
+    small[three[change] + 1] = 0x80 | ((new[change] >> 6) & 63)
+    small[three[change] + 2] = 0x80 | (new[change] & 63)
+    return small, capital
+
+
 def _hash_of(text: str) -> int:
     data = words.as_bytes(text.encode())
     return int(words.hashes(data, np.array([0]), np.array([len(data)]))[0])
@@ -102,7 +132,7 @@ class Template:
     """``tokens`` with placeholders by kind, ``kinds`` (0 for a plain word), and ``values``: what each token was.
 
     ``loose`` has the kinds if doubtful words are placeholders too; ``joined`` tells which tokens only spaces or hyphens
-    part from the one before.
+    part from the one before. ``owner`` is the number of the text that a token is in; no window lies in two texts.
     """
 
     tokens: np.ndarray
@@ -110,6 +140,7 @@ class Template:
     values: np.ndarray
     loose: np.ndarray
     joined: np.ndarray
+    owner: np.ndarray
 
     def __len__(self) -> int:
         return len(self.tokens)
@@ -129,10 +160,7 @@ class Template:
 
         ``only`` tells by their hashes which windows are wanted.
         """
-        at, hashed = _eligible(self.tokens, self.kinds, size, min_plain)
-        if only is not None:
-            wanted = only(hashed)
-            at, hashed = at[wanted], hashed[wanted]
+        at, hashed = _eligible(self.tokens, self.kinds, self.owner, size, min_plain, only)
         values = self.values & ~_FLAG
         slots = [values[a : a + size][self.kinds[a : a + size] > 0] for a in at.tolist()]
         goes_on = np.append(self._goes_on(), False)
@@ -141,9 +169,9 @@ class Template:
     def exact_windows(self, size: int, only: Callable[[np.ndarray], np.ndarray] | None = None) -> Windows:
         """All windows of ``size`` tokens as they are written, without placeholders."""
         hashed = words.numbered(words.windows(self.values, size), size + _EXACT)
-        at = np.arange(len(hashed))
+        at = np.flatnonzero(_in_one(self.owner, size))
         if only is not None:
-            at = np.flatnonzero(only(hashed))
+            at = at[only(hashed[at])]
         none = np.empty(0, dtype=np.uint64)
         return Windows(at, at + size, hashed[at], [none] * len(at), np.ones(len(at), dtype=bool))
 
@@ -160,36 +188,51 @@ class Template:
         values |= new.astype(np.uint64)
         kinds = kinds[first]
         tokens = np.where(kinds == 0, self.values[first], _PLACEHOLDER[kinds])
-        at, hashed = _eligible(tokens, kinds, size, min_plain)
+        at, hashed = _eligible(tokens, kinds, self.owner[first], size, min_plain, only)
         differ = np.concatenate([[0], np.cumsum(new)])
         wanted = differ[at + size] > differ[at]
-        if only is not None:
-            wanted &= only(hashed)
         at, hashed = at[wanted], hashed[wanted]
         slots = [values[a : a + size][kinds[a : a + size] > 0] for a in at.tolist()]
         return Windows(first[at], ends[at + size - 1], hashed, slots, np.zeros(len(at), dtype=bool))
 
 
-def _eligible(tokens: np.ndarray, kinds: np.ndarray, size: int, min_plain: int) -> tuple[np.ndarray, np.ndarray]:
+def _in_one(owner: np.ndarray, size: int) -> np.ndarray:
+    """Which runs of ``size`` tokens lie in one text."""
+    return owner[: max(0, len(owner) - size + 1)] == owner[size - 1 :]
+
+
+def _eligible(tokens: np.ndarray, kinds: np.ndarray, owner: np.ndarray, size: int, min_plain: int,
+              only: Callable[[np.ndarray], np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
     hashed = words.numbered(words.windows(tokens, size), size)
+    if not len(hashed):
+        return np.empty(0, dtype=np.int64), hashed
     plain = np.concatenate([[0], np.cumsum(kinds == 0)])
-    at = np.flatnonzero(plain[size:] - plain[:-size] >= min_plain) if len(hashed) else np.empty(0, dtype=np.int64)
+    wanted = (plain[size:] - plain[:-size] >= min_plain) & _in_one(owner, size)
+    if only is not None:
+        wanted &= only(hashed)
+    at = np.flatnonzero(wanted)
     return at, hashed[at]
 
 
 def template(value: bytes | None) -> Template:
-    """Tokens are runs of letters and digits, lower-cased in ASCII and Latin-1; punctuation and spacing do not count.
+    """The template of one text, see ``templates``; null has no token."""
+    return templates([value or b""])
+
+
+def templates(texts: list[bytes]) -> Template:
+    """One template for several texts, worked out at once; texts stay apart.
 
-    In scripts without spaces each letter is a token.
+    Tokens are runs of letters and digits, lower-cased up to U+1FFF; punctuation and spacing do not count. In scripts
+    without spaces each letter is a token.
 
     A token that starts with a digit is a number, points and commas between digits included; a word that is
     capitalised, and only its first letter, not at the start of a sentence, is a name; a unit is a word of ``UNITS``
     right after a number. In the loose reading a capitalised word at the start of a sentence is a name as well, and a
     spelled number is a number.
     """
-    data = words.as_bytes(value)
+    data = words.as_bytes(b"\n".join(texts))
     if not len(data):
-        return Template(*(np.empty(0, dtype=t) for t in (np.uint64, np.int8, np.uint64, np.int8, bool)))
+        return Template(*(np.empty(0, dtype=t) for t in (np.uint64, np.int8, np.uint64, np.int8, bool, np.int64)))
     digit = _DIGIT[data]
     joint = np.zeros(len(data), dtype=bool)
     joint[1:-1] = ((data[1:-1] == ord(".")) | (data[1:-1] == ord(","))) & digit[:-2] & digit[2:]
@@ -206,40 +249,41 @@ def template(value: bytes | None) -> Template:
     last = (inside[1:-1] > 0) & ((inside[2:] == 0) | np.append(border[1:], True))
     ends = np.flatnonzero(last) + 1
     if not len(starts):
-        return template(None)
-    latin = np.zeros(len(data), dtype=bool)  # second bytes of capital letters in Latin-1
-    latin[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-    lowered = _LOWERED[data]
-    lowered[latin] += 32
-    values = words.hashes(lowered, starts, ends)
+        return templates([])
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    owner = np.searchsorted(begins, starts, side="right") - 1
+    fresh = np.ones(len(starts), dtype=bool)  # first in its text
+    fresh[1:] = owner[1:] != owner[:-1]
+    small, large = _cases(data)
+    values = words.hashes(small, starts, ends)
 
     kinds = np.zeros(len(starts), dtype=np.int8)
-    upper = np.concatenate([[0], np.cumsum(_UPPER[data] | latin)])
-    two = np.minimum(starts + 1, len(data) - 1)
-    capital = (_UPPER[data[starts]] | latin[two]) & (upper[ends] - upper[starts] == 1) & (ends - starts > 1)
+    upper = np.concatenate([[0], np.cumsum(large)])
+    width = 1 + (data[starts] >= 0xC0) + (data[starts] >= 0xE0)
+    capital = large[starts] & (upper[ends] - upper[starts] == 1) & (ends - starts > width)
     stops = np.concatenate([[0], np.cumsum(_END[data] & ~joint)])
     first = np.ones(len(starts), dtype=bool)
     first[1:] = stops[starts[1:]] > stops[ends[:-1]]
     kinds[capital & ~first] = NAME
     number = digit[starts]
     kinds[number] = NUMBER
-    kinds[_follows(number) & ~number & _among(values, _UNITS)] = UNIT
+    kinds[_follows(number, fresh) & ~number & _among(values, _UNITS)] = UNIT
     tokens = np.where(kinds == 0, values, _PLACEHOLDER[kinds])
 
     spelled = (kinds == 0) & _among(values, _SPELLED)
-    ahead = np.append(spelled[1:], False)
-    spelled |= _among(values, _AND) & ahead & _follows(spelled & _among(values, _SCALES))
+    ahead = np.append(spelled[1:] & ~fresh[1:], False)
+    spelled |= _among(values, _AND) & ahead & _follows(spelled & _among(values, _SCALES), fresh)
     loose = np.where((kinds == 0) & capital, NAME, kinds).astype(np.int8)
     loose[spelled] = NUMBER
-    loose[(kinds == 0) & ~spelled & _follows(spelled) & _among(values, _UNITS)] = UNIT
+    loose[(kinds == 0) & ~spelled & _follows(spelled, fresh) & _among(values, _UNITS)] = UNIT
     parting = np.concatenate([[0], np.cumsum(~_JOINING[data])])
     joined = np.zeros(len(starts), dtype=bool)
     joined[1:] = parting[starts[1:]] == parting[ends[:-1]]
-    return Template(tokens, kinds, values, loose, joined)
+    return Template(tokens, kinds, values, loose, joined, owner)
 
 
-def _follows(marked: np.ndarray) -> np.ndarray:
-    """Which tokens come right after a marked one."""
-    out = np.zeros(len(marked), dtype=bool)
-    out[1:] = marked[:-1]
+def _follows(marked: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """Which tokens come right after a marked one of their text."""
+    out = ~fresh
+    out[1:] &= marked[:-1]
     return out

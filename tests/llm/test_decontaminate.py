@@ -2,7 +2,7 @@ import re
 
 from jobmart.llm import decontaminate
 from jobmart.llm.queries import QUERIES
-from jobmart.llm.templates import NAME, NUMBER, UNIT, template
+from jobmart.llm.templates import NAME, NUMBER, UNIT, template, templates
 
 PLAIN = "nothing in this line has anything to do with what is asked in any benchmark at all "
 ITEM = ("A train leaves the old station of Berlin at 9 hours and covers 120 km before it meets a second train "
@@ -102,3 +102,56 @@ def test_letters_of_unspaced_scripts_are_tokens():
     assert len(found) == 3 + 1 + 1 + 1 + 2 + 4 + 3
     assert found.kinds.tolist().count(NUMBER) == 1
     assert template("苹果，明".encode()).tokens.tolist() == template("苹果 明。".encode()).tokens.tolist()
+
+
+def test_capitals_beyond_ascii():
+    found = template("Тогда Анна и МИР. Η Αθήνα; chị Đặng ở Ấn Độ và É".encode())
+    assert found.kinds.tolist() == [0, NAME, 0, 0, 0, NAME, 0, NAME, 0, NAME, NAME, 0, 0]
+    for upper, lower in (("Анна", "анна"), ("ΑΘΗΝΑ", "αθηνα"), ("Ấn ĐỘ", "ấn độ"), ("ÜBER Ж", "über ж")):
+        assert template(upper.encode()).values.tolist() == template(lower.encode()).values.tolist()
+    for odd in ("İstanbul", "ẞ", "ȺȾ", "\u13a0\u1c90", "×÷"):  # small forms of other lengths, or none
+        assert len(template(odd.encode())) <= 1
+
+
+def test_items_with_other_names_are_caught_in_other_scripts(spark):
+    item = ("в понедельник утром ученица Анна купила 12 яблок у торговца Иван а потом отдала 5 яблок подруге Мария сколько "
+            "яблок осталось теперь у неё дома на столе")
+    other = item.replace("Анна", "Ольга").replace("Иван", "Пётр").replace("Мария", "Дарья").replace("12", "30")
+    assert set(_found(spark, [PLAIN + other, PLAIN], [item])) == {(0, 0)}
+    item = ("hôm nay bạn Ấn mua 7 quyển vở ở chợ Đà rồi cho chị Ổn 3 quyển vở sau đó bạn Ấn còn lại bao nhiêu quyển vở")
+    other = item.replace("Ấn", "Ánh").replace("Đà", "Mơ").replace("Ổn", "Ẩn").replace("7", "9")
+    assert set(_found(spark, [PLAIN + other, PLAIN], [item])) == {(0, 0)}
+
+
+def test_templates_of_several_texts_are_those_of_each():
+    texts = [s.encode() for s in (
+        "", "It weighs 3", "kg and Anna ran", "two hundred", "and five miles", "Bob", "1", ".5 x", "苹果", "明 Ж", "", CHANGED, SAME, ITEM, "",
+    )]
+    joint = templates(texts)
+    for k, text in enumerate(texts):
+        own = template(text)
+        where = joint.owner == k
+        assert where.sum() == len(own)
+        for name in ("tokens", "kinds", "values", "loose", "joined"):
+            assert getattr(joint, name)[where].tolist() == getattr(own, name).tolist(), (text, name)
+    for size in (1, 3, 8):
+        for method in ("windows", "loose_windows", "exact_windows"):
+            more = () if method == "exact_windows" else (2,)
+            got = getattr(joint, method)(size, *more)
+            wanted, base = [], 0
+            for text in texts:
+                own = template(text)
+                w = getattr(own, method)(size, *more)
+                wanted += list(zip((w.at + base).tolist(), (w.end + base).tolist(), w.hashes.tolist(), [v.tolist() for v in w.slots],
+                                   w.cuts.tolist()))
+                base += len(own)
+            assert list(zip(got.at.tolist(), got.end.tolist(), got.hashes.tolist(), [v.tolist() for v in got.slots],
+                            got.cuts.tolist())) == wanted
+
+
+def test_blocks_keep_texts_whole_and_in_order():
+    texts = [b"ab", None, b"c" * 50, b"", b"d"]
+    found = list(decontaminate.blocks(texts, 4))
+    assert [t for b in found for t in b] == [t or b"" for t in texts]
+    assert all(len(b) == 1 or sum(map(len, b)) <= 4 for b in found)
+    assert list(decontaminate.blocks([], 4)) == []
