@@ -63,18 +63,25 @@ def duplicate_lines(data: bytes) -> int:
     return found
 
 
+def characters(data: np.ndarray) -> np.ndarray:
+    """The code points of UTF-8 bytes; what is not UTF-8 becomes U+FFFD."""
+    if not (data & 0x80).any():
+        return data.astype(np.uint32)
+    return np.frombuffer(data.tobytes().decode(errors="replace").encode("utf-32-le"), dtype="<u4").astype(np.uint32)
+
+
 def ngram_features(data: np.ndarray, hashed: np.ndarray) -> Iterator[np.ndarray]:
-    """Hashed features: words, pairs of words, and runs of three and four bytes."""
+    """Hashed features: words, pairs of words, and runs of three and four characters."""
     shift = np.uint64(64 - BITS)
     for kind, runs in enumerate((hashed, words.windows(hashed, 2))):
         yield (words.numbered(runs, 100 + kind) >> shift).astype(np.int64)
-    wide = data.astype(np.uint32)
+    wide = characters(data)
     for size in (3, 4):
         n = len(wide) - size + 1
         if n > 0:
             code = wide[:n].copy()
             for k in range(1, size):
-                code = (code << np.uint32(8)) | wide[k : k + n]
+                code = code * np.uint32(0x01000193) + wide[k : k + n]
             yield ((code * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(np.int64)
 
 

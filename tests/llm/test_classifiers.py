@@ -95,3 +95,15 @@ def test_ranks_are_exact(spark):
     ordered = np.sort(values).tolist()
     for rank in (1, 1_700, 2_000, 2_300, 3_999):
         assert quality.ranked(df, "x", rank) == (ordered[rank - 1], ordered[rank])
+
+
+def test_character_ngrams_are_those_of_characters():
+    for text in ("", "ab", "plain words", "học máy 机器学习 𠀀𠀁", "é"):
+        data = np.frombuffer(text.encode(), dtype=np.uint8)
+        assert rules.characters(data).tolist() == [ord(c) for c in text]
+        none = np.empty(0, dtype=np.uint64)
+        sizes = [len(f) for f in rules.ngram_features(data, none)][2:]
+        assert sizes == [n for n in (len(text) - 2, len(text) - 3) if n > 0]
+    assert rules.characters(np.frombuffer(b"a\xff", dtype=np.uint8)).tolist() == [ord("a"), 0xFFFD]
+    first, second = (list(rules.ngram_features(np.frombuffer(t.encode(), dtype=np.uint8), none)) for t in ("机器学", "学器机"))
+    assert first[2].tolist() != second[2].tolist()
