@@ -335,6 +335,14 @@ def oracle_sql() -> dict[str, str]:
     return {
         # tables and files
         "read_raw_jobs": _raw(f"SELECT {_RAW_COLUMNS} FROM raw"),
+        "read_written_forms": (
+            "SELECT CAST(o_orderkey AS VARCHAR) AS job_url, "
+            "CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(20,4)) AS VARCHAR) AS title, "
+            "CAST(NULL AS VARCHAR) AS company, "
+            "CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS VARCHAR) AS salary, "
+            "'{\"key\":[' || o_custkey || ',\"a b\"]}' AS level, "
+            "CAST(CAST(o_orderkey AS DOUBLE) * 1000 AS VARCHAR) AS number_applicants FROM orders"
+        ),
         "write_raw_jobs": _raw(
             f"SELECT '{_RAW_COLUMNS.replace(', ', ',')}' AS fields, count(*) AS lines, {_checksum(_RAW_COLUMNS)} FROM raw"
         ),

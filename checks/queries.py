@@ -60,6 +60,21 @@ def read_raw_jobs(spark, sf_dir):
     return raw_jobs.read_raw_jobs(spark, _staged_raw(spark, sf_dir, "read"), fx.LOAD_DATE)
 
 
+@query
+def read_written_forms(spark, sf_dir):
+    """Lines as other programs write them: numbers with zeros and exponents, keys that repeat, nested values with spaces."""
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("decimal(20,4)").cast("string")
+    line = F.format_string(
+        '{"job_url": "%d" , "salary": %s, "title": "%s", "salary": "later", "level": {"key":  [ %d, "a b" ]}, '
+        '"number_applicants": %de3, "company": null, "company": "later"}',
+        "o_orderkey", price, price, "o_custkey", "o_orderkey",
+    )
+    base = work_path(spark, "forms")
+    fx.table(spark, sf_dir, "orders").select(line).write.text(raw_jobs.partition_path(base, fx.LOAD_DATE))
+    read = raw_jobs.read_raw_jobs(spark, base, fx.LOAD_DATE, one_form=True)
+    return read.select("job_url", "title", "company", "salary", "level", "number_applicants")
+
+
 def _checksum(*columns: str) -> Column:
     """A number that tells the contents of a table, whatever the order of its rows."""
     text = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("(null)")) for c in columns]))

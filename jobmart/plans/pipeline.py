@@ -44,6 +44,8 @@ class Lake:
     keep_null_urls: bool = False
     idempotent_facts: bool = False
     key_buckets: int = 16  # partitions of the tables that are upserted by key; one should hold a few GB
+    fix_separators: bool = False
+    one_form: bool = False
 
     def table(self, name: str) -> str:
         return self.prefix + name
@@ -103,14 +105,15 @@ def promote_bronze(lake: Lake, load_date: str) -> dict:
 def build_silver(lake: Lake, raw: DataFrame) -> dict[str, DataFrame]:
     moment = None if lake.processed_at is None else F.lit(lake.processed_at).cast("timestamp")
     jobs = silver.silver_jobs(
-        raw, raw_jobs.FILE_ORDER, moment, fix_cpp=lake.fix_cpp, keep_null_urls=lake.keep_null_urls
+        raw, raw_jobs.FILE_ORDER, moment, fix_cpp=lake.fix_cpp, fix_separators=lake.fix_separators,
+        keep_null_urls=lake.keep_null_urls,
     )
     return {"jobs": jobs, "companies": silver.silver_companies(raw)}
 
 
 def silver_to_staging(lake: Lake, load_date: str) -> dict:
     """Stage curated jobs and companies; the input is counted while the jobs are written."""
-    raw = raw_jobs.read_raw_jobs(lake.spark, lake.bronze_raw, load_date, with_order=True)
+    raw = raw_jobs.read_raw_jobs(lake.spark, lake.bronze_raw, load_date, with_order=True, one_form=lake.one_form)
     seen = Observation()
     jobs = build_silver(lake, raw.observe(seen, F.count(F.lit(1)).alias("rows")))["jobs"]
     batch = {"jobs": jobs, "companies": build_silver(lake, raw)["companies"]}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,27 +24,79 @@ def partition_path(base: str, load_date: str) -> str:
     return f"{base.rstrip('/')}/load_date={load_date}"
 
 
-def read_raw_jobs(spark: SparkSession, base: str, load_date: str, *, with_order: bool = False) -> DataFrame:
+_EXPONENT = "^-?[0-9.]+E-?[0-9]+$"
+
+
+def plain_number(text: Column) -> Column:
+    """A floating-point number's text, in digits alone from 0.0001 up to 10**16 and else with an exponent like ``1e+20``.
+
+    The text is what ``get_json_object`` makes of a JSON number; whole numbers keep their text.
+    """
+    size = F.abs(text.try_cast("double"))
+    plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")
+    mantissa = F.regexp_replace(text, r"(\.0)?E.*$", "")
+    exponent = F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int")
+    wide = F.concat(
+        mantissa, F.when(exponent < 0, "e-").otherwise("e+"), F.when(F.abs(exponent) < 10, "0").otherwise(""),
+        F.abs(exponent).cast("string"),
+    )
+    shown = F.when((size >= 1e-4) & (size < 1e16), plain).otherwise(wide)
+    return F.when(text.rlike(_EXPONENT), shown).otherwise(text)
+
+
+def json_fields(lines: DataFrame, columns: Sequence[str], line: str = "value") -> DataFrame:
+    """``lines`` with the fields of the JSON object in ``line`` as texts instead of it; all null if it holds no object.
+
+    Of a repeated key the first value counts. Numbers and nested values have one form, however they were written:
+    ``1.50`` and ``15e-1`` are ``1.5``, and nested values have no spaces. A line is parsed once and its keys are listed
+    once; only values that need it are looked up again.
+    """
+    # Two steps, so that what all fields need is worked out once. With an option, Spark keeps the schema whole: one
+    # parse serves all fields, instead of one for each.
+    keys = F.json_object_keys(line)
+    listed = lines.withColumn("_keys", keys).withColumn("_object", F.when(F.col("_keys").isNotNull(), F.col(line)))
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    parsed = listed.select(
+        *lines.columns, "_object", F.from_json("_object", fields, {"mode": "PERMISSIVE"}).alias("_once"),
+        F.coalesce(F.size(F.array_distinct("_keys")) < F.size("_keys"), F.lit(False)).alias("_repeated"),
+    )
+    repeated = F.col("_repeated")
+
+    def field(name: str) -> Column:
+        value, found = F.col("_once")[name], F.get_json_object("_object", f"$.{name}")
+        # The first of several values may be null, which the lookup passes over.
+        no_value = F.is_variant_null(F.try_element_at(F.from_json("_object", "map<string,variant>"), F.lit(name)))
+        # Inside an array, texts are given with their quotes.
+        bare = ~F.get_json_object(F.concat(F.lit("["), "_object", F.lit("]")), f"$[*].{name}").startswith('"')
+        other = F.when(repeated & no_value, F.lit(None)).when(bare, plain_number(found)).otherwise(found)
+        return F.when(repeated | value.rlike(_EXPONENT), other).otherwise(value).alias(name)
+
+    return parsed.select(*[field(c) for c in columns], *[c for c in lines.columns if c != line])
+
+
+def read_raw_jobs(spark: SparkSession, base: str, load_date: str, *, with_order: bool = False, one_form: bool = False) -> DataFrame:
     """Postings of one load date.
 
     The schema is forced, so empty files and missing fields do not change it.  A
     line that is no JSON object becomes a row of nulls and blank lines vanish.
     ``with_order`` adds the columns of ``FILE_ORDER``: file, position of the
-    split in it, and the row within the task.  A load date whose publishing was
+    split in it, and the row within the task.  Numbers and nested values are
+    texts as they were written, and the last value of a repeated key counts;
+    with ``one_form`` they are those of ``json_fields``.  A load date whose publishing was
     interrupted after it was complete is put into its place first.
     """
     finish_publishing(spark, base, load_date)
-    lines = (
-        spark.read.schema(RAW_SCHEMA).option("mode", "PERMISSIVE").json(partition_path(base, load_date))
-    )
-    if not with_order:
-        return lines
-    return lines.select(
-        *RAW_COLUMNS,
+    path = partition_path(base, load_date)
+    order = [
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
-    )
+    ]
+    order = order if with_order else []
+    if not one_form:
+        return spark.read.schema(RAW_SCHEMA).option("mode", "PERMISSIVE").json(path).select(*RAW_COLUMNS, *order)
+    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*$"))
+    return json_fields(lines.select("value", *order), RAW_COLUMNS)
 
 
 def write_raw_jobs(jobs: DataFrame, base: str, load_date: str) -> None:

@@ -161,3 +161,13 @@ def test_errors(spark, make_lake):
         run(lake, "bronze", DAY, "promote")
     with pytest.raises(ValueError, match="does not exist"):
         run(lake, "gold", DAY)
+
+
+def test_raw_values_in_one_form_and_other_separators(spark, make_lake):
+    lake = make_lake(one_form=True, fix_separators=True)
+    folder = raw_jobs.partition_path(lake.bronze_raw, DAY)
+    lines = ['{"title":"a","title":"b","job_url":"u1","salary":1500.50}', '{"title":"c","job_url":"u2","salary":2e3}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(folder)
+    run(lake, "silver", DAY)
+    stored = tables.read_table(spark, lake.table("silver.jobs")).select("job_url", "title", "salary").collect()
+    assert sorted(map(tuple, stored)) == [("u1", "a", "1500.5"), ("u2", "c", "2000.0")]

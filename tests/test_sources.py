@@ -47,6 +47,35 @@ def test_bad_lines_become_rows_of_nulls(spark, tmp_path):
     assert {t for t in titles if t} == {"good", '{"a": 1}', "true"}
 
 
+def test_values_of_any_written_form_have_one_form(spark, tmp_path):
+    numbers = {
+        "1.50": "1.5", "-2.500e2": "-250.0", "1e3": "1000.0", "15000000.5": "15000000.5", "1e15": "1000000000000000.0",
+        "1e16": "1e+16", "0.0001": "0.0001", "0.00001": "1e-05", "-0.0": "-0.0", "0e0": "0.0", "7": "7", "1E-20": "1e-20",
+        "100000000000000000000": "100000000000000000000", '"1.50"': "1.50", '"1.5E7"': "1.5E7", '"[ 1 ]"': "[ 1 ]",
+        "[ 1, 2.50 ]": "[1,2.5]", "true": "true", "null": None, '""': "",
+    }
+    lines = [f'{{"title":"{k}", "salary": {n}}}' for k, n in enumerate(numbers)]
+    raw = raw_jobs.read_raw_jobs(spark, partition(tmp_path, "\n".join(lines)), "2026-05-21", one_form=True)
+    found = {int(r["title"]): r["salary"] for r in raw.collect()}
+    assert [found[k] for k in range(len(lines))] == list(numbers.values())
+
+
+def test_the_first_of_repeated_keys_counts_and_broken_lines_are_empty(spark, tmp_path):
+    lines = [
+        '{"title":"a","title":"b","salary":1.50,"salary":"x"}', '{"title":null,"title":"b"}', '{"title":{"x":1,"x":2},"title":3}',
+        '{"title":"ok"', '[{"title":"a"},{"title":"b"}]', '"text"', "5", "nul", "[]", "{}", " ", "\t", "",
+    ]
+    raw = raw_jobs.read_raw_jobs(spark, partition(tmp_path, "\n".join(lines)), "2026-05-21", with_order=True, one_form=True)
+    rows = [tuple(r) for r in raw.orderBy(*raw_jobs.FILE_ORDER).select("title", "salary").collect()]
+    assert rows == [("a", "1.5"), (None, None), ('{"x":1,"x":2}', None), *[(None, None)] * 7]
+
+
+def test_a_line_is_parsed_once_for_all_fields(spark, tmp_path):
+    raw = raw_jobs.read_raw_jobs(spark, partition(tmp_path, "{}"), "2026-05-21", one_form=True)
+    plan = raw._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(StructField") == 1 and plan.count("jsonObjectKeys") == 1
+
+
 def test_write_keeps_nulls_and_replaces_only_its_date(spark, tmp_path):
     raw = spark.createDataFrame([("a", None), ("b", "x")], "title string, company string")
     raw = raw.withColumns({c: F.lit(None).cast("string") for c in raw_jobs.RAW_COLUMNS if c not in raw.columns})
