@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from checks import compare, oracle, queries
@@ -80,3 +81,13 @@ def test_constant_tables_are_folded(spark):
     """Vocabularies are literals in the plan, not parsed per row."""
     plan = physical(fx.clean(spark, SMALL).select("techstacks", "role"))
     assert "from_json" not in plan
+
+
+def test_details_of_pages_with_one_url(spark, tmp_path):
+    """Each item has the heading of its own page, also when other pages have the same URL."""
+    page_table = spark.read.parquet(f"{SMALL}/pages.parquet")
+    again = page_table.withColumns({"page_id": F.col("page_id") + 100_000, "html": F.replace("html", F.lit("<h1>"), F.lit("<h1>again "))})
+    page_table.unionByName(again).coalesce(1).write.parquet(str(tmp_path / "pages"))
+    next((tmp_path / "pages").glob("*.parquet")).rename(tmp_path / "pages.parquet")
+    folder = str(tmp_path)
+    assert compare.compare(spark, compare.duckdb_over(folder), queries.join_details, ORACLE["join_details"], folder) == ""
