@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobmart.functions.matching import let
+
 # The raw columns, all text.
 RAW_COLUMNS = [
     "title", "company", "source_name", "company_location", "location_working_type", "working_type",
@@ -49,26 +51,31 @@ def json_fields(lines: DataFrame, columns: Sequence[str], line: str = "value") -
 
     Of a repeated key the first value counts. Numbers and nested values have one form, however they were written:
     ``1.50`` and ``15e-1`` are ``1.5``, and nested values have no spaces. A line is parsed once and its keys are listed
-    once; only values that need it are looked up again.
+    once, one with repeated keys is parsed once more; only values that need it are looked up again.
     """
     # Two steps, so that what all fields need is worked out once. With an option, Spark keeps the schema whole: one
     # parse serves all fields, instead of one for each.
     keys = F.json_object_keys(line)
     listed = lines.withColumn("_keys", keys).withColumn("_object", F.when(F.col("_keys").isNotNull(), F.col(line)))
     fields = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    repeats = F.coalesce(F.size(F.array_distinct("_keys")) < F.size("_keys"), F.lit(False))
     parsed = listed.select(
-        *lines.columns, "_object", F.from_json("_object", fields, {"mode": "PERMISSIVE"}).alias("_once"),
-        F.coalesce(F.size(F.array_distinct("_keys")) < F.size("_keys"), F.lit(False)).alias("_repeated"),
+        *lines.columns, "_object", "_keys", F.from_json("_object", fields, {"mode": "PERMISSIVE"}).alias("_once"),
+        F.when(repeats, F.from_json("_object", "map<string,variant>")).alias("_firsts"), repeats.alias("_repeats"),
     )
-    repeated = F.col("_repeated")
 
     def field(name: str) -> Column:
         value, found = F.col("_once")[name], F.get_json_object("_object", f"$.{name}")
+        repeated = F.col("_repeats") & (F.size("_keys") - F.size(F.array_remove("_keys", name)) > 1)
         # The first of several values may be null, which the lookup passes over.
-        no_value = F.is_variant_null(F.try_element_at(F.from_json("_object", "map<string,variant>"), F.lit(name)))
+        first = F.try_element_at("_firsts", F.lit(name))
+        no_value = F.is_variant_null(first)
         # Inside an array, texts are given with their quotes.
-        bare = ~F.get_json_object(F.concat(F.lit("["), "_object", F.lit("]")), f"$[*].{name}").startswith('"')
-        other = F.when(repeated & no_value, F.lit(None)).when(bare, plain_number(found)).otherwise(found)
+        quoted = F.get_json_object(F.concat(F.lit("["), "_object", F.lit("]")), f"$[*].{name}").startswith('"')
+        bare = ~F.coalesce(F.schema_of_variant(first) == "STRING", quoted)
+        # Only a number with an exponent has another form, and each look-up is a parse: it is made once.
+        shown = let(found, lambda text: F.when(text.rlike(_EXPONENT) & bare, plain_number(text)).otherwise(text))
+        other = F.when(repeated & no_value, F.lit(None)).otherwise(shown)
         return F.when(repeated | value.rlike(_EXPONENT), other).otherwise(value).alias(name)
 
     return parsed.select(*[field(c) for c in columns], *[c for c in lines.columns if c != line])

@@ -602,3 +602,13 @@ def test_config_files(spark, tmp_path):
     again = crawl.load_source_configs(spark, str(tmp_path / "out"), one_per_line=True)
     assert sorted(again.collect()) == sorted(loaded.collect())
     assert crawl.normalise_config(loaded.select("source_name")).first().prefix_job_url == ""
+
+
+def test_a_line_is_parsed_a_few_times_whatever_its_fields_need(spark):
+    """Each look-up is a parse: a field has two at most, and lines with repeated keys are parsed once for all fields."""
+    lines = spark.createDataFrame([('{"title": 1e3, "title": 2, "salary": 15e-1}',)], "value string")
+    fields = raw_jobs.json_fields(lines, raw_jobs.RAW_COLUMNS)
+    plan = fields._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object(") <= 2 * len(raw_jobs.RAW_COLUMNS)
+    assert plan.count("from_json(") <= 2
+    assert fields.select("title", "salary").first() == ("1000.0", "1.5")
