@@ -6,8 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from jobmart.functions import matching, vocab
 from jobmart.functions import text as tx
-from jobmart.functions import vocab
 from jobmart.functions.matching import KeywordSet, tech_keywords
 
 
@@ -281,3 +281,14 @@ def test_separators_in_keywords(spark):
             assert r.got == wanted, (r.t, separators)
     assert "spring boot" in spark.createDataFrame([("spring\n boot",)], "t string").select(
         tech_keywords(fix_separators=True).match_all(F.col("t"))).first()[0]
+
+
+def test_long_keywords_are_looked_for_at_rare_letters_only(spark):
+    """Every form that occurs is found, next to and inside of others, though most letters of a text are passed over."""
+    forms = list(matching.tech_keywords()._long)
+    pattern, _ = matching._anchored_pattern(forms)
+    assert not set("aeiorst") & set(pattern.split("]")[0])
+    texts = [a + b + c for a in forms for b in ("", "x", "gitlab", "ci") for c in ("", "q", a)]
+    compact = spark.createDataFrame([(t,) for t in texts], "compact string")
+    found = matching.KeywordSet(forms).match_all(F.lit(""), F.col("compact"))
+    assert {t: set(f) for t, f in compact.select("compact", found).collect()} == {t: {f for f in forms if f in t} for t in texts}
