@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,24 +93,27 @@ def explode_listing_items(pages: DataFrame, sources: DataFrame) -> DataFrame:
     entries = sources.select("source_name", "entry_point").where(usable)
     joined = pages.where(F.length("html") > 0).join(entries, "source_name")
 
-    def items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         selectors: dict[str, html.Selector] = {}
-        rows = []
         for batch in batches:
-            for page_id, source, url, markup, entry in batch.itertuples(index=False, name=None):
+            types = [batch.schema.field(0).type, pa.string(), pa.string(), pa.int32(), pa.string()]
+            rows = []
+            for page_id, source, url, markup, entry in _rows(batch):
                 if entry not in selectors:
                     selectors[entry] = html.Selector(entry)
-                for position, node in enumerate(selectors[entry].select(_parse_or_empty(markup))):
+                root = _parse_or_empty(markup)
+                for position, node in enumerate(selectors[entry].select(root)):
                     rows.append((page_id, source, url, position, node.source()))
                     if len(rows) == _CHUNK:
-                        yield pd.DataFrame(rows, columns=columns)
+                        yield _batch(rows, columns, types)
                         rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=columns)
+                root.release()
+            if rows:
+                yield _batch(rows, columns, types)
 
     columns = ["page_id", "source_name", "url", "item_no", "item_html"]
     page_type = pages.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "source_name", "url", "html", "entry_point").mapInPandas(
+    return joined.select("page_id", "source_name", "url", "html", "entry_point").mapInArrow(
         items, f"page_id {page_type}, source_name string, url string, item_no int, item_html string"
     )
 
@@ -138,6 +142,7 @@ def extract_fields(items: DataFrame, configs: DataFrame) -> DataFrame:
                     compiled[selectors] = [html.Field(specs.get(f)) for f in fields]
                 root = _parse_or_empty(markup)
                 rows.append([field.value(root) for field in compiled[selectors]])
+                root.release()
             kept = batch.drop(columns=["item_html", "selectors"]).reset_index(drop=True)
             yield pd.concat([kept, pd.DataFrame(rows, columns=fields, dtype="object")], axis=1)
 
@@ -149,6 +154,16 @@ def extract_fields(items: DataFrame, configs: DataFrame) -> DataFrame:
     )
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Rows of a batch, one at a time: only one page's markup is a Python text at once."""
+    return (tuple(column[i].as_py() for column in batch.columns) for i in range(batch.num_rows))
+
+
+def _batch(rows: list[tuple], columns: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    values = [pa.array(v, t) for v, t in zip(zip(*rows, strict=True), types, strict=True)]
+    return pa.RecordBatch.from_arrays(values, columns)
+
+
 def _parse_or_empty(markup: str) -> html.Node:
     try:
         return html.parse(markup)
@@ -227,11 +242,15 @@ def detail_texts(details: DataFrame, sources: DataFrame) -> DataFrame:
             if selector not in compiled:
                 compiled[selector] = html.Selector(selector)
             root = _parse_or_empty(markup)
-            return (compiled[selector].first(root) or root).text()
+            found = (compiled[selector].first(root) or root).text()
+            root.release()
+            return found
 
         for batch in batches:
-            found = [text(m, s) for m, s in zip(batch["html"], batch["detail_entry_point"], strict=True)]
-            yield pd.DataFrame({"url": batch["url"], "source_name": batch["source_name"], "description": found})
+            for start in range(0, len(batch), _CHUNK):
+                part = batch[start : start + _CHUNK]
+                found = [text(m, s) for m, s in zip(part["html"], part["detail_entry_point"], strict=True)]
+                yield pd.DataFrame({"url": part["url"], "source_name": part["source_name"], "description": found})
 
     return joined.select("url", "source_name", "html", "detail_entry_point").mapInPandas(
         texts, "url string, source_name string, description string"

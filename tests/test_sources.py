@@ -612,3 +612,18 @@ def test_a_line_is_parsed_a_few_times_whatever_its_fields_need(spark):
     assert plan.count("get_json_object(") <= 2 * len(raw_jobs.RAW_COLUMNS)
     assert plan.count("from_json(") <= 2
     assert fields.select("title", "salary").first() == ("1000.0", "1.5")
+
+
+def test_a_released_tree_needs_no_search_for_cycles():
+    """Parsed pages are freed one by one, whatever the size of a batch."""
+    import gc
+
+    gc.collect()
+    gc.disable()
+    try:
+        root = html.parse("<div><p>a<b>c</b></p></div>" * 50)
+        root.release()
+        del root
+        assert not [o for o in gc.get_objects() if isinstance(o, html.Node)]
+    finally:
+        gc.enable()
